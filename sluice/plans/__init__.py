@@ -23,6 +23,9 @@ def query(name: str, sql: str | None = None):
 def load_all() -> dict[str, tuple[Callable, str | None]]:
     # Import for the registration side effect.
     from sluice.plans import (  # noqa: F401
+        q_aggregate,
+        q_basic,
+        q_sources,
         q_windows,
     )
 
