@@ -24,6 +24,11 @@ def _div(c: Column, n: int) -> Column:
     return ((q - F.pmod(q, F.lit(n))) / F.lit(n)).cast("bigint")
 
 
+def floor_div(col, n: int) -> Column:
+    """Exact ``floor(col / n)`` for BIGINT ``col`` and a positive constant."""
+    return _div(_c(col), n)
+
+
 def epoch_us(col) -> Column:
     """Microseconds since 1970-01-01 of an NTZ timestamp (zone free)."""
     return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), _c(col))

@@ -25,6 +25,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.functions.time import floor_div
+
 # Default block widths, in units of the ordering column.  A block should hold
 # a few million rows of the hottest key at the target scale.
 SEQ_BLOCK = 1 << 24          # sequence numbers (event ids)
@@ -53,13 +55,6 @@ def _combine(kind: str, prefix: Column, local: Column) -> Column:
     raise ValueError(kind)
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
-
-
 def running_aggregate(
     df: DataFrame,
     keys: Sequence[str],
@@ -77,7 +72,7 @@ def running_aggregate(
     """
     keys = list(keys)
     blk = "_sl_blk"
-    d = df.withColumn(blk, F.floor(F.col(order) / F.lit(block_width)).cast("bigint"))
+    d = df.withColumn(blk, floor_div(order, block_width))
     ordering = [F.col(order)] + [F.col(c) for c in tiebreak]
     w_local = (
         Window.partitionBy(*keys, blk)
@@ -130,7 +125,7 @@ def keyed_neighbour(
     """
     keys = list(keys)
     blk = "_sl_blk"
-    d = df.withColumn(blk, F.floor(F.col(order) / F.lit(block_width)).cast("bigint"))
+    d = df.withColumn(blk, floor_div(order, block_width))
     asc = direction < 0
     o = [F.col(c).asc() if asc else F.col(c).desc() for c in [order, *tiebreak]]
     w_local = Window.partitionBy(*keys, blk).orderBy(*o)

@@ -26,6 +26,7 @@ def load_all() -> dict[str, tuple[Callable, str | None]]:
         q_aggregate,
         q_basic,
         q_sources,
+        q_time_state,
         q_windows,
     )
 
