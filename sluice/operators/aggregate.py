@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.session import ship_package
 from sluice.operators.rolling import SEQ_BLOCK, running_aggregate
 
 
@@ -70,6 +71,7 @@ def keyed_top_k(df: DataFrame, keys: Sequence[str], value: str, k: int, tiebreak
     Phase 1 (``mapInArrow``) keeps at most ``k`` rows per key and input
     partition; phase 2 ranks those few rows per key.  No key is sorted whole.
     """
+    ship_package(df.sparkSession)
     keys = list(keys)
     cols = [*keys, value, tiebreak]
     schema = df.select(*cols).schema

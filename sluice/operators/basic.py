@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.session import ship_package
+
 
 def map_project(df: DataFrame, *cols) -> DataFrame:
     """P01 record -> field."""
@@ -91,6 +93,8 @@ class RichMap:
 
 
 def rich_map(df: DataFrame, factory: Callable[[], RichMap], schema: T.StructType | str) -> DataFrame:
+    ship_package(df.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = factory()
         ctx = TaskContext.get()

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.time import epoch_us, floor_div
+from sluice.session import ship_package
 from sluice.operators.rolling import SEQ_BLOCK, TIME_BLOCK_US, keyed_neighbour, running_aggregate
 
 
@@ -158,6 +159,7 @@ def rolling_top_k(df: DataFrame, key: str, order: str, value: str, k: int, block
     top-k *before* each block from the per-block top-k lists (one row per
     block).  Phase 3: merge both lists with array functions.
     """
+    ship_package(df.sparkSession)
     blk = "_blk"
     d = df.withColumn(blk, floor_div(order, block_width))
     key_t = df.schema[key].dataType.simpleString()

@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
 
+from sluice.session import ship_package
+
 
 @udtf(returnType="pos: int, value: string", useArrow=True)
 class ConditionalExpand:
@@ -35,6 +37,7 @@ class ConditionalExpand:
 
 
 def udtf_expand(df: DataFrame, first_id: int, second_id: int) -> DataFrame:
+    ship_package(df.sparkSession)
     return df.lateralJoin(
         ConditionalExpand(
             F.col("id").outer(),
@@ -66,6 +69,7 @@ class AverageAggregate:
 
 
 def custom_aggregate(df: DataFrame, keys: Sequence[str], value: str, agg=AverageAggregate) -> DataFrame:
+    ship_package(df.sparkSession)
     keys = list(keys)
     in_schema = df.select(*keys).schema
     key_ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in in_schema.fields)

@@ -29,5 +29,6 @@ def load_all() -> dict[str, tuple[Callable, str | None]]:
         q_time_state,
         q_windows,
     )
+    from sluice.plans import q_stateful_tws  # noqa: F401  (reuses the SQL above)
 
     return REGISTRY
