@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.functions.time import duration_us, epoch_ms, epoch_us, shift_seconds
-from sluice.operators.rolling import TIME_BLOCK_US, SEQ_BLOCK, keyed_neighbour, running_aggregate
+from sluice.functions.time import duration_us, epoch_ms, epoch_us, floor_div, shift_seconds
+from sluice.operators.rolling import SEQ_BLOCK, TIME_BLOCK_US, running_aggregate
 
 
 def with_window(df: DataFrame, et: str, size: str, slide: str | None = None) -> DataFrame:
@@ -64,6 +64,54 @@ def window_process(
     )
 
 
+def session_numbers(
+    df: DataFrame,
+    keys: Sequence[str],
+    t_us: str,
+    gap_us: int,
+    tiebreak: Sequence[str] = (),
+    block_us: int = TIME_BLOCK_US,
+    name: str = "_sess",
+) -> DataFrame:
+    """Number the gap sessions of each key in one block-decomposed pass.
+
+    Inside a (key, block): a break is a row at least ``gap`` after its local
+    predecessor; the running count of breaks numbers the local sessions.  Per
+    block only (first, last, breaks) is kept; a small per-key scan over the
+    blocks adds the break at a block's first row (gap to the previous block's
+    last row) and the breaks of all earlier blocks.
+    """
+    keys = list(keys)
+    blk = "_sl_blk"
+    d = df.withColumn(blk, floor_div(t_us, block_us))
+    order = [F.col(t_us)] + [F.col(c) for c in tiebreak]
+    w = Window.partitionBy(*keys, blk).orderBy(*order)
+    prev = F.lag(t_us).over(w)
+    d = d.withColumn("_brk", F.when(prev.isNotNull() & (F.col(t_us) - prev >= gap_us), 1).otherwise(0))
+    d = d.withColumn("_lsess", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    tot = d.groupBy(*keys, blk).agg(
+        F.min(t_us).alias("_first"), F.max(t_us).alias("_last"), F.sum("_brk").alias("_brks")
+    )
+    wb = Window.partitionBy(*keys).orderBy(blk)
+    prev_last = F.lag("_last").over(wb)
+    tot = tot.withColumn("_fbrk", F.when(prev_last.isNull() | (F.col("_first") - prev_last >= gap_us), 1).otherwise(0))
+    tot = tot.withColumn(
+        "_before",
+        F.coalesce(
+            F.sum(F.col("_brks") + F.col("_fbrk")).over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ),
+    )
+    pre = tot.select(
+        *[F.col(c).alias(f"_pk_{c}") for c in keys], F.col(blk).alias("_pk_blk"),
+        (F.col("_before") + F.col("_fbrk")).alias("_base"),
+    )
+    cond = F.col(blk) == F.col("_pk_blk")
+    for c in keys:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_pk_{c}"))
+    out = d.join(pre, cond, "inner")
+    return out.select(*df.columns, (F.col("_base") + F.col("_lsess")).alias(name))
+
+
 def session_windows(
     df: DataFrame,
     keys: Sequence[str],
@@ -77,20 +125,13 @@ def session_windows(
     row of its key opens a new session; a session spans ``[first, last+gap)``.
 
     Same result as ``groupBy(key, session_window(et, gap))`` in batch, but the
-    session numbering runs through the block-decomposed neighbour/running
-    helpers, so one hot key is spread over many tasks; the final aggregate is
-    an ordinary partial+final aggregate.
+    session numbering is block-decomposed (:func:`session_numbers`), so one
+    hot key is spread over many tasks; the final aggregate is an ordinary
+    partial+final aggregate.
     """
     gap_us = duration_us(gap)
     d = df.withColumn("_t_us", epoch_us(et))
-    d = keyed_neighbour(d, keys, "_t_us", "_t_us", "_prev_us", -1, None, block_us, tiebreak)
-    d = d.withColumn(
-        "_new",
-        F.when(
-            F.col("_prev_us").isNull() | (F.col("_t_us") - F.col("_prev_us") >= gap_us), 1
-        ).otherwise(0),
-    )
-    d = running_aggregate(d, keys, "_t_us", [("_sess", "sum", F.col("_new"))], block_us, tiebreak)
+    d = session_numbers(d, keys, "_t_us", gap_us, tiebreak, block_us)
     g = d.groupBy(*keys, "_sess").agg(
         F.min(et).alias("_s"), F.max(et).alias("_e"), *aggs
     )
