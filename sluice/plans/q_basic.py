@@ -152,12 +152,13 @@ def sp02(spark, sf):
     return d.select("seq", "route")
 
 
-_ALERT_MSG = F.concat(F.lit("vc="), as_text("vc"), F.lit(f" > {P.SIDE_ALERT}"))
+def _alert_msg():
+    return F.concat(F.lit("vc="), as_text("vc"), F.lit(f" > {P.SIDE_ALERT}"))
 
 
 @query("sp03_side_alert_main", S + "SELECT seq, id, ts, vc FROM sensor")
 def sp03_main(spark, sf):
-    main, _side = split.side_alert(_sensor(spark, sf).select("seq", "id", "ts", "vc"), F.col("vc") > P.SIDE_ALERT, _ALERT_MSG)
+    main, _side = split.side_alert(_sensor(spark, sf).select("seq", "id", "ts", "vc"), F.col("vc") > P.SIDE_ALERT, _alert_msg())
     return main
 
 
@@ -166,7 +167,7 @@ def sp03_main(spark, sf):
     S + f"SELECT seq, concat('vc=', vc, ' > {P.SIDE_ALERT}') AS alert FROM sensor WHERE vc > {P.SIDE_ALERT}",
 )
 def sp03_side(spark, sf):
-    _main, side = split.side_alert(_sensor(spark, sf).select("seq", "id", "ts", "vc"), F.col("vc") > P.SIDE_ALERT, _ALERT_MSG)
+    _main, side = split.side_alert(_sensor(spark, sf).select("seq", "id", "ts", "vc"), F.col("vc") > P.SIDE_ALERT, _alert_msg())
     return side
 
 

@@ -19,7 +19,8 @@ from sluice.plans.sql import (
     with_views,
 )
 
-_CNT_SUM = [F.count(F.lit(1)).alias("cnt"), F.sum("vc").alias("sum_vc")]
+def _cnt_sum():
+    return [F.count(F.lit(1)).alias("cnt"), F.sum("vc").alias("sum_vc")]
 _SQL_CNT_SUM = "count(*) AS cnt, CAST(sum(vc) AS BIGINT) AS sum_vc"
 
 
@@ -41,25 +42,25 @@ def _slide_sql(src_ctes, col, size, slide, keys="id, "):
 
 @query("w01_win_tumbling_event", _tumble_sql([SENSOR], "et", P.TUMBLE))
 def w01(spark, sf):
-    return windows.window_aggregate(sensor_view(spark, sf), ["id"], "et", P.TUMBLE, _CNT_SUM)
+    return windows.window_aggregate(sensor_view(spark, sf), ["id"], "et", P.TUMBLE, _cnt_sum())
 
 
 @query("w02_win_tumbling_proc", _tumble_sql([SENSOR, ARRIVALS], "arrival", P.TUMBLE))
 def w02(spark, sf):
-    return windows.window_aggregate(arrivals_view(spark, sf), ["id"], "arrival", P.TUMBLE, _CNT_SUM)
+    return windows.window_aggregate(arrivals_view(spark, sf), ["id"], "arrival", P.TUMBLE, _cnt_sum())
 
 
 @query("w03_win_sliding_event", _slide_sql([SENSOR], "et", P.SLIDE_SIZE, P.SLIDE_STEP))
 def w03(spark, sf):
     return windows.window_aggregate(
-        sensor_view(spark, sf), ["id"], "et", P.SLIDE_SIZE, _CNT_SUM, P.SLIDE_STEP
+        sensor_view(spark, sf), ["id"], "et", P.SLIDE_SIZE, _cnt_sum(), P.SLIDE_STEP
     )
 
 
 @query("w04_win_sliding_proc", _slide_sql([SENSOR, ARRIVALS], "arrival", P.SLIDE_SIZE, P.SLIDE_STEP))
 def w04(spark, sf):
     return windows.window_aggregate(
-        arrivals_view(spark, sf), ["id"], "arrival", P.SLIDE_SIZE, _CNT_SUM, P.SLIDE_STEP
+        arrivals_view(spark, sf), ["id"], "arrival", P.SLIDE_SIZE, _cnt_sum(), P.SLIDE_STEP
     )
 
 
@@ -83,14 +84,14 @@ def _session_sql(src_ctes, col):
 @query("w05_win_session_event", _session_sql([SENSOR], "et"))
 def w05(spark, sf):
     return windows.session_windows(
-        sensor_view(spark, sf), ["id"], "et", P.SESSION_GAP, _CNT_SUM, tiebreak=["seq"]
+        sensor_view(spark, sf), ["id"], "et", P.SESSION_GAP, _cnt_sum(), tiebreak=["seq"]
     )
 
 
 @query("w06_win_session_proc", _session_sql([SENSOR, ARRIVALS], "arrival"))
 def w06(spark, sf):
     return windows.session_windows(
-        arrivals_view(spark, sf), ["id"], "arrival", P.SESSION_GAP, _CNT_SUM, tiebreak=["seq"]
+        arrivals_view(spark, sf), ["id"], "arrival", P.SESSION_GAP, _cnt_sum(), tiebreak=["seq"]
     )
 
 
@@ -138,12 +139,12 @@ def w08(spark, sf):
 
 @query("w09_win_global", with_views(SENSOR) + f"SELECT id, {_SQL_CNT_SUM} FROM sensor GROUP BY id")
 def w09(spark, sf):
-    return sensor_view(spark, sf).groupBy("id").agg(*_CNT_SUM)
+    return sensor_view(spark, sf).groupBy("id").agg(*_cnt_sum())
 
 
 @query("w10_win_all", _slide_sql([SENSOR], "et", P.SLIDE_SIZE, P.SLIDE_STEP, keys=""))
 def w10(spark, sf):
-    return windows.window_aggregate(sensor_view(spark, sf), [], "et", P.SLIDE_SIZE, _CNT_SUM, P.SLIDE_STEP)
+    return windows.window_aggregate(sensor_view(spark, sf), [], "et", P.SLIDE_SIZE, _cnt_sum(), P.SLIDE_STEP)
 
 
 @query(
