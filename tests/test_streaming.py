@@ -130,3 +130,19 @@ def test_restart_from_checkpoint(spark, replay, tmp_dir):
     want = windows.window_aggregate(src, ["id"], "et", "1 day", aggs())
     assert 0 < first < got.count()
     assert rows(got) == rows(want)
+
+
+def test_late_side_output_stream_equals_batch(spark, replay, tmp_dir):
+    """Per-batch routing with the carried watermark equals the batch
+    split (1 h windows, 3 h bounded disorder)."""
+    from sluice.operators.late import split_late
+
+    src, data = replay
+    paths = [os.path.join(tmp_dir, p) for p in ("state", "on", "late")]
+    fn = ops.split_late_per_batch(*paths, "et", "arrival", 3 * 3600, window="1 hour")
+    stream = read_replay(spark, data, src.schema)  # NTZ kept: the split is ours, not Spark's watermark
+    run_to_end(stream, "append", os.path.join(tmp_dir, "ck"), foreach_batch=fn)
+    _on, want_late = split_late(src, "et", "arrival", 3 * 3600, "1 hour")
+    got_late = spark.read.parquet(paths[2]).filter("id >= 0")
+    assert rows(got_late, "seq") == rows(want_late, "seq")
+    assert spark.read.parquet(paths[1]).filter("id >= 0").count() + got_late.count() == src.count()
