@@ -48,6 +48,10 @@ def from_epoch_seconds(col) -> Column:
     return F.timestamp_add("SECOND", _c(col), F.expr(_EPOCH_NTZ))
 
 
+def from_epoch_us(col) -> Column:
+    return F.timestamp_add("MICROSECOND", _c(col), F.expr(_EPOCH_NTZ))
+
+
 def from_epoch_ms(col) -> Column:
     return F.timestamp_add("MILLISECOND", _c(col), F.expr(_EPOCH_NTZ))
 

@@ -28,16 +28,18 @@ def write_bucketed_text_stream(
     frame: DataFrame,
     path: str,
     checkpoint: str,
-    roll_interval: str = "1 minute",
+    roll_interval: str | None = "1 minute",
     max_records_per_file: int | None = None,
 ):
+    """Streaming writer: a new file set per trigger (``roll_interval``; None
+    runs the available input once, for replays)."""
     w = (
         frame.writeStream.format("text")
         .partitionBy("bucket")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
-        .trigger(processingTime=roll_interval)
     )
+    w = w.trigger(processingTime=roll_interval) if roll_interval else w.trigger(availableNow=True)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     return w

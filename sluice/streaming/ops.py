@@ -173,3 +173,44 @@ def split_late_per_batch(
             d.unpersist()
 
     return run
+
+
+def rule_per_batch(state_path: str, out_path: str, kind_col: str, config_kind, value: str, arrival: str, default=0):
+    """J07 stream: a global rule (broadcast state) applied inside
+    ``foreachBatch``.  Config rows (``kind_col == config_kind``) and data rows
+    come in one stream; each batch is resolved with the batch as-of operator,
+    seeded with the latest config of earlier batches (one small row per batch
+    id under ``state_path``).  Alerts (``value > threshold``) are written per
+    batch id."""
+    from sluice.functions.time import epoch_us, from_epoch_us
+    from sluice.operators.joins import latest_rule
+
+    out_writer = IdempotentBatchWriter(out_path)
+    state_writer = IdempotentBatchWriter(state_path)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        cfg = batch.filter(F.col(kind_col) == config_kind)
+        data = batch.filter(F.col(kind_col) != config_kind)
+        try:
+            seed = (
+                spark.read.parquet(state_path)
+                .filter(F.col("batch_id") < batch_id)
+                .agg(F.max(F.struct("a", "s", "v")).alias("m"))
+                .select("m.*")
+                .filter(F.col("a").isNotNull())
+            )
+            seed_rows = seed.select(
+                F.col("s").alias("seq"), F.col("v").alias(value), from_epoch_us("a").alias(arrival)
+            )
+        except Exception:  # noqa: BLE001 - first batch
+            seed_rows = None
+        cfg_all = cfg.select("seq", value, arrival)
+        if seed_rows is not None:
+            cfg_all = cfg_all.unionByName(seed_rows)
+        r = latest_rule(data, cfg_all, arrival, value, name="threshold", default=default)
+        out_writer(r.filter(F.col(value) > F.col("threshold")), batch_id)
+        last = cfg_all.agg(F.max(F.struct(epoch_us(arrival).alias("a"), F.col("seq").alias("s"), F.col(value).alias("v"))).alias("m")).select("m.*")
+        state_writer(last, batch_id)
+
+    return run

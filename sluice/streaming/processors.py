@@ -271,6 +271,36 @@ class InactivityTimer(KeyedProcess):
         yield pd.DataFrame({"id": [key[0]], "timer_ms": [expiry_ms]})
 
 
+class KeyedRule(KeyedProcess):
+    """J08 keyed broadcast rule: config rows (``kind == 0``) set the key's
+    threshold (last wins, default 0); data rows above it alert.  Rows are
+    taken in (arrival, kind, seq) order."""
+
+    output = "seq long, id long, vc int, threshold int"
+
+    def __init__(self, default: int = 0):
+        self.default = default
+
+    def open(self, handle):
+        self.thr = handle.getValueState("thr", StructType([StructField("v", IntegerType())]))
+
+    def handleInputRows(self, key, rows, timerValues):
+        frames = [f for f in rows if len(f)]
+        if not frames:
+            return
+        frame = pd.concat(frames, ignore_index=True).sort_values(["arr_us", "kind", "seq"], kind="stable")
+        thr = self.thr.get()[0] if self.thr.exists() else self.default
+        out = []
+        for seq, kind, v in zip(frame["seq"].tolist(), frame["kind"].tolist(), frame["vc"].tolist()):
+            if kind == 0:
+                thr = int(v)
+            elif v > thr:
+                out.append((int(seq), key[0], int(v), thr))
+        self.thr.update((thr,))
+        if out:
+            yield pd.DataFrame(out, columns=["seq", "id", "vc", "threshold"])
+
+
 def apply_processor(df, key: str, processor: KeyedProcess, time_mode: str = "None", output_mode: str = "Append"):
     """``groupBy(key).transformWithStateInPandas(processor)``; works on batch
     frames (one pass) and streams."""
