@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sluice import model
 from sluice.functions.text import csv_line
 from sluice.operators.aggregate import keyed_final, keyed_rolling
+from sluice.operators.partition import spread_if_undersplit
 from sluice.plans import query
 from sluice.plans.sql import SENSOR, with_views
 from sluice.sinks.kafka import kafka_keyed_frame
@@ -39,7 +40,8 @@ def _sql_num(expr: str, kind: str) -> str:
 
 
 def _lines(spark, sf):
-    return text_lines(model.table(spark, sf, "documents").select("doc_id", "text"))
+    docs = model.table(spark, sf, "documents").select("doc_id", "text")
+    return text_lines(spread_if_undersplit(docs, "doc_id"))
 
 
 def _tokens(spark, sf):
