@@ -16,6 +16,11 @@ retry recomputes the same blocks):
 
 Only decomposable aggregates (sum, count, min, max - including ``max`` over a
 struct, which gives "last value by order") are offered.  The result is exact.
+
+Nullable keys travel as null-free columns (:func:`with_block_key`), so the
+join back is a plain equi-join on exactly the columns the local scan is
+partitioned by: when the prefix is too large to broadcast, the sort-merge join
+reuses that partitioning and only the small prefix side is shuffled again.
 """
 
 from __future__ import annotations
@@ -24,6 +29,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions.time import floor_div
 
@@ -33,6 +39,36 @@ SEQ_BLOCK = 1 << 24          # sequence numbers (event ids)
 TIME_BLOCK_US = 3_600_000_000  # one hour of event time, in microseconds
 
 _AGG = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
+_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
+
+
+def with_block_key(df: DataFrame, keys: Sequence[str], blk: str, order: str, width: int):
+    """Add the block column and null-free key columns; return the frame and
+    the partition columns (keys first, block last).
+
+    A nullable key of a primitive type travels as ``coalesce(key, default)``
+    plus an ``isnull(key)`` flag: a plain equi-join on these columns is
+    exactly the null-safe join, and the sort keeps its fast prefix on the key.
+    Other nullable types are wrapped in a struct (struct equality treats null
+    fields as equal).
+    """
+    d = df.withColumn(blk, floor_div(order, width))
+    part: list[str] = []
+    for i, c in enumerate(keys):
+        f = df.schema[c]
+        if not f.nullable:
+            part.append(c)
+            continue
+        kc, kn = f"_sl_k{i}", f"_sl_n{i}"
+        if isinstance(f.dataType, (T.StringType, T.BooleanType) + _NUMERIC):
+            d = d.withColumn(kc, F.coalesce(F.col(c), F.lit(0).cast(f.dataType))).withColumn(
+                kn, F.col(c).isNull()
+            )
+            part += [kc, kn]
+        else:
+            d = d.withColumn(kc, F.struct(F.col(c)))
+            part.append(kc)
+    return d, part + [blk]
 
 
 def _combine(kind: str, prefix: Column, local: Column) -> Column:
@@ -70,35 +106,30 @@ def running_aggregate(
     ``tiebreak``; the frame is "all earlier rows of the key and this row"
     (``exclusive=True``: earlier rows only).
     """
-    keys = list(keys)
     blk = "_sl_blk"
-    d = df.withColumn(blk, floor_div(order, block_width))
+    d, part = with_block_key(df, keys, blk, order, block_width)
     ordering = [F.col(order)] + [F.col(c) for c in tiebreak]
     w_local = (
-        Window.partitionBy(*keys, blk)
+        Window.partitionBy(*part)
         .orderBy(*ordering)
         .rowsBetween(Window.unboundedPreceding, -1 if exclusive else Window.currentRow)
     )
     local = d.select(
         "*", *[_AGG[k](e).over(w_local).alias(f"_sl_l_{n}") for n, k, e in specs]
     )
-    totals = d.groupBy(*keys, blk).agg(*[_AGG[k](e).alias(f"_sl_t_{n}") for n, k, e in specs])
+    totals = d.groupBy(*part).agg(*[_AGG[k](e).alias(f"_sl_t_{n}") for n, k, e in specs])
     w_prefix = (
-        Window.partitionBy(*keys).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*part[:-1]).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
     )
     # count of counts is a sum
     prefix = totals.select(
-        *[F.col(c).alias(f"_sl_pk_{c}") for c in keys],
-        F.col(blk).alias("_sl_pk_blk"),
+        *part,
         *[
             _AGG["sum" if k == "count" else k](F.col(f"_sl_t_{n}")).over(w_prefix).alias(f"_sl_p_{n}")
             for n, k, _ in specs
         ],
     )
-    cond = F.col(blk) == F.col("_sl_pk_blk")
-    for c in keys:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_sl_pk_{c}"))
-    joined = local.join(prefix, cond, "left")
+    joined = local.join(prefix, part, "left")
     out_cols = [c for c in df.columns]
     return joined.select(
         *out_cols,
@@ -123,12 +154,11 @@ def keyed_neighbour(
     :func:`running_aggregate`: the first (last) row of each block looks the
     neighbour up in the block totals of the key.
     """
-    keys = list(keys)
     blk = "_sl_blk"
-    d = df.withColumn(blk, floor_div(order, block_width))
+    d, part = with_block_key(df, keys, blk, order, block_width)
     asc = direction < 0
     o = [F.col(c).asc() if asc else F.col(c).desc() for c in [order, *tiebreak]]
-    w_local = Window.partitionBy(*keys, blk).orderBy(*o)
+    w_local = Window.partitionBy(*part).orderBy(*o)
     local = d.select(
         "*",
         F.lag(value, 1).over(w_local).alias("_sl_nb"),
@@ -139,20 +169,16 @@ def keyed_neighbour(
         *[F.col(c).alias(f"t{i}") for i, c in enumerate(tiebreak)],
         F.col(value).alias("v"),
     )
-    totals = d.groupBy(*keys, blk).agg(
+    totals = d.groupBy(*part).agg(
         (F.max(edge) if asc else F.min(edge)).alias("_sl_edge")
     )
-    w_blocks = Window.partitionBy(*keys).orderBy(F.col(blk).asc() if asc else F.col(blk).desc())
+    w_blocks = Window.partitionBy(*part[:-1]).orderBy(F.col(blk).asc() if asc else F.col(blk).desc())
     prefix = totals.select(
-        *[F.col(c).alias(f"_sl_pk_{c}") for c in keys],
-        F.col(blk).alias("_sl_pk_blk"),
+        *part,
         F.lag(F.col("_sl_edge.v"), 1).over(w_blocks).alias("_sl_pb"),
         (F.row_number().over(w_blocks) == 1).alias("_sl_first_blk"),
     )
-    cond = F.col(blk) == F.col("_sl_pk_blk")
-    for c in keys:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_sl_pk_{c}"))
-    joined = local.join(prefix, cond, "left")
+    joined = local.join(prefix, part, "left")
     dflt = F.lit(default)
     result = (
         F.when(F.col("_sl_rn") > 1, F.col("_sl_nb"))

@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from sluice.functions.time import epoch_us, floor_div
 from sluice.session import ship_package
-from sluice.operators.rolling import SEQ_BLOCK, TIME_BLOCK_US, keyed_neighbour, running_aggregate
+from sluice.operators.rolling import SEQ_BLOCK, TIME_BLOCK_US, keyed_neighbour, running_aggregate, with_block_key
 
 
 def value_jump(df: DataFrame, key: str, order: str, value: str, threshold: int, block_width: int = SEQ_BLOCK) -> DataFrame:
@@ -152,55 +153,76 @@ def event_timers(
 
 def rolling_top_k(df: DataFrame, key: str, order: str, value: str, k: int, block_width: int = 1 << 20) -> DataFrame:
     """ST02 ListState top-k: per input row, the ``k`` largest values of the
-    key so far (descending).
-
-    Phase 1: inside each (key, block) a pandas heap pass gives the running
-    top-k of the block (group size <= block width).  Phase 2: per key, the
-    top-k *before* each block from the per-block top-k lists (one row per
-    block).  Phase 3: merge both lists with array functions.
+    key so far (descending); null values are not stored.
+
+    1. The ``k`` largest values of every (key, block), with a rank filter
+       (Spark trims each map partition to ``k`` rows per group before the
+       shuffle).
+    2. Per key, the top-k of all *earlier* blocks: a streaming scan over the
+       block rows of the key in block order (one row per block, state = k
+       values).
+    3. One streaming pass over the rows of each block in order, seeded with
+       that list.
+
+    Python runs once per Arrow batch of a sorted partition, never per group,
+    and holds at most ``k`` values of state; no group is gathered.
     """
     ship_package(df.sparkSession)
-    blk = "_blk"
-    d = df.withColumn(blk, floor_div(order, block_width))
-    key_t = df.schema[key].dataType.simpleString()
-    val_t = df.schema[value].dataType.simpleString()
-
-    def local(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        top: list = []
-        out = []
-        for v in pdf[value].tolist():
-            if v is not None and not pd.isna(v):
-                top.append(v)
-                top.sort(reverse=True)
-                del top[k:]
-            out.append(list(top))
-        return pd.DataFrame({key: pdf[key].values, order: pdf[order].values, blk: pdf[blk].values, "_local": out})
-
-    local_schema = T.StructType(
-        [
-            T.StructField(key, df.schema[key].dataType),
-            T.StructField(order, df.schema[order].dataType),
-            T.StructField(blk, T.LongType()),
-            T.StructField("_local", T.ArrayType(df.schema[value].dataType)),
-        ]
+    blk = "_sl_blk"
+    d, part = with_block_key(df.select(key, order, value), [key], blk, order, block_width)
+    val_t = df.schema[value].dataType
+    w = Window.partitionBy(*part).orderBy(F.col(value).desc())
+    blocks = (
+        d.filter(F.col(value).isNotNull())
+        .withColumn("_r", F.row_number().over(w))
+        .filter(F.col("_r") <= k)
+        .groupBy(*part)
+        .agg(F.sort_array(F.collect_list(value), asc=False).alias("_btop"))
     )
-    loc = d.select(key, order, value, blk).groupBy(key, blk).applyInPandas(local, local_schema)
-    # the block's own top-k = the running list at its last row
-    per_block = loc.groupBy(key, blk).agg(F.max_by("_local", order).alias("_btop"))
-
-    def prefix(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(blk)
-        top: list = []
-        out = []
-        for lst in pdf["_btop"].tolist():
-            out.append(list(top))
-            top = sorted(top + list(lst), reverse=True)[:k]
-        return pd.DataFrame({key: pdf[key].values, blk: pdf[blk].values, "_before": out})
-
-    before = per_block.groupBy(key).applyInPandas(
-        prefix, f"{key} {key_t}, {blk} bigint, _before array<{val_t}>"
+    key_part = part[:-1]
+
+    def before_scan(batches):
+        cur, top = object(), []
+        for b in batches:
+            cols = b.to_pydict()
+            keys = list(zip(*[cols[c] for c in key_part])) if key_part else [()] * b.num_rows
+            out = []
+            for kv, btop in zip(keys, cols["_btop"]):
+                if kv != cur:
+                    cur, top = kv, []
+                out.append(list(top))
+                top = sorted(top + btop, reverse=True)[:k]
+            yield pa.RecordBatch.from_pydict(
+                {**{c: cols[c] for c in part}, "_before": out}, schema=before_schema
+            )
+
+    before_fields = [blocks.schema[c] for c in part] + [T.StructField("_before", T.ArrayType(val_t))]
+    before_sp = T.StructType(before_fields)
+    before_schema = to_arrow_schema(before_sp)
+    before = blocks.repartition(*key_part).sortWithinPartitions(*part).mapInArrow(before_scan, before_sp)
+
+    def row_scan(batches):
+        cur, top = object(), []
+        for b in batches:
+            cols = b.to_pydict()
+            groups = list(zip(*[cols[c] for c in part]))
+            out = []
+            for g, v, bef in zip(groups, cols[value], cols["_before"]):
+                if g != cur:
+                    cur, top = g, list(bef or [])
+                if v is not None:
+                    top.append(v)
+                    top.sort(reverse=True)
+                    del top[k:]
+                out.append(list(top))
+            yield pa.RecordBatch.from_pydict(
+                {key: cols[key], order: cols[order], "top": out}, schema=out_schema
+            )
+
+    out_sp = T.StructType(
+        [df.schema[key], df.schema[order], T.StructField("top", T.ArrayType(val_t))]
     )
-    j = loc.join(before, [key, blk], "left")
-    merged = F.slice(F.sort_array(F.concat(F.coalesce("_before", F.array().cast(f"array<{val_t}>")), "_local"), asc=False), 1, k)
-    return j.select(key, order, merged.alias("top"))
+    out_schema = to_arrow_schema(out_sp)
+    # repartition first, so a sort-merge join (large prefix) reuses it
+    rows = d.repartition(*part).join(before, part, "left").sortWithinPartitions(*part, order)
+    return rows.mapInArrow(row_scan, out_sp)

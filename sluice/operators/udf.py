@@ -1,23 +1,28 @@
 """User functions: table function (P14) and user aggregate.
 
 P15 keeps the create/add/merge/result contract of the reference's aggregate
-function, but with a real, associative ``merge``.  It runs in two phases so no
-key is ever gathered in one task:
+function, but with a real, associative ``merge``, and every step works on a
+whole Arrow table of many keys at once (one Python call per batch or per
+partition, never one per key).  It runs in two phases so no key is ever
+gathered in one task:
 
 1. ``mapInArrow``: per input partition, ``add`` every row into one
    accumulator per key (map-side combine);
-2. ``groupBy(key).applyInPandas``: ``merge`` the few partial accumulators of
-   a key (at most one per input partition) and compute the result.
+2. hash-repartition the partial accumulators by key (at most one per key per
+   input partition), then ``mapInArrow`` again: ``merge`` them per key and
+   compute the ``result``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_type
 from pyspark.sql.functions import udtf
 
 from sluice.session import ship_package
@@ -50,55 +55,59 @@ def udtf_expand(df: DataFrame, first_id: int, second_id: int) -> DataFrame:
 
 
 class AverageAggregate:
-    """create / add / merge / result over a (sum, count) accumulator."""
+    """create / add / merge / result over a (sum, count) accumulator, each
+    step vectorised over all keys of an Arrow table."""
 
-    acc_schema = "sum double, count long"
+    acc_fields = [("sum", pa.float64()), ("count", pa.int64())]
+    result_type = "double"
 
     @staticmethod
-    def add(values: pd.Series) -> tuple[float, int]:
-        v = values.dropna()
-        return float(v.sum()), int(v.count())
+    def add(tbl: pa.Table, keys: list[str], value: str) -> pa.Table:
+        v = pc.cast(tbl.column(value), pa.float64())
+        t = pa.table({**{k: tbl.column(k) for k in keys}, "v": v})
+        g = t.group_by(keys, use_threads=False).aggregate([("v", "sum"), ("v", "count")])
+        return pa.table(
+            {**{k: g.column(k) for k in keys}, "sum": g.column("v_sum"), "count": g.column("v_count")}
+        )
 
     @staticmethod
-    def merge(sums: pd.Series, counts: pd.Series) -> tuple[float, int]:
-        return float(sums.sum()), int(counts.sum())
+    def merge(acc: pa.Table, keys: list[str]) -> pa.Table:
+        g = acc.group_by(keys, use_threads=False).aggregate([("sum", "sum"), ("count", "sum")])
+        return pa.table(
+            {**{k: g.column(k) for k in keys}, "sum": g.column("sum_sum"), "count": g.column("count_sum")}
+        )
 
     @staticmethod
-    def result(total: float, count: int):
-        return total / count if count else None
+    def result(acc: pa.Table) -> pa.Array:
+        cnt = acc.column("count")
+        # an all-null key has count 0: no average
+        safe = pc.if_else(pc.equal(cnt, 0), pa.scalar(None, pa.int64()), cnt)
+        return pc.divide(acc.column("sum"), pc.cast(safe, pa.float64()))
 
 
 def custom_aggregate(df: DataFrame, keys: Sequence[str], value: str, agg=AverageAggregate) -> DataFrame:
     ship_package(df.sparkSession)
     keys = list(keys)
-    in_schema = df.select(*keys).schema
-    key_ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in in_schema.fields)
-    partial_schema = f"{key_ddl}, sum double, count long"
+    key_schema = df.select(*keys).schema
+    acc_schema = T.StructType(
+        key_schema.fields + [T.StructField(n, from_arrow_type(t)) for n, t in agg.acc_fields]
+    )
+    out_schema = T.StructType(key_schema.fields + [T.StructField("result", T.DoubleType())])
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # one small accumulator frame per Arrow batch, re-combined at the end:
-        # memory grows with the keys of the partition, not with its rows
-        parts = []
-        for b in batches:
-            pdf = b.to_pandas()
-            if pdf.empty:
-                continue
-            g = pdf.groupby(keys, dropna=False, sort=False)[value]
-            parts.append(
-                pd.DataFrame({"sum": g.apply(lambda v: agg.add(v)[0]), "count": g.apply(lambda v: agg.add(v)[1])})
-                .reset_index()
-            )
-        if not parts:
+        # add per batch, merge the batch accumulators of the partition at the
+        # end: memory grows with the keys of the partition, not with its rows
+        parts = [agg.add(pa.Table.from_batches([b]), keys, value) for b in batches if b.num_rows]
+        if parts:
+            yield from agg.merge(pa.concat_tables(parts), keys).to_batches()
+
+    def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tbls = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
+        if not tbls:
             return
-        acc = pd.concat(parts, ignore_index=True).groupby(keys, dropna=False, sort=False)
-        out = pd.DataFrame({"sum": acc["sum"].sum(), "count": acc["count"].sum()}).reset_index()
-        yield pa.RecordBatch.from_pandas(out[[*keys, "sum", "count"]], preserve_index=False)
-
-    def final(pdf: pd.DataFrame) -> pd.DataFrame:
-        s, c = agg.merge(pdf["sum"], pdf["count"])
-        row = {k: pdf[k].iloc[0] for k in keys}
-        row["result"] = agg.result(s, c)
-        return pd.DataFrame([row])
-
-    partials = df.select(*keys, value).mapInArrow(partial, partial_schema)
-    return partials.groupBy(*keys).applyInPandas(final, f"{key_ddl}, result double")
+        acc = agg.merge(pa.concat_tables(tbls), keys)
+        out = pa.table({**{k: acc.column(k) for k in keys}, "result": agg.result(acc)})
+        yield from out.to_batches()
+
+    partials = df.select(*keys, value).mapInArrow(partial, acc_schema)
+    return partials.repartition(*keys).mapInArrow(final, out_schema)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.time import duration_us, epoch_ms, epoch_us, floor_div, shift_seconds
-from sluice.operators.rolling import SEQ_BLOCK, TIME_BLOCK_US, running_aggregate
+from sluice.operators.rolling import SEQ_BLOCK, TIME_BLOCK_US, running_aggregate, with_block_key
 
 
 def with_window(df: DataFrame, et: str, size: str, slide: str | None = None) -> DataFrame:
@@ -81,18 +81,17 @@ def session_numbers(
     blocks adds the break at a block's first row (gap to the previous block's
     last row) and the breaks of all earlier blocks.
     """
-    keys = list(keys)
     blk = "_sl_blk"
-    d = df.withColumn(blk, floor_div(t_us, block_us))
+    d, part = with_block_key(df, keys, blk, t_us, block_us)
     order = [F.col(t_us)] + [F.col(c) for c in tiebreak]
-    w = Window.partitionBy(*keys, blk).orderBy(*order)
+    w = Window.partitionBy(*part).orderBy(*order)
     prev = F.lag(t_us).over(w)
     d = d.withColumn("_brk", F.when(prev.isNotNull() & (F.col(t_us) - prev >= gap_us), 1).otherwise(0))
     d = d.withColumn("_lsess", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    tot = d.groupBy(*keys, blk).agg(
+    tot = d.groupBy(*part).agg(
         F.min(t_us).alias("_first"), F.max(t_us).alias("_last"), F.sum("_brk").alias("_brks")
     )
-    wb = Window.partitionBy(*keys).orderBy(blk)
+    wb = Window.partitionBy(*part[:-1]).orderBy(blk)
     prev_last = F.lag("_last").over(wb)
     tot = tot.withColumn("_fbrk", F.when(prev_last.isNull() | (F.col("_first") - prev_last >= gap_us), 1).otherwise(0))
     tot = tot.withColumn(
@@ -101,14 +100,8 @@ def session_numbers(
             F.sum(F.col("_brks") + F.col("_fbrk")).over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         ),
     )
-    pre = tot.select(
-        *[F.col(c).alias(f"_pk_{c}") for c in keys], F.col(blk).alias("_pk_blk"),
-        (F.col("_before") + F.col("_fbrk")).alias("_base"),
-    )
-    cond = F.col(blk) == F.col("_pk_blk")
-    for c in keys:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_pk_{c}"))
-    out = d.join(pre, cond, "inner")
+    pre = tot.select(*part, (F.col("_before") + F.col("_fbrk")).alias("_base"))
+    out = d.join(pre, part, "inner")
     return out.select(*df.columns, (F.col("_base") + F.col("_lsess")).alias(name))
 
 

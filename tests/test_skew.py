@@ -119,3 +119,19 @@ def test_late_split_equals_definition(hot):
     want = d.filter(F.col("ts") < F.col("wm")).select("seq")
     assert rows(lt, "seq") == rows(want)
     assert on.count() + lt.count() == hot.count()
+
+
+def test_null_keys_keep_their_prefix(hot):
+    # null and 0 keys must stay apart, and a null key spanning many blocks
+    # still gets the prefix of its earlier blocks
+    d = hot.withColumn("k", F.when(F.col("id") == 0, F.lit(None)).when(F.col("id") < 5, F.lit(0)).otherwise(F.col("id")))
+    d = d.withColumn("ks", F.col("k").cast("string"))
+    for key in ("k", "ks"):
+        w = Window.partitionBy(key).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+        want = d.select("seq", F.sum("vc").over(w).alias("s"))
+        got = running_aggregate(d, [key], "seq", [("s", "sum", F.col("vc"))], block_width=50)
+        assert rows(got, "seq", "s") == rows(want)
+    got = stateful.rolling_top_k(d, "k", "seq", "vc", 3, block_width=50)
+    w = Window.partitionBy("k").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    want = d.select("seq", F.slice(F.sort_array(F.collect_list("vc").over(w), False), 1, 3).alias("top"))
+    assert rows(got, "seq", "top") == rows(want)
