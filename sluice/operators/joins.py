@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.time import epoch_us, floor_div
-from sluice.operators.rolling import TIME_BLOCK_US, running_aggregate
+from sluice.operators.rolling import running_aggregate
 
 
 def window_join(
@@ -108,14 +108,15 @@ def latest_rule(
     keys: Sequence[str] = (),
     name: str = "threshold",
     default=0,
-    block_us: int = TIME_BLOCK_US,
+    block_us: int | None = None,
 ) -> DataFrame:
     """J07/J08 each data row with the latest config value whose arrival is at
     or before the row's arrival (``default`` before the first config).
 
     ``keys`` empty: one global rule (broadcast state); with keys: a rule per
     key (keyed broadcast).  A config and a data row at the same instant: the
-    config counts.
+    config counts.  ``block_us=None`` sizes the arrival blocks from the data
+    (a global rule scans all rows of a block in one task).
     """
     keys = list(keys)
     cfg = configs.select(

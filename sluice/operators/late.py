@@ -12,7 +12,9 @@ done here, explicitly, on an ``arrival`` ordering:
 
 The prefix maximum runs through :func:`rolling.running_aggregate` with no key:
 arrival blocks are maximised locally and combined through a small prefix, so
-no single task ever sees the whole stream.
+no single task ever sees the whole stream.  With no key every row of a block
+lands in one task, so the block width defaults to one derived from the data
+(``block_us=None``: about two million rows per block), not a fixed duration.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.time import duration_us, epoch_us, from_epoch_seconds
-from sluice.operators.rolling import TIME_BLOCK_US, running_aggregate
+from sluice.operators.rolling import auto_block_width, running_aggregate
 
 
 def assign_event_time(df: DataFrame, seconds_col: str = "ts", name: str = "et") -> DataFrame:
@@ -38,7 +40,7 @@ def with_watermark_before(
     delay_s: int,
     name: str = "wm_before_us",
     tiebreak: Sequence[str] = ("seq",),
-    block_us: int = TIME_BLOCK_US,
+    block_us: int | None = None,
 ) -> DataFrame:
     """T02/T03 batch watermark: ``max(et of earlier arrivals) - delay`` in
     epoch microseconds (null before the first row).  ``delay_s=0`` is the
@@ -83,7 +85,7 @@ def combined_watermark(
     idle_s: int | None = None,
     name: str = "wm_before_us",
     tiebreak: Sequence[str] = ("seq",),
-    block_us: int = TIME_BLOCK_US,
+    block_us: int | None = None,
 ) -> DataFrame:
     """T04/T06 the clock of a task with several inputs: the minimum over the
     inputs' watermarks (an input without rows yet holds it at -inf = null).
@@ -94,6 +96,8 @@ def combined_watermark(
     known list of inputs.
     """
     d = df.withColumn("_arr_us", epoch_us(arrival)).withColumn("_et_us", epoch_us(et))
+    if block_us is None:
+        block_us = auto_block_width(d, "_arr_us")
     specs = []
     for i, s in enumerate(sources):
         mine = F.col(source) == F.lit(s)

@@ -50,17 +50,18 @@ def key_by(df: DataFrame, *keys: str, n: int | None = None) -> DataFrame:
     return df.repartition(n, *keys) if n else df.repartition(*keys)
 
 
-def spread_if_undersplit(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan over the cluster's cores when it has fewer input
-    files than cores (one file may be one row group, hence one task).
+def spread_if_undersplit(df: DataFrame, seed: int = 17) -> DataFrame:
+    """Spread a scan over the cluster's cores when it has fewer input files
+    than cores (one file may be one row group, hence one task).
 
     Used before heavy per-row work such as tokenizing long texts.  The check
     is plan-time metadata (the file listing Spark already holds), so a table
     stored in many files -- the normal case at scale -- keeps its scan
-    partitioning and pays no extra shuffle.  ``key`` should be a unique or
-    near-unique column so the spread cannot concentrate a hot key.
+    partitioning and pays no extra shuffle.  Targets are a seeded ``rand``
+    (as in R02): no key can concentrate rows, a retried task sends its rows
+    to the same targets, and no extra column is read.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if len(df.inputFiles()) >= cores:
         return df
-    return df.repartition(4 * cores, key)
+    return df.repartition(4 * cores, F.rand(seed))

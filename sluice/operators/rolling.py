@@ -37,12 +37,33 @@ from sluice.functions.time import floor_div
 # a few million rows of the hottest key at the target scale.
 SEQ_BLOCK = 1 << 24          # sequence numbers (event ids)
 TIME_BLOCK_US = 3_600_000_000  # one hour of event time, in microseconds
+# Target rows per block when the width is derived from the data (``None``).
+ROWS_PER_BLOCK = 1 << 21
 
 _AGG = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def with_block_key(df: DataFrame, keys: Sequence[str], blk: str, order: str, width: int):
+def auto_block_width(df: DataFrame, order: str, rows_per_block: int = ROWS_PER_BLOCK, min_blocks: int | None = None) -> int:
+    """A block width (in units of ``order``) from one small aggregate job:
+    ``min``, ``max`` and ``count`` of the ordering column.
+
+    The range is cut so that a block holds about ``rows_per_block`` rows if
+    the rows were spread evenly over it -- sized for the case where a single
+    key (or no key at all, for global scans) owns every row -- and into at
+    least ``min_blocks`` (default four per core) blocks so small inputs still
+    use the whole cluster.  The width becomes a literal of the plan, so a
+    retried task cuts the same blocks.
+    """
+    lo, hi, n = df.agg(F.min(order), F.max(order), F.count(order)).first()
+    if not n:
+        return 1
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    blocks = max(n // rows_per_block, min_blocks or 4 * cores, 1)
+    return max(1, -(-(int(hi) - int(lo) + 1) // blocks))
+
+
+def with_block_key(df: DataFrame, keys: Sequence[str], blk: str, order: str, width: int | None):
     """Add the block column and null-free key columns; return the frame and
     the partition columns (keys first, block last).
 
@@ -52,6 +73,8 @@ def with_block_key(df: DataFrame, keys: Sequence[str], blk: str, order: str, wid
     Other nullable types are wrapped in a struct (struct equality treats null
     fields as equal).
     """
+    if width is None:
+        width = auto_block_width(df, order)
     d = df.withColumn(blk, floor_div(order, width))
     part: list[str] = []
     for i, c in enumerate(keys):
@@ -96,7 +119,7 @@ def running_aggregate(
     keys: Sequence[str],
     order: str,
     specs: Sequence[tuple[str, str, Column]],
-    block_width: int = SEQ_BLOCK,
+    block_width: int | None = SEQ_BLOCK,
     tiebreak: Sequence[str] = (),
     exclusive: bool = False,
 ) -> DataFrame:
@@ -104,7 +127,8 @@ def running_aggregate(
 
     ``order`` must be a numeric column, unique within a key together with
     ``tiebreak``; the frame is "all earlier rows of the key and this row"
-    (``exclusive=True``: earlier rows only).
+    (``exclusive=True``: earlier rows only).  ``block_width=None`` derives
+    the width from the data (:func:`auto_block_width`).
     """
     blk = "_sl_blk"
     d, part = with_block_key(df, keys, blk, order, block_width)
@@ -145,7 +169,7 @@ def keyed_neighbour(
     name: str,
     direction: int = -1,
     default=None,
-    block_width: int = SEQ_BLOCK,
+    block_width: int | None = SEQ_BLOCK,
     tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """``lag(value)`` (direction -1) or ``lead(value)`` (+1) within a key.

@@ -18,7 +18,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from sluice.functions.time import epoch_us, floor_div
 from sluice.session import ship_package
-from sluice.operators.rolling import SEQ_BLOCK, TIME_BLOCK_US, keyed_neighbour, running_aggregate, with_block_key
+from sluice.operators.rolling import (
+    SEQ_BLOCK,
+    TIME_BLOCK_US,
+    auto_block_width,
+    keyed_neighbour,
+    running_aggregate,
+    with_block_key,
+)
 
 
 def value_jump(df: DataFrame, key: str, order: str, value: str, threshold: int, block_width: int = SEQ_BLOCK) -> DataFrame:
@@ -103,7 +110,7 @@ def event_timers(
     arrival: str,
     delay_s: int,
     timer_offset_s: int,
-    block_us: int = TIME_BLOCK_US,
+    block_us: int | None = None,
 ) -> DataFrame:
     """ST09 event-time timers.  Each row registers a timer at
     ``et + timer_offset`` for its key (same key and time: one timer).  The
@@ -114,11 +121,14 @@ def event_timers(
     Because the watermark is a running maximum, "first row whose watermark
     reaches t" is "first arrival among rows with ``et >= t + delay``": a
     suffix minimum over event time, computed with the same ordered scan
-    (descending event time) - never a pairwise comparison.
+    (descending event time) - never a pairwise comparison.  The scan has no
+    key, so ``block_us=None`` sizes its blocks from the data.
     """
     offset = timer_offset_s * 1_000_000
     delay = delay_s * 1_000_000
     base = df.select(F.col(key), F.col("seq"), epoch_us(et).alias("_e"), epoch_us(arrival).alias("_a"))
+    if block_us is None:
+        block_us = auto_block_width(base, "_e")
     timers = base.groupBy(key, (F.col("_e") + F.lit(offset)).alias("timer_us")).agg(
         F.min(F.struct("_a", "seq")).alias("_reg")
     )

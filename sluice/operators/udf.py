@@ -23,35 +23,45 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type
-from pyspark.sql.functions import udtf
+from pyspark.sql.functions import arrow_udtf
 
 from sluice.session import ship_package
 
 
-@udtf(returnType="pos: int, value: string", useArrow=True)
+@arrow_udtf(returnType="seq bigint, pos int, value string")
 class ConditionalExpand:
     """The P10 flat-map as a table function (first key -> [vc], second
-    key -> [ts, vc])."""
+    key -> [ts, vc]).  ``eval`` gets a whole Arrow batch of the input table
+    and yields the expanded rows of the batch, vectorised."""
 
-    def eval(self, id, ts, vc, first_id, second_id):  # noqa: A002
-        if id is not None and id == first_id:
-            yield 0, None if vc is None else str(vc)
-        elif id is not None and id == second_id:
-            yield 0, None if ts is None else str(ts)
-            yield 1, None if vc is None else str(vc)
+    def eval(self, batch: pa.RecordBatch):
+        ids = batch.column("id")
+        first = pc.fill_null(pc.equal(ids, batch.column("first_id")), False)
+        second = pc.and_(pc.fill_null(pc.equal(ids, batch.column("second_id")), False), pc.invert(first))
+
+        def rows(mask, pos: int, col: str) -> pa.Table:
+            b = batch.filter(mask)
+            return pa.table(
+                {
+                    "seq": b.column("seq"),
+                    "pos": pa.array([pos] * b.num_rows, pa.int32()),
+                    "value": pc.cast(b.column(col), pa.string()),
+                }
+            )
+
+        yield pa.concat_tables([rows(first, 0, "vc"), rows(second, 0, "ts"), rows(second, 1, "vc")])
 
 
 def udtf_expand(df: DataFrame, first_id: int, second_id: int) -> DataFrame:
+    """Rows ``(seq, pos, value)``; the table argument keeps the input's
+    partitioning, so the function runs in every scan task."""
     ship_package(df.sparkSession)
-    return df.lateralJoin(
-        ConditionalExpand(
-            F.col("id").outer(),
-            F.col("ts").outer(),
-            F.col("vc").outer(),
-            F.lit(first_id),
-            F.lit(second_id),
-        )
-    ).select("seq", "pos", "value")
+    inp = df.select(
+        "seq", "id", "ts", "vc",
+        F.lit(first_id).cast(df.schema["id"].dataType).alias("first_id"),
+        F.lit(second_id).cast(df.schema["id"].dataType).alias("second_id"),
+    )
+    return ConditionalExpand(inp.asTable())
 
 
 class AverageAggregate:

@@ -41,7 +41,7 @@ def _sql_num(expr: str, kind: str) -> str:
 
 def _lines(spark, sf):
     docs = model.table(spark, sf, "documents").select("doc_id", "text")
-    return text_lines(spread_if_undersplit(docs, "doc_id"))
+    return text_lines(spread_if_undersplit(docs))
 
 
 def _tokens(spark, sf):
