@@ -20,7 +20,6 @@ from sluice.functions.time import epoch_us, floor_div
 from sluice.session import ship_package
 from sluice.operators.rolling import (
     SEQ_BLOCK,
-    TIME_BLOCK_US,
     auto_block_width,
     keyed_neighbour,
     running_aggregate,
@@ -67,7 +66,7 @@ def ttl_value(
     ttl_s: int,
     keep_if_above: int,
     tiebreak: Sequence[str] = ("seq",),
-    block_us: int = TIME_BLOCK_US,
+    block_us: int | None = None,
 ) -> DataFrame:
     """ST06 ValueState with a time-to-live refreshed by reads *and* writes.
 
@@ -79,6 +78,8 @@ def ttl_value(
     """
     ttl = ttl_s * 1_000_000
     d = df.withColumn("_t", epoch_us(arrival))
+    if block_us is None:  # time blocks sized from the data: one key may own every row
+        block_us = auto_block_width(d, "_t")
     d = keyed_neighbour(d, [key], "_t", "_t", "_pt", -1, None, block_us, list(tiebreak))
     d = d.withColumn("_new", F.when(F.col("_pt").isNull() | (F.col("_t") - F.col("_pt") >= ttl), 1).otherwise(0))
     d = running_aggregate(d, [key], "_t", [("_island", "sum", F.col("_new"))], block_us, list(tiebreak))
@@ -92,12 +93,14 @@ def ttl_value(
     return d.withColumn("old_value", F.col("_last.v")).drop("_t", "_pt", "_new", "_island", "_last")
 
 
-def inactivity_alerts(df: DataFrame, key: str, et: str, limit_s: int, tiebreak: Sequence[str] = ("seq",)) -> DataFrame:
+def inactivity_alerts(
+    df: DataFrame, key: str, et: str, limit_s: int, tiebreak: Sequence[str] = ("seq",), block_us: int | None = None
+) -> DataFrame:
     """ST11 a timer re-armed (old one deleted) on every row: it fires when no
     further row of the key comes within ``limit``; fires only when a later
     row exists (end of input does not flush)."""
     d = df.withColumn("_t", epoch_us(et))
-    d = keyed_neighbour(d, [key], "_t", "_t", "_next", +1, None, TIME_BLOCK_US, list(tiebreak))
+    d = keyed_neighbour(d, [key], "_t", "_t", "_next", +1, None, block_us, list(tiebreak))
     return d.filter(F.col("_next") - F.col("_t") > limit_s * 1_000_000).select(
         *df.columns, floor_div(F.col("_next") - F.col("_t"), 1_000_000).alias("gap_s")
     )

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.time import duration_us, epoch_ms, epoch_us, floor_div, shift_seconds
-from sluice.operators.rolling import SEQ_BLOCK, TIME_BLOCK_US, running_aggregate, with_block_key
+from sluice.operators.rolling import SEQ_BLOCK, running_aggregate, with_block_key
 
 
 def with_window(df: DataFrame, et: str, size: str, slide: str | None = None) -> DataFrame:
@@ -70,7 +70,7 @@ def session_numbers(
     t_us: str,
     gap_us: int,
     tiebreak: Sequence[str] = (),
-    block_us: int = TIME_BLOCK_US,
+    block_us: int | None = None,
     name: str = "_sess",
 ) -> DataFrame:
     """Number the gap sessions of each key in one block-decomposed pass.
@@ -79,7 +79,9 @@ def session_numbers(
     predecessor; the running count of breaks numbers the local sessions.  Per
     block only (first, last, breaks) is kept; a small per-key scan over the
     blocks adds the break at a block's first row (gap to the previous block's
-    last row) and the breaks of all earlier blocks.
+    last row) and the breaks of all earlier blocks.  ``block_us=None`` sizes
+    the time blocks from the data (a fixed duration would let one hot key's
+    busy hour land in one task).
     """
     blk = "_sl_blk"
     d, part = with_block_key(df, keys, blk, t_us, block_us)
@@ -112,7 +114,7 @@ def session_windows(
     gap: str,
     aggs: Sequence[Column],
     tiebreak: Sequence[str] = (),
-    block_us: int = TIME_BLOCK_US,
+    block_us: int | None = None,
 ) -> DataFrame:
     """W05/W06 gap-based sessions: a row at least ``gap`` after the previous
     row of its key opens a new session; a session spans ``[first, last+gap)``.
