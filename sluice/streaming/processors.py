@@ -150,13 +150,17 @@ class ValueCounts(KeyedProcess):
         )
 
     def process(self, key, frame, timer_values):
-        out = []
-        for seq, v in zip(frame["seq"].tolist(), frame["vc"].tolist()):
-            k = (int(v),)
-            n = (self.counts.getValue(k)[0] if self.counts.containsKey(k) else 0) + 1
-            self.counts.updateValue(k, (n,))
-            out.append((int(seq), key[0], int(v), n))
-        yield pd.DataFrame(out, columns=["seq", "id", "vc", "cnt"])
+        # one read of the key's map and one write per changed value per
+        # batch; the per-row counts are a vectorised running count
+        vc = frame["vc"].astype("int64")
+        stored = {int(k[0]): int(v[0]) for k, v in self.counts.iterator()}
+        cnt = vc.groupby(vc).cumcount().astype("int64") + 1 + vc.map(lambda x: stored.get(x, 0))
+        last = pd.DataFrame({"vc": vc, "cnt": cnt}).groupby("vc")["cnt"].max()
+        for v, n in last.items():
+            self.counts.updateValue((int(v),), (int(n),))
+        yield pd.DataFrame(
+            {"seq": frame["seq"].astype("int64"), "id": key[0], "vc": vc.astype("int32"), "cnt": cnt}
+        )
 
 
 class CountWindow(KeyedProcess):
