@@ -7,14 +7,11 @@ block-decomposed running aggregate (see ``rolling``).
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.session import ship_package
 from sluice.operators.rolling import SEQ_BLOCK, running_aggregate
 
 
@@ -68,29 +65,11 @@ def keyed_top_k(df: DataFrame, keys: Sequence[str], value: str, k: int, tiebreak
     """The ``k`` rows with the largest ``value`` per key (ties: smaller
     ``tiebreak`` first), bounded in every phase.
 
-    Phase 1 (``mapInArrow``) keeps at most ``k`` rows per key and input
-    partition; phase 2 ranks those few rows per key.  No key is sorted whole.
+    A ``row_number() <= k`` filter: Spark plans a *partial*
+    ``WindowGroupLimit`` before the exchange, so each map partition ships at
+    most ``k`` rows per key, and the final rank sees at most
+    ``k x partitions`` rows of a key.  No key is sorted whole.
     """
-    ship_package(df.sparkSession)
-    keys = list(keys)
     cols = [*keys, value, tiebreak]
-    schema = df.select(*cols).schema
-
-    def local_top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None
-        for b in batches:
-            pdf = b.to_pandas()
-            if pdf.empty:
-                continue
-            kept = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
-            kept = (
-                kept.sort_values([value, tiebreak], ascending=[False, True], na_position="last")
-                .groupby(keys, dropna=False, sort=False)
-                .head(k)
-            )
-        if kept is not None and len(kept):
-            yield pa.RecordBatch.from_pandas(kept[cols], schema=pa.Schema.from_pandas(kept[cols], preserve_index=False), preserve_index=False)
-
-    reduced = df.select(*cols).mapInArrow(local_top, schema)
     w = Window.partitionBy(*keys).orderBy(F.col(value).desc_nulls_last(), F.col(tiebreak).asc())
-    return reduced.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return df.select(*cols).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

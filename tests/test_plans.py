@@ -30,3 +30,34 @@ def test_word_count_partial_aggregation(spark):
     # map-side combine before the shuffle: hot words are pre-aggregated
     assert text.count("HashAggregate") >= 2
     assert "ReadSchema: struct<text:string>" in text  # doc_id pruned too
+
+
+def test_keyed_top_k_limits_map_side(spark):
+    # F13 ranks per key: a partial WindowGroupLimit sits below the exchange,
+    # so a hot key ships at most k rows per map partition
+    text = _plan(E.queries()["f13_fn_list_ops"](spark, SF001))
+    partial = text.find("WindowGroupLimit")
+    assert "Partial" in text and partial >= 0
+    lines = text.split("\n")
+    pos = [i for i, l in enumerate(lines) if "WindowGroupLimit" in l and "Partial" in l]
+    ex = [i for i, l in enumerate(lines) if "Exchange hashpartitioning(id" in l]
+    assert pos and ex and min(ex) < max(pos)  # printed tree: the exchange is above the partial limit
+
+
+def test_rolling_prefix_join_reuses_partitioning(spark):
+    # with the prefix too large to broadcast, the join back must not shuffle
+    # the local scan again: exactly one exchange of the token rows by key
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = _plan(E.queries()["a03_keyed_sum_rolling"](spark, SF001))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    lines = text.split("\n")
+    j = next(i for i, l in enumerate(lines) if "SortMergeJoin" in l)
+    p = lines[j].find("+- ")
+    indent = p + 3 if p >= 0 else 0  # column of the tree markers of the join's children
+    # the join's left child: the lines marked ':' under the join
+    left = [l for l in lines[j + 1:] if len(l) > indent and l[indent] == ":"]
+    assert sum("Exchange" in l for l in left) == 1
