@@ -46,10 +46,27 @@ class KeyedProcess(StatefulProcessor):
     def open(self, handle: StatefulProcessorHandle) -> None:  # pragma: no cover - hook
         pass
 
+    # Set by ``apply_processor`` on a table whose rows are already in
+    # ``(key, seq)`` order: frames are then processed one at a time (memory
+    # of one Arrow batch, never the whole key) and their order is checked.
+    presorted: str | None = None
+
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        frame = _ordered(rows)
-        if len(frame):
-            yield from self.process(key, frame, timerValues)
+        if not self.presorted:
+            # a stream: the key's rows of one micro-batch, bounded by the trigger
+            frame = _ordered(rows)
+            if len(frame):
+                yield from self.process(key, frame, timerValues)
+            return
+        last = None
+        for frame in rows:
+            if not len(frame):
+                continue
+            order = frame[self.presorted]
+            if not order.is_monotonic_increasing or (last is not None and order.iloc[0] < last):
+                raise RuntimeError(f"rows of key {key} are not in {self.presorted} order")
+            last = order.iloc[-1]
+            yield from self.process(key, frame.reset_index(drop=True), timerValues)
 
     def process(self, key, frame: pd.DataFrame, timer_values: TimerValues) -> Iterator[pd.DataFrame]:
         raise NotImplementedError
@@ -305,12 +322,26 @@ class KeyedRule(KeyedProcess):
             yield pd.DataFrame(out, columns=["seq", "id", "vc", "threshold"])
 
 
-def apply_processor(df, key: str, processor: KeyedProcess, time_mode: str = "None", output_mode: str = "Append"):
+def apply_processor(
+    df, key: str, processor: KeyedProcess, time_mode: str = "None", output_mode: str = "Append", order: str | None = "seq"
+):
     """``groupBy(key).transformWithStateInPandas(processor)``; works on batch
-    frames (one pass) and streams."""
+    frames (one pass) and streams.
+
+    On a table (not a stream) with an ``order`` column, the rows are first
+    hash-partitioned by key exactly as the stateful operator needs and sorted
+    by ``(key, order)`` inside each partition; the operator reuses that
+    partitioning without another sort, so each key's rows arrive in order
+    and are processed batch by batch -- a hot key is streamed through its
+    state, never gathered into one frame.
+    """
     spark = df.sparkSession
     ship_package(spark)
     spark.streams.active  # registers the state store coordinator (needed in batch mode too)
+    if order and not df.isStreaming:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(n, key).sortWithinPartitions(key, order)
+        processor.presorted = order
     return df.groupBy(key).transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=processor.output,
