@@ -23,8 +23,12 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
-    # Broadcast only what the planner has measured to be small.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Broadcast only what has been measured to be small: no static broadcast
+    # from Catalyst's size estimates (an explode or a filter can make them
+    # wrong either way); AQE turns a join into a broadcast join when the
+    # materialised shuffle stage of one side is under the threshold.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
 

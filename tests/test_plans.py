@@ -47,13 +47,14 @@ def test_keyed_top_k_limits_map_side(spark):
 def test_rolling_prefix_join_reuses_partitioning(spark):
     # with the prefix too large to broadcast, the join back must not shuffle
     # the local scan again: exactly one exchange of the token rows by key
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         text = _plan(E.queries()["a03_keyed_sum_rolling"](spark, SF001))
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        for k, v in saved.items():
+            spark.conf.set(k, v)
     lines = text.split("\n")
     j = next(i for i, l in enumerate(lines) if "SortMergeJoin" in l)
     p = lines[j].find("+- ")
