@@ -151,3 +151,17 @@ def test_processor_streams_a_hot_key_in_frames(spark, hot):
     w = Window.partitionBy("id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     want = hot.select("seq", F.sum("vc").over(w).alias("s"))
     assert got_rows == rows(want)
+
+
+def test_auto_block_width_bounds_rows(spark):
+    from sluice.operators.rolling import auto_block_width
+
+    d = spark.range(10_000).withColumnRenamed("id", "o")
+    # about rows_per_block rows per block when that gives enough blocks
+    assert auto_block_width(d, "o", rows_per_block=1000, min_blocks=4) == 1000
+    # at least min_blocks blocks on small inputs
+    w = auto_block_width(d, "o", rows_per_block=1 << 21, min_blocks=32)
+    assert w == -(-10_000 // 32)
+    blocks = d.select(F.floor(F.col("o") / w).alias("b")).groupBy("b").count()
+    assert blocks.count() == 32 and blocks.agg(F.max("count")).first()[0] <= w
+    assert auto_block_width(d.filter("o < 0"), "o") == 1  # empty input
