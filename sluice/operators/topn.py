@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.time import from_epoch_ms
-from sluice.operators.windows import window_aggregate
+from sluice.operators.windows import sliding_pane_aggregate, window_aggregate
 
 
 def window_value_counts(df: DataFrame, et: str, value: str, size: str, slide: str | None) -> DataFrame:
     """Stage 1 (TK02): count per (window, value).  Partial aggregation before
-    the shuffle - each window's rank input is one row per distinct value."""
+    the shuffle - each window's rank input is one row per distinct value.
+    Sliding windows count per pane first (:func:`sliding_pane_aggregate`)."""
+    if slide:
+        return sliding_pane_aggregate(df, [value], et, size, slide, [("cnt", "count", F.lit(1))])
     return window_aggregate(df, [value], et, size, [F.count(F.lit(1)).alias("cnt")], slide)
 
 

@@ -6,6 +6,7 @@ epoch milliseconds (``window_start``, ``window_end`` BIGINT columns).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -48,6 +49,50 @@ def window_aggregate(
     return g.select(*keys, *window_bounds(), *rest)
 
 
+_PANE_AGG = {"sum": (F.sum, F.sum), "count": (F.count, F.sum), "min": (F.min, F.min), "max": (F.max, F.max)}
+
+
+def sliding_pane_aggregate(
+    df: DataFrame,
+    keys: Sequence[str],
+    et: str,
+    size: str,
+    slide: str,
+    specs: Sequence[tuple[str, str, Column]],
+) -> DataFrame:
+    """W03/W04/W10 sliding windows for decomposable aggregates (sum, count,
+    min, max given as ``(name, kind, expr)``), through *panes*.
+
+    ``window(et, size, slide)`` copies every row into ``size/slide`` windows
+    before aggregating (``Expand``), so a 1 day / 1 minute window multiplies
+    the rows by 1,440.  Here rows are first aggregated per key and pane (width
+    ``gcd(size, slide)``, partial aggregation before the shuffle), and only
+    the one row per key and pane is copied into the windows that contain the
+    pane and combined.  Same windows as ``window()``: starts at multiples of
+    ``slide``, half-open ``[start, start + size)``, only windows with rows.
+    """
+    size_us, slide_us = duration_us(size), duration_us(slide)
+    if not 0 < slide_us <= size_us:
+        raise ValueError("slide must be positive and at most the window size (as for window())")
+    pane_us = math.gcd(size_us, slide_us)
+    t = epoch_us(et)
+    panes = df.filter(t.isNotNull()).groupBy(*keys, floor_div(t, pane_us).alias("_pane")).agg(
+        *[_PANE_AGG[k][0](e).alias(f"_p_{n}") for n, k, e in specs]
+    )
+    ps = F.col("_pane") * F.lit(pane_us)
+    # windows [j*slide, j*slide + size) that contain the whole pane
+    lo = -floor_div(-(ps + F.lit(pane_us - size_us)), slide_us)
+    hi = floor_div(ps, slide_us)
+    w = panes.withColumn("_j", F.explode(F.sequence(lo, hi))).withColumn("_ws", F.col("_j") * F.lit(slide_us))
+    g = w.groupBy(*keys, "_ws").agg(*[_PANE_AGG[k][1](F.col(f"_p_{n}")).alias(n) for n, k, _ in specs])
+    return g.select(
+        *keys,
+        floor_div("_ws", 1000).alias("window_start"),
+        floor_div(F.col("_ws") + F.lit(size_us), 1000).alias("window_end"),
+        *[n for n, _, _ in specs],
+    )
+
+
 def window_process(
     df: DataFrame, keys: Sequence[str], et: str, size: str, slide: str | None = None
 ) -> DataFrame:

@@ -21,6 +21,10 @@ from sluice.plans.sql import (
 
 def _cnt_sum():
     return [F.count(F.lit(1)).alias("cnt"), F.sum("vc").alias("sum_vc")]
+
+
+def _cnt_sum_specs():
+    return [("cnt", "count", F.lit(1)), ("sum_vc", "sum", F.col("vc"))]
 _SQL_CNT_SUM = "count(*) AS cnt, CAST(sum(vc) AS BIGINT) AS sum_vc"
 
 
@@ -52,15 +56,15 @@ def w02(spark, sf):
 
 @query("w03_win_sliding_event", _slide_sql([SENSOR], "et", P.SLIDE_SIZE, P.SLIDE_STEP))
 def w03(spark, sf):
-    return windows.window_aggregate(
-        sensor_view(spark, sf), ["id"], "et", P.SLIDE_SIZE, _cnt_sum(), P.SLIDE_STEP
+    return windows.sliding_pane_aggregate(
+        sensor_view(spark, sf), ["id"], "et", P.SLIDE_SIZE, P.SLIDE_STEP, _cnt_sum_specs()
     )
 
 
 @query("w04_win_sliding_proc", _slide_sql([SENSOR, ARRIVALS], "arrival", P.SLIDE_SIZE, P.SLIDE_STEP))
 def w04(spark, sf):
-    return windows.window_aggregate(
-        arrivals_view(spark, sf), ["id"], "arrival", P.SLIDE_SIZE, _cnt_sum(), P.SLIDE_STEP
+    return windows.sliding_pane_aggregate(
+        arrivals_view(spark, sf), ["id"], "arrival", P.SLIDE_SIZE, P.SLIDE_STEP, _cnt_sum_specs()
     )
 
 
@@ -144,7 +148,7 @@ def w09(spark, sf):
 
 @query("w10_win_all", _slide_sql([SENSOR], "et", P.SLIDE_SIZE, P.SLIDE_STEP, keys=""))
 def w10(spark, sf):
-    return windows.window_aggregate(sensor_view(spark, sf), [], "et", P.SLIDE_SIZE, _cnt_sum(), P.SLIDE_STEP)
+    return windows.sliding_pane_aggregate(sensor_view(spark, sf), [], "et", P.SLIDE_SIZE, P.SLIDE_STEP, _cnt_sum_specs())
 
 
 @query(

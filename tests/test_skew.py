@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
-from sluice.functions.time import from_epoch_seconds
+from sluice.functions.time import epoch_ms, from_epoch_seconds
 from sluice.operators import aggregate as A
 from sluice.operators import joins, late, stateful
 from sluice.operators.rolling import keyed_neighbour, running_aggregate
@@ -165,3 +165,24 @@ def test_auto_block_width_bounds_rows(spark):
     blocks = d.select(F.floor(F.col("o") / w).alias("b")).groupBy("b").count()
     assert blocks.count() == 32 and blocks.agg(F.max("count")).first()[0] <= w
     assert auto_block_width(d.filter("o < 0"), "o") == 1  # empty input
+
+
+@pytest.mark.parametrize("size,slide", [("60 minutes", "1 minute"), ("10 minutes", "4 minutes"), ("7 minutes", "7 minutes")])
+def test_sliding_panes_match_window(hot, size, slide):
+    from sluice.operators.windows import sliding_pane_aggregate
+
+    w = F.window("et", size, slide)
+    want = hot.groupBy("id", w.alias("w")).agg(
+        F.count(F.lit(1)).alias("c"), F.sum("vc").alias("s"), F.max("vc").alias("m")
+    ).select("id", epoch_ms(F.col("w.start")).alias("ws"), epoch_ms(F.col("w.end")).alias("we"), "c", "s", "m")
+    got = sliding_pane_aggregate(
+        hot, ["id"], "et", size, slide, [("c", "count", F.lit(1)), ("s", "sum", F.col("vc")), ("m", "max", F.col("vc"))]
+    )
+    assert rows(got, "id", "window_start", "window_end", "c", "s", "m") == rows(want)
+
+
+def test_sliding_panes_reject_gapped_windows(hot):
+    from sluice.operators.windows import sliding_pane_aggregate
+
+    with pytest.raises(ValueError):
+        sliding_pane_aggregate(hot, ["id"], "et", "3 minutes", "5 minutes", [("c", "count", F.lit(1))])
