@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from sluice.functions.time import epoch_us, floor_div
+from sluice.operators.windows import session_numbers
 from sluice.session import ship_package
 from sluice.operators.rolling import (
     SEQ_BLOCK,
@@ -80,9 +81,8 @@ def ttl_value(
     d = df.withColumn("_t", epoch_us(arrival))
     if block_us is None:  # time blocks sized from the data: one key may own every row
         block_us = auto_block_width(d, "_t")
-    d = keyed_neighbour(d, [key], "_t", "_t", "_pt", -1, None, block_us, list(tiebreak))
-    d = d.withColumn("_new", F.when(F.col("_pt").isNull() | (F.col("_t") - F.col("_pt") >= ttl), 1).otherwise(0))
-    d = running_aggregate(d, [key], "_t", [("_island", "sum", F.col("_new"))], block_us, list(tiebreak))
+    # islands = gap sessions with gap = TTL: one fused block pass
+    d = session_numbers(d, [key], "_t", ttl, tiebreak, block_us, name="_island")
     stored = F.when(
         F.col(value) > keep_if_above,
         F.struct(F.col("_t").alias("t"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(tiebreak)], F.col(value).alias("v")),
@@ -90,7 +90,7 @@ def ttl_value(
     d = running_aggregate(
         d, [key, "_island"], "_t", [("_last", "max", stored)], block_us, list(tiebreak), exclusive=True
     )
-    return d.withColumn("old_value", F.col("_last.v")).drop("_t", "_pt", "_new", "_island", "_last")
+    return d.withColumn("old_value", F.col("_last.v")).drop("_t", "_island", "_last")
 
 
 def inactivity_alerts(
