@@ -9,6 +9,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from sluice.plans import load_all  # noqa: E402
 from conftest import SF01  # noqa: E402
 from oracle_check import _rows, connect  # noqa: E402
 
@@ -21,7 +22,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    missing = sorted(set(E.queries()) - set(SQL))
+    missing = sorted(set(load_all()) - set(SQL))
     assert missing == []
 
 
