@@ -6,8 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sluice.llm import bpe
+from sluice.llm import bpe, packing
 from sluice.llm.common import documents
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -26,3 +27,12 @@ def byte_bpe(spark, sf_dir):
     import public_tokenizers
 
     return bpe.round_trip_digests(documents(spark, sf_dir), public_tokenizers.path(bpe.RANK_FILE), public_tokenizers.PATTERN)
+
+
+@query("op10_best_fit_packing")
+def best_fit_packing(spark, sf_dir):
+    import public_tokenizers
+
+    pieces = packing.document_pieces(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(digests)
