@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, packing
+from sluice.llm import bpe, packing, sequence_files
 from sluice.llm.common import documents
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -36,3 +36,10 @@ def best_fit_packing(spark, sf_dir):
     pieces = packing.document_pieces(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
     digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(digests)
+
+
+@query("op8_sequence_files")
+def token_sequence_files(spark, sf_dir):
+    import public_tokenizers
+
+    return sequence_files.read(sequence_files.write(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")))
