@@ -133,7 +133,7 @@ def _forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
 def _anchor_links(batches, distance: int):
     """Rows sorted by key; the homes of an anchor come just before its
     replicas.  Only groups with a home and company are looked at."""
-    rest_k, rest_f = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    rest_k, rest_f = np.zeros(0, np.int64), np.zeros(0, np.uint64)  # bits of a negative number are not counted as they stand
 
     def links(k: np.ndarray, f: np.ndarray):
         place = k >> 1
@@ -149,12 +149,12 @@ def _anchor_links(batches, distance: int):
             else:
                 found += _forest(f[a:z], distance)
         if found:
-            pairs = np.array(found, np.int64)
+            pairs = np.array(found, np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(pairs.min(axis=1)), pa.array(pairs.max(axis=1))], ["a", "b"])
 
     for b in batches:
         k = np.concatenate([rest_k, b.column(0).to_numpy()])
-        f = np.concatenate([rest_f, b.column(1).to_numpy()])
+        f = np.concatenate([rest_f, b.column(1).to_numpy().view(np.uint64)])
         if not len(k):
             continue
         keep = np.searchsorted(k >> 1, k[-1] >> 1)  # the last anchor may go on
