@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, packing, sequence_files, simhash
+from sluice.llm import bpe, packing, secrets, sequence_files, simhash
 from sluice.llm.common import documents
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -49,3 +49,8 @@ def token_sequence_files(spark, sf_dir):
 def simhash_components(spark, sf_dir):
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op4_secret_links")
+def secret_links(spark, sf_dir):
+    return secrets.span_digests(documents(spark, sf_dir))
