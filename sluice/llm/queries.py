@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, packing, secrets, sequence_files, sharding, simhash
+from sluice.llm import bpe, packing, secrets, sequence_files, sharding, simhash, sketches
 from sluice.llm.common import documents, materialize
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -61,3 +61,8 @@ def hilbert_shards(spark, sf_dir):
     rows = materialize(sharding.text_metadata(documents(spark, sf_dir)), "metadata")
     shards = sharding.hilbert_shards(rows)
     return shards.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+@query("op1_bottom_k_sketch")
+def bottom_k_sketch(spark, sf_dir):
+    return sketches.compare_with_edit(documents(spark, sf_dir))
