@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, langid, packing, secrets, sequence_files, sharding, simhash, sketches
+from sluice.llm import bpe, langid, lines, packing, secrets, sequence_files, sharding, simhash, sketches
 from sluice.llm.common import documents, materialize
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -72,3 +72,8 @@ def bottom_k_sketch(spark, sf_dir):
 def language(spark, sf_dir):
     docs = documents(spark, sf_dir)
     return langid.predict(docs, langid.fit(docs))
+
+
+@query("op7_line_dedup")
+def line_dedup(spark, sf_dir):
+    return lines.line_digests(documents(spark, sf_dir))
