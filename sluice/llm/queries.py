@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, langid, lines, packing, secrets, sequence_files, sharding, simhash, sketches
+from sluice.llm import bpe, embeddings, langid, lines, packing, secrets, sequence_files, sharding, simhash, sketches
 from sluice.llm.common import documents, materialize
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -77,3 +77,8 @@ def language(spark, sf_dir):
 @query("op7_line_dedup")
 def line_dedup(spark, sf_dir):
     return lines.line_digests(documents(spark, sf_dir))
+
+
+@query("op2_rp_forest")
+def rp_forest(spark, sf_dir):
+    return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
