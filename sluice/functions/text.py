@@ -30,8 +30,8 @@ def sensor_text(id_col="id", ts_col="ts", vc_col="vc") -> Column:
 
 
 def field(line, i: int) -> Column:
-    """F01 the i-th (0-based) comma field."""
-    return F.split(_c(line), ",", -1).getItem(i)
+    """F01 the i-th (0-based) comma field; null on a shorter line."""
+    return F.get(F.split(_c(line), ",", -1), F.lit(i))
 
 
 def utf8_hex(col) -> Column:

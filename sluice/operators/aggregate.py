@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.operators.rolling import SEQ_BLOCK, running_aggregate
+from sluice.operators.rolling import ROWS_PER_BLOCK, running_aggregate
 
 
 def keyed_final(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
@@ -24,11 +24,11 @@ def keyed_rolling(
     keys: Sequence[str],
     order: str,
     specs: Sequence[tuple[str, str, Column]],
-    block_width: int = SEQ_BLOCK,
+    rows_per_block: int = ROWS_PER_BLOCK,
     tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """Rolling keyed aggregate: one output row per input row."""
-    return running_aggregate(df, keys, order, specs, block_width, tiebreak)
+    return running_aggregate(df, keys, order, specs, rows_per_block, tiebreak)
 
 
 def row_struct(df: DataFrame, cols: Sequence[str] | None = None) -> Column:
@@ -51,7 +51,8 @@ def keyed_extreme_row(df: DataFrame, key: str, field: str, seq: str, kind: str)
     """
     row = row_struct(df, [c for c in df.columns if c != key])
     if kind == "min_by":
-        best = F.min_by(row, F.struct(F.col(field), F.col(seq)))
+        # a null reading is no minimum unless the key has nothing else
+        best = F.min_by(row, F.struct(F.col(field).isNull(), F.col(field), F.col(seq)))
     elif kind == "max_by":
         best = F.max_by(row, F.struct(F.col(field), -F.col(seq)))
     elif kind == "reduce":

@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.time import epoch_us, floor_div
-from sluice.operators.rolling import running_aggregate
+from sluice.operators.late import combined_watermark, late_by_clock
+from sluice.operators.rolling import ROWS_PER_BLOCK, running_aggregate
 
 
 def window_join(
@@ -45,7 +46,7 @@ def interval_join(
 ) -> DataFrame:
     """J02 inner join: same key and ``l.et + lower <= r.et <= l.et + upper``
     (closed bounds)."""
-    width = max(abs(lower_s), abs(upper_s), 1) * 1_000_000
+    width = max(upper_s - lower_s, 1) * 1_000_000
     lx = left.select(
         F.col(key).alias("_k"),
         epoch_us(et).alias("_lt"),
@@ -53,9 +54,9 @@ def interval_join(
     ).withColumn(
         "_b",
         F.explode(
-            F.transform(
-                F.array(*[F.lit(o) for o in _bucket_offsets(lower_s, upper_s, width)]),
-                lambda o: floor_div("_lt", width) + o,
+            F.sequence(
+                floor_div(F.col("_lt") + F.lit(lower_s * 1_000_000), width),
+                floor_div(F.col("_lt") + F.lit(upper_s * 1_000_000), width),
             )
         ),
     )
@@ -75,13 +76,43 @@ def interval_join(
     return j.select(F.col("_k").alias(key), *[f"l_{c}" for c in lcols], *[f"r_{c}" for c in rcols])
 
 
-def _bucket_offsets(lower_s: int, upper_s: int, width_us: int) -> list[int]:
-    """Buckets of the right side a left row can meet: offsets from the left
-    row's bucket covering ``[lower, upper]``."""
-    lo = (lower_s * 1_000_000) // width_us
-    up = upper_s * 1_000_000
-    hi = up // width_us + (0 if up % width_us == 0 else 1)
-    return list(range(lo, hi + 1))
+def connected_join(
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str, lcols: Sequence[str], rcols: Sequence[str]
+) -> DataFrame:
+    """J04 two keyed inputs, each kept whole as keyed state: every row meets
+    every row of its key on the other side, whichever comes first.  On tables
+    an equi-join, whose hot keys adaptive execution splits; on streams Spark's
+    stream-stream join, whose state is the two inputs."""
+    on = left[left_key] == right[right_key]
+    return left.join(right, on, "inner").select(*[left[c] for c in lcols], *[right[c] for c in rcols])
+
+
+def interval_join_late(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    et: str,
+    arrival: str,
+    lower_s: int,
+    upper_s: int,
+    delay_s: int,
+    lcols: Sequence[str],
+    rcols: Sequence[str],
+    tiebreak: Sequence[str] = ("seq",),
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """J03 interval join with late sides: ``(joined, late left, late right)``.
+
+    A row is late if its event time is behind the clock of both inputs (the
+    smaller watermark) at its arrival; late rows leave on their side's frame,
+    whole, and do not join.  Both inputs run through one ordered scan.
+    """
+    tagged = left.withColumn("_side", F.lit("l")).unionByName(right.withColumn("_side", F.lit("r")), allowMissingColumns=True)
+    d = combined_watermark(tagged, "_side", ["l", "r"], et, arrival, delay_s, name="_clock", tiebreak=tiebreak)
+    d = d.withColumn("_late", late_by_clock(d, et, "_clock"))
+    sides = {s: d.filter(F.col("_side") == s) for s in "lr"}
+    on_time = [sides[s].filter(~F.col("_late")) for s in "lr"]
+    joined = interval_join(*on_time, key, et, lower_s, upper_s, lcols, rcols)
+    return joined, sides["l"].filter("_late").select(*left.columns), sides["r"].filter("_late").select(*right.columns)
 
 
 def connect_map(left: DataFrame, right: DataFrame, lmap, rmap, lname: str = "left", rname: str = "right") -> DataFrame:
@@ -108,15 +139,14 @@ def latest_rule(
     keys: Sequence[str] = (),
     name: str = "threshold",
     default=0,
-    block_us: int | None = None,
+    rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """J07/J08 each data row with the latest config value whose arrival is at
     or before the row's arrival (``default`` before the first config).
 
     ``keys`` empty: one global rule (broadcast state); with keys: a rule per
     key (keyed broadcast).  A config and a data row at the same instant: the
-    config counts.  ``block_us=None`` sizes the arrival blocks from the data
-    (a global rule scans all rows of a block in one task).
+    config counts.
     """
     keys = list(keys)
     cfg = configs.select(
@@ -135,7 +165,7 @@ def latest_rule(
         F.lit(None).cast(cfg.schema["_cfg"].dataType).alias("_cfg"),
     )
     u = dat.unionByName(cfg, allowMissingColumns=True)
-    r = running_aggregate(u, keys, "_a", [("_last", "max", F.col("_cfg"))], block_us, ["_kind", "_seq"])
+    r = running_aggregate(u, keys, "_a", [("_last", "max", F.col("_cfg"))], rows_per_block, ["_kind", "_seq"])
     return r.filter(F.col("_kind") == 1).select(
         *dat_cols, F.coalesce(F.col("_last.v"), F.lit(default)).alias(name)
     )

@@ -12,9 +12,7 @@ done here, explicitly, on an ``arrival`` ordering:
 
 The prefix maximum runs through :func:`rolling.running_aggregate` with no key:
 arrival blocks are maximised locally and combined through a small prefix, so
-no single task ever sees the whole stream.  With no key every row of a block
-lands in one task, so the block width defaults to one derived from the data
-(``block_us=None``: about two million rows per block), not a fixed duration.
+no single task ever sees more than a block's rows, cut where the data lie.
 """
 
 from __future__ import annotations
@@ -25,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.time import duration_us, epoch_us, from_epoch_seconds
-from sluice.operators.rolling import auto_block_width, running_aggregate
+from sluice.operators.rolling import ROWS_PER_BLOCK, find_cut, running_aggregate
 
 
 def assign_event_time(df: DataFrame, seconds_col: str = "ts", name: str = "et") -> DataFrame:
@@ -40,14 +38,14 @@ def with_watermark_before(
     delay_s: int,
     name: str = "wm_before_us",
     tiebreak: Sequence[str] = ("seq",),
-    block_us: int | None = None,
+    rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """T02/T03 batch watermark: ``max(et of earlier arrivals) - delay`` in
     epoch microseconds (null before the first row).  ``delay_s=0`` is the
     monotonous strategy."""
     d = df.withColumn("_arr_us", epoch_us(arrival)).withColumn("_et_us", epoch_us(et))
     d = running_aggregate(
-        d, [], "_arr_us", [("_max_et", "max", F.col("_et_us"))], block_us, list(tiebreak), exclusive=True
+        d, [], "_arr_us", [("_max_et", "max", F.col("_et_us"))], rows_per_block, list(tiebreak), exclusive=True
     )
     return d.withColumn(name, F.col("_max_et") - F.lit(delay_s * 1_000_000)).drop("_max_et", "_arr_us", "_et_us")
 
@@ -85,25 +83,25 @@ def combined_watermark(
     idle_s: int | None = None,
     name: str = "wm_before_us",
     tiebreak: Sequence[str] = ("seq",),
-    block_us: int | None = None,
+    rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """T04/T06 the clock of a task with several inputs: the minimum over the
     inputs' watermarks (an input without rows yet holds it at -inf = null).
 
-    With ``idle_s`` (T04 idleness) an input whose last arrival is at least
-    ``idle_s`` old no longer holds the minimum back; the combined clock never
+    With ``idle_s`` (T04 idleness) an input whose last arrival - for an input
+    not heard yet, the first arrival of all - is at least ``idle_s`` old no
+    longer holds the minimum back; the combined clock never
     moves backwards (running max of the minimum).  ``sources`` is the fixed,
     known list of inputs.
     """
     d = df.withColumn("_arr_us", epoch_us(arrival)).withColumn("_et_us", epoch_us(et))
-    if block_us is None:
-        block_us = auto_block_width(d, "_arr_us")
-    specs = []
+    cut = find_cut(d, [], "_arr_us", list(tiebreak), rows_per_block)
+    specs = [("_began", "min", F.col("_arr_us"))]
     for i, s in enumerate(sources):
         mine = F.col(source) == F.lit(s)
         specs.append((f"_mx{i}", "max", F.when(mine, F.col("_et_us"))))
         specs.append((f"_la{i}", "max", F.when(mine, F.col("_arr_us"))))
-    d = running_aggregate(d, [], "_arr_us", specs, block_us, list(tiebreak), exclusive=True)
+    d = running_aggregate(d, [], "_arr_us", specs, rows_per_block, list(tiebreak), exclusive=True, cut=cut)
     delay = F.lit(delay_s * 1_000_000)
     if idle_s is None:
         wms = [F.col(f"_mx{i}") - delay for i in range(len(sources))]
@@ -114,16 +112,20 @@ def combined_watermark(
         out = d.withColumn(name, cand)
     else:
         idle = F.lit(idle_s * 1_000_000)
-        active = [
-            F.when(F.col("_arr_us") - F.col(f"_la{i}") < idle, F.col(f"_mx{i}") - delay)
+        busy = [
+            F.coalesce(F.col("_arr_us") - F.coalesce(f"_la{i}", "_began") < idle, F.lit(True))
             for i in range(len(sources))
         ]
+        active = [F.when(b, F.col(f"_mx{i}") - delay) for i, b in enumerate(busy)]
+        held = F.lit(False)
+        for i, b in enumerate(busy):
+            held = held | b & F.col(f"_mx{i}").isNull()
         cand = F.least(*active) if len(active) > 1 else active[0]
-        d = d.withColumn("_cand", cand)
+        d = d.withColumn("_cand", F.when(~held, cand))
         # monotone: never behind an earlier value of the combined clock
-        d = running_aggregate(d, [], "_arr_us", [(name, "max", F.col("_cand"))], block_us, list(tiebreak))
+        d = running_aggregate(d, [], "_arr_us", [(name, "max", F.col("_cand"))], rows_per_block, list(tiebreak), cut=cut)
         out = d.drop("_cand")
-    drop = [c for c in out.columns if c.startswith("_mx") or c.startswith("_la")] + ["_arr_us", "_et_us"]
+    drop = [c for c in out.columns if c.startswith("_mx") or c.startswith("_la")] + ["_arr_us", "_et_us", "_began"]
     return out.drop(*drop)
 
 

@@ -48,20 +48,3 @@ def partition_global(df: DataFrame) -> DataFrame:
 def key_by(df: DataFrame, *keys: str, n: int | None = None) -> DataFrame:
     """R06 hash partitioning by key (what ``groupBy`` does implicitly)."""
     return df.repartition(n, *keys) if n else df.repartition(*keys)
-
-
-def spread_if_undersplit(df: DataFrame, seed: int = 17) -> DataFrame:
-    """Spread a scan over the cluster's cores when it plans fewer input
-    splits than cores (a small file may be one row group, hence one task).
-
-    Used before heavy per-row work such as tokenizing long texts.  The check
-    is plan-time only (split planning, no job), so a table stored in many
-    files -- the normal case at scale -- keeps its scan partitioning and pays
-    no extra shuffle.  Targets are a seeded ``rand`` (as in R02): no key can
-    concentrate rows, a retried task sends its rows to the same targets, and
-    no extra column is read.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(4 * cores, F.rand(seed))

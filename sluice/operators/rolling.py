@@ -6,18 +6,23 @@ previous value of the key, a running count.  The batch form is a window
 frame in one task per key, so a key holding a third of all rows would run in
 one task.
 
-Here every key is cut into *blocks* of the ordering column (fixed width, so a
-retry recomputes the same blocks):
+Keys with at most ``rows_per_block`` rows run as that plain window: one
+shuffle.  The rows of larger keys (or, without a key, of the whole table) are
+cut into *blocks* of about ``rows_per_block`` rows, at quantiles of the
+ordering column over those rows; where one value of it holds more than a block,
+at quantiles of the tiebreak within it (:func:`find_cut`).  So blocks follow
+the data: a stray value, a burst, or sparse numbers change neither their size
+nor their number.  Then:
 
-1. local running aggregate inside ``(key, block)``           (one big shuffle)
-2. one total per ``(key, block)``                             (same partitioning)
+1. local running aggregate inside ``(key, block)``           (the same shuffle)
+2. one total per ``(key, block)`` of the cut keys             (map-side combined)
 3. exclusive prefix of the totals over the blocks of a key    (small: blocks)
 4. join the prefix back on ``(key, block)`` and combine.
 
 Only decomposable aggregates (sum, count, min, max - including ``max`` over a
 struct, which gives "last value by order") are offered.  The result is exact.
 
-Nullable keys travel as null-free columns (:func:`with_block_key`), so the
+Nullable keys travel as null-free columns (:func:`null_free_keys`), so the
 join back is a plain equi-join on exactly the columns the local scan is
 partitioned by: when the prefix is too large to broadcast, the sort-merge join
 reuses that partitioning and only the small prefix side is shuffled again.
@@ -25,47 +30,24 @@ reuses that partitioning and only the small prefix side is shuffled again.
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.functions.time import floor_div
-
-# Default block widths, in units of the ordering column.  A block should hold
-# a few million rows of the hottest key at the target scale.
-SEQ_BLOCK = 1 << 24          # sequence numbers (event ids)
-TIME_BLOCK_US = 3_600_000_000  # one hour of event time, in microseconds
-# Target rows per block when the width is derived from the data (``None``).
-ROWS_PER_BLOCK = 1 << 21
+#: Rows of a block: what one task scans in order, however the rows lie.
+ROWS_PER_BLOCK = 1 << 18
+_LOWEST = -(1 << 63)
 
 _AGG = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
-def auto_block_width(df: DataFrame, order: str, rows_per_block: int = ROWS_PER_BLOCK, min_blocks: int | None = None) -> int:
-    """A block width (in units of ``order``) from one small aggregate job:
-    ``min``, ``max`` and ``count`` of the ordering column.
-
-    The range is cut so that a block holds about ``rows_per_block`` rows if
-    the rows were spread evenly over it -- sized for the case where a single
-    key (or no key at all, for global scans) owns every row -- and into at
-    least ``min_blocks`` (default four per core) blocks so small inputs still
-    use the whole cluster.  The width becomes a literal of the plan, so a
-    retried task cuts the same blocks.
-    """
-    lo, hi, n = df.agg(F.min(order), F.max(order), F.count(order)).first()
-    if not n:
-        return 1
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    blocks = max(n // rows_per_block, min_blocks or 4 * cores, 1)
-    return max(1, -(-(int(hi) - int(lo) + 1) // blocks))
-
-
-def with_block_key(df: DataFrame, keys: Sequence[str], blk: str, order: str, width: int | None):
-    """Add the block column and null-free key columns; return the frame and
-    the partition columns (keys first, block last).
+def null_free_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Null-free key columns; the frame with them and their names.
 
     A nullable key of a primitive type travels as ``coalesce(key, default)``
     plus an ``isnull(key)`` flag: a plain equi-join on these columns is
@@ -73,9 +55,6 @@ def with_block_key(df: DataFrame, keys: Sequence[str], blk: str, order: str, wid
     Other nullable types are wrapped in a struct (struct equality treats null
     fields as equal).
     """
-    if width is None:
-        width = auto_block_width(df, order)
-    d = df.withColumn(blk, floor_div(order, width))
     part: list[str] = []
     for i, c in enumerate(keys):
         f = df.schema[c]
@@ -84,14 +63,106 @@ def with_block_key(df: DataFrame, keys: Sequence[str], blk: str, order: str, wid
             continue
         kc, kn = f"_sl_k{i}", f"_sl_n{i}"
         if isinstance(f.dataType, (T.StringType, T.BooleanType) + _NUMERIC):
-            d = d.withColumn(kc, F.coalesce(F.col(c), F.lit(0).cast(f.dataType))).withColumn(
+            df = df.withColumn(kc, F.coalesce(F.col(c), F.lit(0).cast(f.dataType))).withColumn(
                 kn, F.col(c).isNull()
             )
             part += [kc, kn]
         else:
-            d = d.withColumn(kc, F.struct(F.col(c)))
+            df = df.withColumn(kc, F.struct(F.col(c)))
             part.append(kc)
-    return d, part + [blk]
+    return df, part
+
+
+@dataclass
+class Cut:
+    """Where the rows of large keys are cut: places ``(order, tiebreak)`` in
+    ascending order, and the hashes of the large keys (``None``: all rows)."""
+
+    places: list[tuple[int, int]]
+    hot: list[int] | None
+
+    def block(self, key: Sequence[str], order: str, tiebreak: Sequence[str]) -> Column:
+        """0 for rows of keys that are whole, else 1 + the places passed,
+        found by bisection."""
+        at = F.col(order).cast("long")
+        tie = F.coalesce(F.col(tiebreak[0]).cast("long"), F.lit(_LOWEST)) if tiebreak else F.lit(_LOWEST)
+        firsts = F.array(*[F.lit(o).cast("long") for o, _ in self.places])
+        seconds = F.array(*[F.lit(t).cast("long") for _, t in self.places])
+        n = len(self.places)
+        steps = F.array(*[F.lit(1 << b) for b in range(n.bit_length() - 1, -1, -1)])
+
+        def further(seen: Column, step: Column) -> Column:
+            i = seen + step - 1
+            o = F.get(firsts, i)
+            passed = (o < at) | (o == at) & (F.get(seconds, i) <= tie)
+            return seen + F.when((i < n) & passed, step).otherwise(0)
+
+        number = F.aggregate(steps, F.lit(1) - 1, further) + 1
+        number = F.when(at.isNull(), 1).otherwise(number)
+        if self.hot is None:
+            return number
+        return F.when(F.xxhash64(*key).isin(self.hot), number).otherwise(0)
+
+
+def _quantiles(df: DataFrame, column: Column, blocks: int) -> list[int]:
+    share = [i / blocks for i in range(1, blocks)]
+    return df.agg(F.percentile_approx(column, share, max(10_000, 20 * blocks))).first()[0] or []
+
+
+def find_cut(
+    df: DataFrame, keys: Sequence[str], order: str, tiebreak: Sequence[str] = (), rows_per_block: int = ROWS_PER_BLOCK
+) -> Cut | None:
+    """The cut of ``df``'s large keys, or none if no key is large.
+
+    One count per key decides (map-side combined; only large keys come to the
+    driver, at most rows / ``rows_per_block`` of them).  If there are any, a
+    second pass over their rows finds the quantiles.  The cut is literals of
+    the plan, so a retried task cuts the same blocks.
+    """
+    d, key = null_free_keys(df, keys)
+    if key:
+        large = d.groupBy(F.xxhash64(*key).alias("h")).count().filter(F.col("count") > rows_per_block).collect()
+        hot, total = [r["h"] for r in large], sum(r["count"] for r in large)
+        d = d.filter(F.xxhash64(*key).isin(hot))
+    else:
+        hot, total = None, d.count()
+    if total <= rows_per_block:
+        return None
+    blocks = -(-total // rows_per_block)
+    values = _quantiles(d, F.col(order).cast("long"), blocks)
+    places = [(v, _LOWEST) for v in sorted(set(values))]
+    repeats = {v: values.count(v) for v in set(values) if values.count(v) > 1}
+    if repeats and tiebreak:  # values that fill more than a block
+        share = [i / (max(repeats.values()) + 2) for i in range(1, max(repeats.values()) + 2)]
+        within = d.filter(F.col(order).cast("long").isin(list(repeats))).groupBy(F.col(order).cast("long").alias("o"))
+        for r in within.agg(F.percentile_approx(F.col(tiebreak[0]).cast("long"), share, 10_000).alias("t")).collect():
+            for t in set(r["t"] or []):
+                bisect.insort(places, (r["o"], t))
+    return Cut(places, hot)
+
+
+def with_blocks(
+    df: DataFrame,
+    keys: Sequence[str],
+    blk: str,
+    order: str,
+    tiebreak: Sequence[str] = (),
+    rows_per_block: int = ROWS_PER_BLOCK,
+    cut: Cut | None | str = "find",
+    cut_keys: Sequence[str] | None = None,
+) -> tuple[DataFrame, list[str], bool]:
+    """The block column where large keys are cut: the frame, the partition
+    columns (null-free keys first, block last), whether cut.  Uncut, the
+    partition columns are the keys, so what follows on the key needs no
+    further shuffle.  ``cut`` hands over a cut found before, for the leading
+    keys ``cut_keys``."""
+    if cut == "find":
+        cut = find_cut(df, keys, order, tiebreak, rows_per_block)
+    if cut is None:
+        return df, list(keys), False
+    d, key = null_free_keys(df, keys)
+    _, of_cut = null_free_keys(df, keys if cut_keys is None else cut_keys)
+    return d.withColumn(blk, cut.block(of_cut, order, tiebreak)), [*key, blk], True
 
 
 def _combine(kind: str, prefix: Column, local: Column) -> Column:
@@ -119,19 +190,20 @@ def running_aggregate(
     keys: Sequence[str],
     order: str,
     specs: Sequence[tuple[str, str, Column]],
-    block_width: int | None = SEQ_BLOCK,
+    rows_per_block: int = ROWS_PER_BLOCK,
     tiebreak: Sequence[str] = (),
     exclusive: bool = False,
+    cut: Cut | None | str = "find",
+    cut_keys: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add one running aggregate column per ``(name, kind, expr)`` spec.
 
     ``order`` must be a numeric column, unique within a key together with
     ``tiebreak``; the frame is "all earlier rows of the key and this row"
-    (``exclusive=True``: earlier rows only).  ``block_width=None`` derives
-    the width from the data (:func:`auto_block_width`).
+    (``exclusive=True``: earlier rows only).
     """
     blk = "_sl_blk"
-    d, part = with_block_key(df, keys, blk, order, block_width)
+    d, part, is_cut = with_blocks(df, keys, blk, order, tiebreak, rows_per_block, cut, cut_keys)
     ordering = [F.col(order)] + [F.col(c) for c in tiebreak]
     w_local = (
         Window.partitionBy(*part)
@@ -141,7 +213,11 @@ def running_aggregate(
     local = d.select(
         "*", *[_AGG[k](e).over(w_local).alias(f"_sl_l_{n}") for n, k, e in specs]
     )
-    totals = d.groupBy(*part).agg(*[_AGG[k](e).alias(f"_sl_t_{n}") for n, k, e in specs])
+    out_cols = [c for c in df.columns]
+    if not is_cut:
+        # an exclusive count has no rows before the first: 0
+        return local.select(*out_cols, *[F.col(f"_sl_l_{n}").alias(n) for n, _, _ in specs])
+    totals = d.filter(F.col(blk) > 0).groupBy(*part).agg(*[_AGG[k](e).alias(f"_sl_t_{n}") for n, k, e in specs])
     w_prefix = (
         Window.partitionBy(*part[:-1]).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -154,7 +230,6 @@ def running_aggregate(
         ],
     )
     joined = local.join(prefix, part, "left")
-    out_cols = [c for c in df.columns]
     return joined.select(
         *out_cols,
         *[_combine(k, F.col(f"_sl_p_{n}"), F.col(f"_sl_l_{n}")).alias(n) for n, k, _ in specs],
@@ -169,7 +244,7 @@ def keyed_neighbour(
     name: str,
     direction: int = -1,
     default=None,
-    block_width: int | None = SEQ_BLOCK,
+    rows_per_block: int = ROWS_PER_BLOCK,
     tiebreak: Sequence[str] = (),
 ) -> DataFrame:
     """``lag(value)`` (direction -1) or ``lead(value)`` (+1) within a key.
@@ -179,10 +254,12 @@ def keyed_neighbour(
     neighbour up in the block totals of the key.
     """
     blk = "_sl_blk"
-    d, part = with_block_key(df, keys, blk, order, block_width)
+    d, part, is_cut = with_blocks(df, keys, blk, order, tiebreak, rows_per_block)
     asc = direction < 0
     o = [F.col(c).asc() if asc else F.col(c).desc() for c in [order, *tiebreak]]
     w_local = Window.partitionBy(*part).orderBy(*o)
+    if not is_cut:
+        return d.select(*df.columns, F.lag(value, 1, default).over(w_local).alias(name))
     local = d.select(
         "*",
         F.lag(value, 1).over(w_local).alias("_sl_nb"),
@@ -193,7 +270,7 @@ def keyed_neighbour(
         *[F.col(c).alias(f"t{i}") for i, c in enumerate(tiebreak)],
         F.col(value).alias("v"),
     )
-    totals = d.groupBy(*part).agg(
+    totals = d.filter(F.col(blk) > 0).groupBy(*part).agg(
         (F.max(edge) if asc else F.min(edge)).alias("_sl_edge")
     )
     w_blocks = Window.partitionBy(*part[:-1]).orderBy(F.col(blk).asc() if asc else F.col(blk).desc())
@@ -206,7 +283,7 @@ def keyed_neighbour(
     dflt = F.lit(default)
     result = (
         F.when(F.col("_sl_rn") > 1, F.col("_sl_nb"))
-        .when(F.col("_sl_first_blk"), dflt)
+        .when(F.coalesce(F.col("_sl_first_blk"), F.lit(True)), dflt)
         .otherwise(F.col("_sl_pb"))
     )
     return joined.select(*df.columns, result.alias(name))

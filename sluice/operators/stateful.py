@@ -10,51 +10,46 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from sluice.functions.time import epoch_us, floor_div
 from sluice.operators.windows import session_numbers
-from sluice.session import ship_package
 from sluice.operators.rolling import (
-    SEQ_BLOCK,
-    auto_block_width,
+    ROWS_PER_BLOCK,
+    find_cut,
     keyed_neighbour,
     running_aggregate,
-    with_block_key,
 )
 
 
-def value_jump(df: DataFrame, key: str, order: str, value: str, threshold: int, block_width: int = SEQ_BLOCK) -> DataFrame:
+def value_jump(df: DataFrame, key: str, order: str, value: str, threshold: int, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """ST01 ValueState: alert when ``|value - previous value|`` exceeds the
     threshold; the previous value starts at 0, so a first reading above the
     threshold alerts too."""
-    d = keyed_neighbour(df, [key], order, value, "prev", -1, 0, block_width)
+    d = keyed_neighbour(df, [key], order, value, "prev", -1, 0, rows_per_block)
     return d.filter(F.abs(F.col(value) - F.col("prev")) > threshold)
 
 
-def running_counts_per_value(df: DataFrame, key: str, order: str, value: str, block_width: int = SEQ_BLOCK) -> DataFrame:
+def running_counts_per_value(df: DataFrame, key: str, order: str, value: str, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """ST03 MapState ``value -> count``: per input row, the updated count of
     its value within the key."""
-    return running_aggregate(df, [key, value], order, [("cnt", "count", F.lit(1))], block_width)
+    return running_aggregate(df, [key, value], order, [("cnt", "count", F.lit(1))], rows_per_block)
 
 
-def running_sum(df: DataFrame, key: str, order: str, value: str, name: str = "sum", block_width: int = SEQ_BLOCK) -> DataFrame:
+def running_sum(df: DataFrame, key: str, order: str, value: str, name: str = "sum", rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """ST04 ReducingState(sum): running sum per row."""
-    return running_aggregate(df, [key], order, [(name, "sum", F.col(value))], block_width)
+    return running_aggregate(df, [key], order, [(name, "sum", F.col(value))], rows_per_block)
 
 
-def running_avg(df: DataFrame, key: str, order: str, value: str, name: str = "avg", block_width: int = SEQ_BLOCK) -> DataFrame:
+def running_avg(df: DataFrame, key: str, order: str, value: str, name: str = "avg", rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """ST05 AggregatingState(avg): running (sum, count) -> sum / count."""
     d = running_aggregate(
         df,
         [key],
         order,
         [("_s", "sum", F.col(value).cast("double")), ("_c", "count", F.col(value))],
-        block_width,
+        rows_per_block,
     )
     return d.withColumn(name, F.col("_s") / F.col("_c")).drop("_s", "_c")
 
@@ -67,7 +62,7 @@ def ttl_value(
     ttl_s: int,
     keep_if_above: int,
     tiebreak: Sequence[str] = ("seq",),
-    block_us: int | None = None,
+    rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """ST06 ValueState with a time-to-live refreshed by reads *and* writes.
 
@@ -79,28 +74,28 @@ def ttl_value(
     """
     ttl = ttl_s * 1_000_000
     d = df.withColumn("_t", epoch_us(arrival))
-    if block_us is None:  # time blocks sized from the data: one key may own every row
-        block_us = auto_block_width(d, "_t")
-    # islands = gap sessions with gap = TTL: one fused block pass
-    d = session_numbers(d, [key], "_t", ttl, tiebreak, block_us, name="_island")
+    # islands = gap sessions with gap = TTL; both scans share one cut, and
+    # where no key is cut, one shuffle
+    cut = find_cut(d, [key], "_t", tiebreak, rows_per_block)
+    d = session_numbers(d, [key], "_t", ttl, tiebreak, name="_island", cut=cut)
     stored = F.when(
         F.col(value) > keep_if_above,
         F.struct(F.col("_t").alias("t"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(tiebreak)], F.col(value).alias("v")),
     )
     d = running_aggregate(
-        d, [key, "_island"], "_t", [("_last", "max", stored)], block_us, list(tiebreak), exclusive=True
+        d, [key, "_island"], "_t", [("_last", "max", stored)], tiebreak=list(tiebreak), exclusive=True, cut=cut, cut_keys=[key]
     )
     return d.withColumn("old_value", F.col("_last.v")).drop("_t", "_island", "_last")
 
 
 def inactivity_alerts(
-    df: DataFrame, key: str, et: str, limit_s: int, tiebreak: Sequence[str] = ("seq",), block_us: int | None = None
+    df: DataFrame, key: str, et: str, limit_s: int, tiebreak: Sequence[str] = ("seq",), rows_per_block: int = ROWS_PER_BLOCK
 ) -> DataFrame:
     """ST11 a timer re-armed (old one deleted) on every row: it fires when no
     further row of the key comes within ``limit``; fires only when a later
     row exists (end of input does not flush)."""
     d = df.withColumn("_t", epoch_us(et))
-    d = keyed_neighbour(d, [key], "_t", "_t", "_next", +1, None, block_us, list(tiebreak))
+    d = keyed_neighbour(d, [key], "_t", "_t", "_next", +1, None, rows_per_block, list(tiebreak))
     return d.filter(F.col("_next") - F.col("_t") > limit_s * 1_000_000).select(
         *df.columns, floor_div(F.col("_next") - F.col("_t"), 1_000_000).alias("gap_s")
     )
@@ -113,35 +108,34 @@ def event_timers(
     arrival: str,
     delay_s: int,
     timer_offset_s: int,
-    block_us: int | None = None,
+    rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """ST09 event-time timers.  Each row registers a timer at
-    ``et + timer_offset`` for its key (same key and time: one timer).  The
-    watermark after a row is (max event time so far) - delay; a timer fires at
-    the first row, from its registration on, after which the watermark has
-    reached it.
+    ``et + timer_offset`` for its key.  The watermark after a row is (max
+    event time so far) - delay; a timer fires at the first row, from its
+    registration on, after which the watermark has reached it.  Registrations
+    of the same key and time while the timer is pending are one timer; one
+    that comes after it has fired registers, and fires, anew.
 
     Because the watermark is a running maximum, "first row whose watermark
     reaches t" is "first arrival among rows with ``et >= t + delay``": a
     suffix minimum over event time, computed with the same ordered scan
-    (descending event time) - never a pairwise comparison.  The scan has no
-    key, so ``block_us=None`` sizes its blocks from the data.
+    (descending event time) - never a pairwise comparison.  All registrations
+    up to that arrival are the one pending timer; each distinct later arrival
+    finds the watermark past its time and fires at once.
     """
     offset = timer_offset_s * 1_000_000
     delay = delay_s * 1_000_000
     base = df.select(F.col(key), F.col("seq"), epoch_us(et).alias("_e"), epoch_us(arrival).alias("_a"))
-    if block_us is None:
-        block_us = auto_block_width(base, "_e")
-    timers = base.groupBy(key, (F.col("_e") + F.lit(offset)).alias("timer_us")).agg(
-        F.min(F.struct("_a", "seq")).alias("_reg")
-    )
+    timers = base.groupBy(key, (F.col("_e") + F.lit(offset)).alias("timer_us"), F.col("_a").alias("_reg_a")).agg(F.count(F.lit(1)).alias("_n"))
     probes = timers.select(
         key,
         "timer_us",
-        F.col("_reg._a").alias("_reg_a"),
+        "_reg_a",
         (-(F.col("timer_us") + F.lit(delay))).alias("_o"),
         F.lit(1).alias("_kind"),
         F.lit(None).cast("long").alias("_arr"),
+        F.xxhash64(key, "timer_us", "_reg_a").alias("_id"),
     )
     rows = base.select(
         F.lit(None).cast(df.schema[key].dataType).alias(key),
@@ -150,92 +144,35 @@ def event_timers(
         (-F.col("_e")).alias("_o"),
         F.lit(0).alias("_kind"),
         F.col("_a").alias("_arr"),
+        F.col("seq").cast("long").alias("_id"),
     )
-    u = rows.unionByName(probes)
-    scanned = running_aggregate(u, [], "_o", [("_first", "min", F.col("_arr"))], block_us, ["_kind"])
-    fired = scanned.filter(F.col("_kind") == 1)
+    u = rows.unionByName(probes).withColumn("_at", F.col("_o") * 2 + F.col("_kind"))  # rows before probes
+    scanned = running_aggregate(u, [], "_at", [("_first", "min", F.col("_arr"))], rows_per_block, ["_id"])
     fire = F.when(F.col("_first").isNotNull(), F.greatest(F.col("_first"), F.col("_reg_a")))
+    # one row for each firing; a timer that never fires has one row, too
+    fired = scanned.filter(F.col("_kind") == 1).select(key, "timer_us", fire.alias("_fire")).distinct()
     return fired.select(
         key,
         floor_div("timer_us", 1000).alias("timer_ms"),
-        floor_div(fire, 1000).alias("fired_at_ms"),
+        floor_div("_fire", 1000).alias("fired_at_ms"),
     )
 
 
 # ------------------------------------------------------------ rolling top-k
 
-def rolling_top_k(df: DataFrame, key: str, order: str, value: str, k: int, block_width: int = 1 << 20) -> DataFrame:
+def rolling_top_k(df: DataFrame, key: str, order: str, value: str, k: int, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
     """ST02 ListState top-k: per input row, the ``k`` largest values of the
     key so far (descending); null values are not stored.
 
-    1. The ``k`` largest values of every (key, block), with a rank filter
-       (Spark trims each map partition to ``k`` rows per group before the
-       shuffle).
-    2. Per key, the top-k of all *earlier* blocks: a streaming scan over the
-       block rows of the key in block order (one row per block, state = k
-       values).
-    3. One streaming pass over the rows of each block in order, seeded with
-       that list.
-
-    Python runs once per Arrow batch of a sorted partition, never per group,
-    and holds at most ``k`` values of state; no group is gathered.
+    ``k`` running maxima in a row: the first is the maximum so far; what a
+    value pushes out of it - the smaller of the value and the maximum before -
+    is the input of the second, and so on.  All of them scan the same order,
+    so whole keys need one shuffle and one sort.
     """
-    ship_package(df.sparkSession)
-    blk = "_sl_blk"
-    d, part = with_block_key(df.select(key, order, value), [key], blk, order, block_width)
-    val_t = df.schema[value].dataType
-    w = Window.partitionBy(*part).orderBy(F.col(value).desc())
-    blocks = (
-        d.filter(F.col(value).isNotNull())
-        .withColumn("_r", F.row_number().over(w))
-        .filter(F.col("_r") <= k)
-        .groupBy(*part)
-        .agg(F.sort_array(F.collect_list(value), asc=False).alias("_btop"))
-    )
-    key_part = part[:-1]
-
-    def before_scan(batches):
-        cur, top = object(), []
-        for b in batches:
-            cols = b.to_pydict()
-            keys = list(zip(*[cols[c] for c in key_part])) if key_part else [()] * b.num_rows
-            out = []
-            for kv, btop in zip(keys, cols["_btop"]):
-                if kv != cur:
-                    cur, top = kv, []
-                out.append(list(top))
-                top = sorted(top + btop, reverse=True)[:k]
-            yield pa.RecordBatch.from_pydict(
-                {**{c: cols[c] for c in part}, "_before": out}, schema=before_schema
-            )
-
-    before_fields = [blocks.schema[c] for c in part] + [T.StructField("_before", T.ArrayType(val_t))]
-    before_sp = T.StructType(before_fields)
-    before_schema = to_arrow_schema(before_sp)
-    before = blocks.repartition(*key_part).sortWithinPartitions(*part).mapInArrow(before_scan, before_sp)
-
-    def row_scan(batches):
-        cur, top = object(), []
-        for b in batches:
-            cols = b.to_pydict()
-            groups = list(zip(*[cols[c] for c in part]))
-            out = []
-            for g, v, bef in zip(groups, cols[value], cols["_before"]):
-                if g != cur:
-                    cur, top = g, list(bef or [])
-                if v is not None:
-                    top.append(v)
-                    top.sort(reverse=True)
-                    del top[k:]
-                out.append(list(top))
-            yield pa.RecordBatch.from_pydict(
-                {key: cols[key], order: cols[order], "top": out}, schema=out_schema
-            )
-
-    out_sp = T.StructType(
-        [df.schema[key], df.schema[order], T.StructField("top", T.ArrayType(val_t))]
-    )
-    out_schema = to_arrow_schema(out_sp)
-    # repartition first, so a sort-merge join (large prefix) reuses it
-    rows = d.repartition(*part).join(before, part, "left").sortWithinPartitions(*part, order)
-    return rows.mapInArrow(row_scan, out_sp)
+    cut = find_cut(df, [key], order, (), rows_per_block)
+    d = df.select(key, order, F.col(value).alias("_x"))
+    for i in range(k):
+        d = running_aggregate(d, [key], order, [(f"_p{i}", "max", F.col("_x"))], exclusive=True, cut=cut)
+        both = F.col("_x").isNotNull() & F.col(f"_p{i}").isNotNull()
+        d = d.withColumn(f"_top{i}", F.greatest(f"_p{i}", "_x")).withColumn("_x", F.when(both, F.least(f"_p{i}", "_x")))
+    return d.select(key, order, F.array_compact(F.array(*[f"_top{i}" for i in range(k)])).alias("top"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.time import from_epoch_ms
+from sluice.operators.rolling import running_aggregate
 from sluice.operators.windows import sliding_pane_aggregate, window_aggregate
 
 
@@ -26,6 +27,13 @@ def rank_top_n(counts: DataFrame, n: int, by: str = "window_end", value: str = "
     return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
+def rank_all(counts: DataFrame, by: str = "window_end", value: str = "vc") -> DataFrame:
+    """TK04 the full order inside each window: a running row count, so a
+    window with very many values is cut over many tasks."""
+    ordered = counts.withColumn("_down", -F.col("cnt"))
+    return running_aggregate(ordered, [by], "_down", [("rank", "count", F.lit(1))], tiebreak=[value]).drop("_down")
+
+
 def topn_window(
     df: DataFrame, et: str, value: str, size: str, slide: str | None, n: int
 ) -> DataFrame:

@@ -64,6 +64,10 @@ def udtf_expand(df: DataFrame, first_id: int, second_id: int) -> DataFrame:
     return ConditionalExpand(inp.asTable())
 
 
+#: Keys whose accumulators a task of the first phase holds at a time.
+HELD_KEYS = 100_000
+
+
 class AverageAggregate:
     """create / add / merge / result over a (sum, count) accumulator, each
     step vectorised over all keys of an Arrow table."""
@@ -102,22 +106,37 @@ def custom_aggregate(df: DataFrame, keys: Sequence[str], value: str, agg=Average
     acc_schema = T.StructType(
         key_schema.fields + [T.StructField(n, from_arrow_type(t)) for n, t in agg.acc_fields]
     )
-    out_schema = T.StructType(key_schema.fields + [T.StructField("result", T.DoubleType())])
+    out_schema = T.StructType(key_schema.fields + [*T.StructType.fromDDL(f"result {agg.result_type}").fields])
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # add per batch, merge the batch accumulators of the partition at the
-        # end: memory grows with the keys of the partition, not with its rows
-        parts = [agg.add(pa.Table.from_batches([b]), keys, value) for b in batches if b.num_rows]
-        if parts:
-            yield from agg.merge(pa.concat_tables(parts), keys).to_batches()
+        # accumulators of at most HELD_KEYS keys; beyond, they are handed on
+        held = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            new = agg.add(pa.Table.from_batches([b]), keys, value)
+            held = new if held is None else agg.merge(pa.concat_tables([held, new]), keys)
+            if held.num_rows > HELD_KEYS:
+                yield from held.to_batches()
+                held = None
+        if held is not None:
+            yield from held.to_batches()
 
     def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tbls = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
-        if not tbls:
-            return
-        acc = agg.merge(pa.concat_tables(tbls), keys)
-        out = pa.table({**{k: acc.column(k) for k in keys}, "result": agg.result(acc)})
-        yield from out.to_batches()
+        # sorted by key: only the last key of a batch may go on in the next
+        def done(acc: pa.Table) -> Iterator[pa.RecordBatch]:
+            yield from pa.table({**{k: acc.column(k) for k in keys}, "result": agg.result(acc)}).to_batches()
+
+        last = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = pa.Table.from_batches([b])
+            t = agg.merge(t if last is None else pa.concat_tables([last, t]), keys)
+            last = t.slice(t.num_rows - 1)
+            yield from done(t.slice(0, t.num_rows - 1))
+        if last is not None:
+            yield from done(last)
 
     partials = df.select(*keys, value).mapInArrow(partial, acc_schema)
-    return partials.repartition(*keys).mapInArrow(final, out_schema)
+    return partials.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(final, out_schema)

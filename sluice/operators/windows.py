@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.time import duration_us, epoch_ms, epoch_us, floor_div, shift_seconds
-from sluice.operators.rolling import SEQ_BLOCK, running_aggregate, with_block_key
+from sluice.operators.rolling import ROWS_PER_BLOCK, Cut, null_free_keys, running_aggregate, with_blocks
 
 
 def with_window(df: DataFrame, et: str, size: str, slide: str | None = None) -> DataFrame:
@@ -102,9 +102,9 @@ def window_process(
     The element list is never gathered into one row: counts are aggregated per
     window (partial aggregation) and joined back to the rows on (key, window).
     """
-    w = with_window(df, et, size, slide)
-    counts = w.groupBy(*keys, "_win").agg(F.count(F.lit(1)).alias("count"))
-    return w.join(counts, [*keys, "_win"]).select(
+    w, part = null_free_keys(with_window(df, et, size, slide), keys)
+    counts = w.groupBy(*part, "_win").agg(F.count(F.lit(1)).alias("count"))
+    return w.join(counts, [*part, "_win"]).select(
         *keys, *window_bounds(), "count", *[c for c in df.columns if c not in keys]
     )
 
@@ -115,26 +115,28 @@ def session_numbers(
     t_us: str,
     gap_us: int,
     tiebreak: Sequence[str] = (),
-    block_us: int | None = None,
+    rows_per_block: int = ROWS_PER_BLOCK,
     name: str = "_sess",
+    cut: Cut | None | str = "find",
 ) -> DataFrame:
-    """Number the gap sessions of each key in one block-decomposed pass.
+    """Number the gap sessions of each key.
 
-    Inside a (key, block): a break is a row at least ``gap`` after its local
+    Keys that are whole: two windows over one shuffle.  Keys that are cut, in
+    one block-decomposed pass.  Inside a (key, block): a break is a row at least ``gap`` after its local
     predecessor; the running count of breaks numbers the local sessions.  Per
     block only (first, last, breaks) is kept; a small per-key scan over the
     blocks adds the break at a block's first row (gap to the previous block's
-    last row) and the breaks of all earlier blocks.  ``block_us=None`` sizes
-    the time blocks from the data (a fixed duration would let one hot key's
-    busy hour land in one task).
+    last row) and the breaks of all earlier blocks.
     """
     blk = "_sl_blk"
-    d, part = with_block_key(df, keys, blk, t_us, block_us)
+    d, part, is_cut = with_blocks(df, keys, blk, t_us, tiebreak, rows_per_block, cut)
     order = [F.col(t_us)] + [F.col(c) for c in tiebreak]
     w = Window.partitionBy(*part).orderBy(*order)
     prev = F.lag(t_us).over(w)
     d = d.withColumn("_brk", F.when(prev.isNotNull() & (F.col(t_us) - prev >= gap_us), 1).otherwise(0))
     d = d.withColumn("_lsess", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    if not is_cut:
+        return d.select(*df.columns, (F.col("_lsess") + 1).alias(name))
     tot = d.groupBy(*part).agg(
         F.min(t_us).alias("_first"), F.max(t_us).alias("_last"), F.sum("_brk").alias("_brks")
     )
@@ -159,19 +161,18 @@ def session_windows(
     gap: str,
     aggs: Sequence[Column],
     tiebreak: Sequence[str] = (),
-    block_us: int | None = None,
+    rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """W05/W06 gap-based sessions: a row at least ``gap`` after the previous
     row of its key opens a new session; a session spans ``[first, last+gap)``.
 
-    Same result as ``groupBy(key, session_window(et, gap))`` in batch, but the
-    session numbering is block-decomposed (:func:`session_numbers`), so one
-    hot key is spread over many tasks; the final aggregate is an ordinary
-    partial+final aggregate.
+    Same result as ``groupBy(key, session_window(et, gap))`` in batch, but a
+    hot key is cut (:func:`session_numbers`) and so spread over many tasks.
+    Whole keys are numbered and aggregated behind one shuffle.
     """
     gap_us = duration_us(gap)
     d = df.withColumn("_t_us", epoch_us(et))
-    d = session_numbers(d, keys, "_t_us", gap_us, tiebreak, block_us)
+    d = session_numbers(d, keys, "_t_us", gap_us, tiebreak, rows_per_block)
     g = d.groupBy(*keys, "_sess").agg(
         F.min(et).alias("_s"), F.max(et).alias("_e"), *aggs
     )
@@ -190,11 +191,11 @@ def count_window(
     order: str,
     size: int,
     aggs: Sequence[Column],
-    block_width: int = SEQ_BLOCK,
+    rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """W07 tumbling count window: fires for every ``size`` rows of a key; the
     incomplete last group never fires."""
-    d = running_aggregate(df, keys, order, [("_rn", "count", F.lit(1))], block_width)
+    d = running_aggregate(df, keys, order, [("_rn", "count", F.lit(1))], rows_per_block)
     d = d.withColumn("window_no", F.floor((F.col("_rn") - 1) / size).cast("bigint"))
     g = d.groupBy(*keys, "window_no").agg(F.count(F.lit(1)).alias("_n"), *aggs)
     return g.filter(F.col("_n") == size).drop("_n")
@@ -207,7 +208,7 @@ def count_window_sliding(
     size: int,
     slide: int,
     aggs: Sequence[Column],
-    block_width: int = SEQ_BLOCK,
+    rows_per_block: int = ROWS_PER_BLOCK,
 ) -> DataFrame:
     """W08 sliding count window: fires at every ``slide``-th row of a key over
     the last ``size`` rows (early firings hold fewer rows).
@@ -216,7 +217,7 @@ def count_window_sliding(
     ``r <= e <= r + size - 1`` - at most ``ceil(size/slide)`` copies, so every
     group is bounded by ``size`` rows.
     """
-    d = running_aggregate(df, keys, order, [("_rn", "count", F.lit(1))], block_width)
+    d = running_aggregate(df, keys, order, [("_rn", "count", F.lit(1))], rows_per_block)
     first = F.ceil(F.col("_rn") / slide) * slide
     d = d.withColumn(
         "fire_at", F.explode(F.sequence(first.cast("bigint"), (F.col("_rn") + size - 1).cast("bigint"), F.lit(slide).cast("bigint")))

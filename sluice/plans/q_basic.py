@@ -53,13 +53,15 @@ def p05(spark, sf):
     S + f"SELECT seq, CAST(id AS VARCHAR) AS id, ts, vc FROM sensor WHERE CAST(id AS VARCHAR) = '{P.SENSOR_1}'",
 )
 def p06(spark, sf):
-    # string ids (as parsed from text), constant first: a null id is dropped
-    d = _sensor(spark, sf).select("seq", F.col("id").cast("string").alias("id"), "ts", "vc")
-    return d.filter(lambda_pred(str(P.SENSOR_1)))
+    # constant first: a null id is dropped; the stored type is compared, so
+    # the filter reaches the scan
+    d = _sensor(spark, sf)
+    d = d.filter(lambda_pred(P.SENSOR_1, d.schema["id"].dataType))
+    return d.select("seq", F.col("id").cast("string").alias("id"), "ts", "vc")
 
 
-def lambda_pred(value):
-    return F.lit(value) == F.col("id")
+def lambda_pred(value, kind):
+    return F.lit(value).cast(kind) == F.col("id")
 
 
 @query("p07_filter_param", S + f"SELECT seq, id, ts, vc FROM sensor WHERE id = {P.SENSOR_2}")

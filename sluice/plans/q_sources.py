@@ -8,15 +8,12 @@ from pyspark.sql import functions as F
 from sluice import model
 from sluice.functions.text import csv_line
 from sluice.operators.aggregate import keyed_final, keyed_rolling
-from sluice.operators.partition import spread_if_undersplit
 from sluice.plans import query
 from sluice.plans.sql import SENSOR, with_views
 from sluice.sinks.kafka import kafka_keyed_frame
 from sluice.sources import kafka_decode, parse_int_line, parse_pair_csv, parse_sensor_csv, parse_triple_csv
 from sluice.sources.text import text_lines, tokenize
 
-DOC_BLOCK = 1 << 12  # documents per block of the rolling word count
-
 LINES_SQL = (
     "lines AS (SELECT doc_id, unnest(string_split(regexp_replace(text, '\\n\\z', ''), chr(10))) AS line, "
     "unnest(range(1, len(string_split(regexp_replace(text, '\\n\\z', ''), chr(10))) + 1)) AS line_no "
@@ -41,7 +38,7 @@ def _sql_num(expr: str, kind: str) -> str:
 
 def _lines(spark, sf):
     docs = model.table(spark, sf, "documents").select("doc_id", "text")
-    return text_lines(spread_if_undersplit(docs))
+    return text_lines(docs)
 
 
 def _tokens(spark, sf):
@@ -78,7 +75,7 @@ def a01(spark, sf):
 def a02(spark, sf):
     # rolling count: one output per token, in (doc, line, position) order
     return keyed_rolling(
-        _tokens(spark, sf), ["word"], "doc_id", [("cnt", "sum", F.col("one"))], DOC_BLOCK, ["line_no", "pos"]
+        _tokens(spark, sf), ["word"], "doc_id", [("cnt", "sum", F.col("one"))], tiebreak=["line_no", "pos"]
     ).select("doc_id", "line_no", "pos", "word", "cnt")
 
 

@@ -56,9 +56,13 @@ def t03(spark, sf):
         "b AS (SELECT seq, id % 2 AS src, epoch_us(et) AS e, epoch_us(arrival) AS a FROM arrivals)",
         "c AS (SELECT seq, a, max(CASE WHEN src = 0 THEN e END) OVER w AS mx0, max(CASE WHEN src = 0 THEN a END) "
         "OVER w AS la0, max(CASE WHEN src = 1 THEN e END) OVER w AS mx1, max(CASE WHEN src = 1 THEN a END) OVER w "
-        "AS la1 FROM b WINDOW w AS (ORDER BY a, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))",
-        f"d AS (SELECT seq, a, least(CASE WHEN a - la0 < {P.IDLE_S * H} THEN mx0 END, "
-        f"CASE WHEN a - la1 < {P.IDLE_S * H} THEN mx1 END) AS cand FROM c)",
+        "AS la1, min(a) OVER w AS began FROM b WINDOW w AS (ORDER BY a, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 "
+        "PRECEDING))",
+        # an input that was not heard yet is idle once the whole stream is as old as the bound
+        f"f AS (SELECT *, coalesce(a - coalesce(la0, began) < {P.IDLE_S * H}, true) AS busy0, "
+        f"coalesce(a - coalesce(la1, began) < {P.IDLE_S * H}, true) AS busy1 FROM c)",
+        "d AS (SELECT seq, a, CASE WHEN busy0 AND mx0 IS NULL OR busy1 AND mx1 IS NULL THEN NULL ELSE "
+        "least(CASE WHEN busy0 THEN mx0 END, CASE WHEN busy1 THEN mx1 END) END AS cand FROM f)",
     )
     + "SELECT seq, max(cand) OVER (ORDER BY a, seq ROWS UNBOUNDED PRECEDING) AS wm_before_us FROM d",
 )
@@ -182,26 +186,21 @@ _J03_BASE = with_views(
 )
 
 
-def _j03_split(spark, sf):
-    d = _arr(spark, sf).filter(F.col("event_type").isin("click", "purchase"))
-    d = late.combined_watermark(d, "event_type", ["click", "purchase"], "et", "arrival", P.WATERMARK_DELAY_S)
-    return d.withColumn("is_late", late.late_by_clock(d, "et"))
+def _j03(spark, sf):
+    return joins.interval_join_late(
+        _clicks(spark, sf), _purchases(spark, sf), "id", "et", "arrival",
+        -P.INTERVAL_S, P.INTERVAL_S, P.WATERMARK_DELAY_S, ["seq"], ["seq"],
+    )
 
 
 @query("j03_join_interval_late_joined", _J03_BASE + _J02_SQL.format(L="l", R="r"))
 def j03_joined(spark, sf):
-    d = _j03_split(spark, sf).filter(~F.col("is_late"))
-    return joins.interval_join(
-        d.filter(F.col("event_type") == "click"),
-        d.filter(F.col("event_type") == "purchase"),
-        "id", "et", -P.INTERVAL_S, P.INTERVAL_S, ["seq"], ["seq"],
-    )
+    return _j03(spark, sf)[0]
 
 
 @query("j03_join_interval_late_left", _J03_BASE + "SELECT seq, id, ts FROM d WHERE is_late AND event_type = 'click'")
 def j03_left(spark, sf):
-    d = _j03_split(spark, sf)
-    return d.filter(F.col("is_late") & (F.col("event_type") == "click")).select("seq", "id", "ts")
+    return _j03(spark, sf)[1].select("seq", "id", "ts")
 
 
 @query(
@@ -209,8 +208,7 @@ def j03_left(spark, sf):
     _J03_BASE + "SELECT seq, id, ts, vc FROM d WHERE is_late AND event_type = 'purchase'",
 )
 def j03_right(spark, sf):
-    d = _j03_split(spark, sf)
-    return d.filter(F.col("is_late") & (F.col("event_type") == "purchase")).select("seq", "id", "ts", "vc")
+    return _j03(spark, sf)[2].select("seq", "id", "ts", "vc")
 
 
 @query(
@@ -220,7 +218,7 @@ def j03_right(spark, sf):
 def j04(spark, sf):
     c = model.table(spark, sf, "customer").select("c_custkey", "c_name")
     o = model.table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
-    return c.join(o, c.c_custkey == o.o_custkey, "inner").select("c_custkey", "c_name", "o_orderkey", "o_orderstatus")
+    return joins.connected_join(c, o, "c_custkey", "o_custkey", ["c_custkey", "c_name"], ["o_orderkey", "o_orderstatus"])
 
 
 @query(
@@ -391,12 +389,12 @@ def st08(spark, sf):
         SENSOR,
         ARRIVALS,
         "b AS (SELECT id, seq, epoch_us(et) AS e, epoch_us(arrival) AS a FROM arrivals)",
-        f"tm AS (SELECT id, e + {P.TIMER_DELAY_S * H} AS timer_us, min(a) AS reg_a FROM b GROUP BY ALL)",
+        f"tm AS (SELECT DISTINCT id, e + {P.TIMER_DELAY_S * H} AS timer_us, a AS reg_a FROM b)",
         "u AS (SELECT -e AS o, 0 AS kind, a AS arr, NULL::BIGINT AS id, NULL::BIGINT AS timer_us, NULL::BIGINT AS "
         f"reg_a FROM b UNION ALL SELECT -(timer_us + {P.WATERMARK_DELAY_S * H}), 1, NULL, id, timer_us, reg_a FROM tm)",
         "s AS (SELECT *, min(arr) OVER (ORDER BY o, kind ROWS UNBOUNDED PRECEDING) AS first FROM u)",
     )
-    + "SELECT id, timer_us // 1000 AS timer_ms, CASE WHEN first IS NOT NULL THEN greatest(first, reg_a) // 1000 "
+    + "SELECT DISTINCT id, timer_us // 1000 AS timer_ms, CASE WHEN first IS NOT NULL THEN greatest(first, reg_a) // 1000 "
     "END AS fired_at_ms FROM s WHERE kind = 1",
 )
 def st09(spark, sf):

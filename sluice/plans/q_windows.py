@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sluice.model import arrivals_view, sensor_view
@@ -266,8 +265,7 @@ def tk03(spark, sf):
 @query("tk04_sort_desc", _topn_sql(0, P.TUMBLE, None, limit=False))
 def tk04(spark, sf):
     counts = topn.window_value_counts(sensor_view(spark, sf), "et", "vc", P.TUMBLE, None)
-    order = Window.partitionBy("window_end").orderBy(F.col("cnt").desc(), F.col("vc").asc())
-    return counts.select("window_end", "vc", "cnt", F.row_number().over(order).alias("rank"))
+    return topn.rank_all(counts).select("window_end", "vc", "cnt", F.col("rank").cast("int").alias("rank"))
 
 
 @query("tk05_limit_n", _topn_sql(5, P.TUMBLE, None))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 
 from pyspark.sql import SparkSession
 
@@ -56,8 +55,9 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The value of ``spark.checkpoint.dir`` wins.  Only when it is unset (local
-    tests) a fresh folder under the system temp dir is made and registered.
+    The value of ``spark.checkpoint.dir`` wins.  Only a local session without
+    one (tests) gets a fresh folder under the system temp dir; on a cluster,
+    where that folder would be some machine's own, it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -67,17 +67,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="sluice-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint dir (for written tables)."""
-    base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
-
-
 _SHIPPED: set = set()
 
 

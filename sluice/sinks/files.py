@@ -1,8 +1,9 @@
 """K01/K02 row-format text files in hour buckets ``yyyy-MM-dd HH``.
 
 The bucket is a partition column (``bucket=2024-01-01 00/part-...``), the
-line the only value column.  Rolling: the stream rolls per trigger (time) and
-``maxRecordsPerFile`` (a row bound; Spark has no byte bound for text).
+line the only value column.  A batch write replaces the buckets it has, so a
+repeated job does not double them.  Rolling: the stream rolls per trigger
+(time) and by rows (``maxRecordsPerFile``); a batch also rolls by bytes.
 """
 
 from __future__ import annotations
@@ -10,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.operators.rolling import running_aggregate
+
 BUCKET_FORMAT = "yyyy-MM-dd HH"
 
 
@@ -17,8 +20,19 @@ def bucketed_lines(df: DataFrame, time_col: str, line: Column) -> DataFrame:
     return df.select(F.date_format(F.col(time_col), BUCKET_FORMAT).alias("bucket"), line.alias("value"))
 
 
-def write_bucketed_text(frame: DataFrame, path: str, max_records_per_file: int | None = None) -> None:
-    w = frame.write.mode("append").partitionBy("bucket").format("text")
+def write_bucketed_text(
+    frame: DataFrame, path: str, max_records_per_file: int | None = None, max_bytes_per_file: int | None = None
+) -> None:
+    """``max_bytes_per_file``: a file is closed by the line that fills it; each
+    file of a bucket is then a sub-partition ``roll``."""
+    by = ["bucket"]
+    if max_bytes_per_file:
+        size = F.octet_length("value") + 1
+        frame = frame.withColumns({"_size": size.cast("long"), "_at": F.xxhash64("value")})
+        frame = running_aggregate(frame, ["bucket"], "_at", [("_sum", "sum", F.col("_size"))])
+        frame = frame.withColumn("roll", F.floor((F.col("_sum") - F.col("_size")) / max_bytes_per_file))
+        frame, by = frame.select("bucket", "roll", "value").repartition("bucket", "roll"), ["bucket", "roll"]
+    w = frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).format("text")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     w.save(path)

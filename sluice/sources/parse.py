@@ -16,14 +16,18 @@ _INT_TEXT = r"^[+-]?[0-9]+$"
 
 
 def parse_number(text: Column, kind: str = "int", strict: bool = False) -> Column:
+    """F02 text to number: null when malformed, or a failure when ``strict``.
+    Blanks around the digits are malformed (a cast alone would trim them)."""
     if strict:
-        return text.cast(kind)
+        number = text.try_cast(kind)
+        refused = F.raise_error(F.concat(F.lit("not a number: "), text)).cast(kind)
+        return F.when(text.isNull(), F.lit(None).cast(kind)).when(text.rlike(_INT_TEXT) & number.isNotNull(), number).otherwise(refused)
     return F.when(text.rlike(_INT_TEXT), text.try_cast(kind))
 
 
 def _fields(line: str, n: int) -> tuple[Column, list[Column]]:
     parts = F.split(F.col(line), ",", -1)
-    return F.size(parts), [parts.getItem(i) for i in range(n)]
+    return F.size(parts), [F.get(parts, F.lit(i)) for i in range(n)]
 
 
 def _split_good_bad(df: DataFrame, line: str, typed: list[tuple[str, Column]], n: int):

@@ -116,6 +116,33 @@ def topn_per_batch(path: str, n: int, value: str = "vc"):
     return rank
 
 
+def processing_time_windows(
+    df: DataFrame, keys: list[str], aggs: list, size: str, slide: str | None = None, session: bool = False
+) -> DataFrame:
+    """W02/W04/W06 stream: tumbling (``slide=None``), sliding, or session
+    (``size`` is the gap) windows over the time at which a row is processed.
+    A window is final one trigger after its end."""
+    from sluice.operators.windows import processing_time
+
+    d = processing_time(df).withWatermark("pt", "0 seconds")
+    w = F.session_window("pt", size) if session else F.window("pt", size, slide) if slide else F.window("pt", size)
+    g = d.groupBy(*keys, w.alias("_win")).agg(*aggs)
+    rest = [c for c in g.columns if c not in (*keys, "_win")]
+    return g.select(*keys, F.col("_win.start").alias("window_start"), F.col("_win.end").alias("window_end"), *rest)
+
+
+def previous_state(spark, state_path: str, batch_id: int) -> DataFrame | None:
+    """The state row that the batch before ``batch_id`` left (each batch
+    leaves one, so no other is read); none for the first batch.  The folder is
+    asked through Spark's file system, and any failure to read is a failure."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{state_path}/batch_id={batch_id - 1}")
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        if batch_id:
+            raise RuntimeError(f"batch {batch_id} finds no state of batch {batch_id - 1} under {state_path}")
+        return None
+    return spark.read.parquet(folder.toString())
+
+
 def split_late_per_batch(
     state_path: str,
     on_time_path: str,
@@ -143,15 +170,8 @@ def split_late_per_batch(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            prev = (
-                spark.read.parquet(state_path)
-                .filter(F.col("batch_id") < batch_id)
-                .agg(F.max("max_et_us"))
-                .collect()[0][0]
-            )
-        except Exception:  # noqa: BLE001 - first batch: no state yet
-            prev = None
+        state = previous_state(spark, state_path, batch_id)
+        prev = None if state is None else state.first()["max_et_us"]
         d = with_watermark_before(batch, et, arrival, delay_s)
         if prev is not None:
             seeded = F.greatest(F.col("wm_before_us"), F.lit(prev - delay_s * 1_000_000))
@@ -192,19 +212,12 @@ def rule_per_batch(state_path: str, out_path: str, kind_col: str, config_kind, v
         spark = batch.sparkSession
         cfg = batch.filter(F.col(kind_col) == config_kind)
         data = batch.filter(F.col(kind_col) != config_kind)
-        try:
-            seed = (
-                spark.read.parquet(state_path)
-                .filter(F.col("batch_id") < batch_id)
-                .agg(F.max(F.struct("a", "s", "v")).alias("m"))
-                .select("m.*")
-                .filter(F.col("a").isNotNull())
-            )
-            seed_rows = seed.select(
+        seed = previous_state(spark, state_path, batch_id)
+        seed_rows = None
+        if seed is not None:
+            seed_rows = seed.filter(F.col("a").isNotNull()).select(
                 F.col("s").alias("seq"), F.col("v").alias(value), from_epoch_us("a").alias(arrival)
             )
-        except Exception:  # noqa: BLE001 - first batch
-            seed_rows = None
         cfg_all = cfg.select("seq", value, arrival)
         if seed_rows is not None:
             cfg_all = cfg_all.unionByName(seed_rows)

@@ -14,9 +14,12 @@ only accepted in ProcessingTime mode.
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql.streaming.stateful_processor import (
     ExpiredTimerInfo,
     StatefulProcessor,
@@ -90,9 +93,11 @@ class RunningSum(KeyedProcess):
         self.total = handle.getValueState("total", StructType([StructField("v", LongType())]))
 
     def process(self, key, frame, timer_values):
-        base = self.total.get()[0] if self.total.exists() else 0
-        sums = frame["vc"].fillna(0).astype("int64").cumsum() + base
-        self.total.update((int(sums.iloc[-1]),))
+        base = self.total.get()[0] if self.total.exists() else None
+        seen = frame["vc"].notna().cummax() | (base is not None)
+        sums = (frame["vc"].fillna(0).astype("int64").cumsum() + (base or 0)).astype("Int64").where(seen)
+        if seen.iloc[-1]:  # no reading yet: no sum yet
+            self.total.update((int(sums.iloc[-1]),))
         yield pd.DataFrame({"seq": frame["seq"].astype("int64"), "id": key[0], "sum_vc": sums})
 
 
@@ -112,7 +117,7 @@ class RunningAvg(KeyedProcess):
         s = v.fillna(0).cumsum() + s0
         c = v.notna().astype("int64").cumsum() + c0
         self.acc.update((float(s.iloc[-1]), int(c.iloc[-1])))
-        yield pd.DataFrame({"seq": frame["seq"].astype("int64"), "id": key[0], "avg_vc": (s / c).round(6)})
+        yield pd.DataFrame({"seq": frame["seq"].astype("int64"), "id": key[0], "avg_vc": (s / c.where(c > 0)).round(6)})
 
 
 class ValueJump(KeyedProcess):
@@ -127,12 +132,12 @@ class ValueJump(KeyedProcess):
         self.last = handle.getValueState("last", StructType([StructField("vc", IntegerType())]))
 
     def process(self, key, frame, timer_values):
-        first = self.last.get()[0] if self.last.exists() else 0
-        vc = frame["vc"].astype("int64")
-        prev = vc.shift(1).fillna(first).astype("int64")
-        self.last.update((int(vc.iloc[-1]),))
-        out = pd.DataFrame({"seq": frame["seq"].astype("int64"), "id": key[0], "vc": vc.astype("int32"), "prev": prev.astype("int32")})
-        yield out[(out["vc"] - out["prev"]).abs() > self.threshold]
+        vc = frame["vc"].astype("Int64")
+        prev = vc.shift(1)
+        prev.iloc[0] = self.last.get()[0] if self.last.exists() else 0
+        self.last.update((None if pd.isna(vc.iloc[-1]) else int(vc.iloc[-1]),))
+        out = pd.DataFrame({"seq": frame["seq"].astype("int64"), "id": key[0], "vc": vc.astype("Int32"), "prev": prev.astype("Int32")})
+        yield out[((vc - prev).abs() > self.threshold).fillna(False).to_numpy(bool)]
 
 
 class TopK(KeyedProcess):
@@ -147,12 +152,18 @@ class TopK(KeyedProcess):
         self.top = handle.getListState("top", StructType([StructField("vc", IntegerType())]))
 
     def process(self, key, frame, timer_values):
+        # k running maxima: what a value pushes out of one feeds the next
         top = sorted((r[0] for r in self.top.get()), reverse=True)
-        texts = []
-        for v in frame["vc"].tolist():
-            top = sorted(top + [int(v)], reverse=True)[: self.k]
-            texts.append(",".join(str(x) for x in top))
-        self.top.put([(x,) for x in top])
+        low = -(1 << 62)
+        x = frame["vc"].astype("Int64").fillna(low).astype("int64").to_numpy()
+        columns = []
+        for i in range(self.k):
+            best = np.maximum.accumulate(np.concatenate([[top[i] if i < len(top) else low], x]))
+            columns.append(best[1:])
+            x = np.minimum(x, best[:-1])
+        texts = [",".join(str(v) for v in row if v != low) for row in np.stack(columns, axis=1).tolist()]
+        if columns[0][-1] != low:  # an empty list cannot be stored
+            self.top.put([(int(c[-1]),) for c in columns if c[-1] != low])
         yield pd.DataFrame({"seq": frame["seq"].astype("int64"), "id": key[0], "top3": texts})
 
 
@@ -165,18 +176,26 @@ class ValueCounts(KeyedProcess):
         self.counts = handle.getMapState(
             "counts", StructType([StructField("vc", IntegerType())]), StructType([StructField("n", LongType())])
         )
+        self.null_count = handle.getValueState("null_count", StructType([StructField("n", LongType())]))
 
     def process(self, key, frame, timer_values):
         # one read of the key's map and one write per changed value per
-        # batch; the per-row counts are a vectorised running count
-        vc = frame["vc"].astype("int64")
-        stored = {int(k[0]): int(v[0]) for k, v in self.counts.iterator()}
-        cnt = vc.groupby(vc).cumcount().astype("int64") + 1 + vc.map(lambda x: stored.get(x, 0))
+        # batch; the per-row counts are a vectorised running count.  Null
+        # readings are a value of their own, outside the integers.
+        none = -(1 << 40)
+        vc = frame["vc"].astype("Int64").fillna(none).astype("int64")
+        stored = {none if k[0] is None else int(k[0]): int(v[0]) for k, v in self.counts.iterator()}
+        nulls = self.null_count.get()[0] if self.null_count.exists() else 0
+        stored[none] = nulls
+        cnt = vc.groupby(vc).cumcount().astype("int64") + 1 + vc.map(stored).fillna(0).astype("int64")
         last = pd.DataFrame({"vc": vc, "cnt": cnt}).groupby("vc")["cnt"].max()
         for v, n in last.items():
-            self.counts.updateValue((int(v),), (int(n),))
+            if v == none:
+                self.null_count.update((int(n),))
+            else:
+                self.counts.updateValue((int(v),), (int(n),))
         yield pd.DataFrame(
-            {"seq": frame["seq"].astype("int64"), "id": key[0], "vc": vc.astype("int32"), "cnt": cnt}
+            {"seq": frame["seq"].astype("int64"), "id": key[0], "vc": vc.astype("Int64").where(vc != none).astype("Int32"), "cnt": cnt}
         )
 
 
@@ -202,19 +221,58 @@ class CountWindow(KeyedProcess):
         )
 
     def process(self, key, frame, timer_values):
-        n, fired, first, s = self.acc.get() if self.acc.exists() else (0, 0, None, 0)
+        # ``s`` is null while the open window has no reading but null ones
+        n, fired, first, s = self.acc.get() if self.acc.exists() else (0, 0, None, None)
+        d = pd.DataFrame({"seq": frame["seq"].astype("int64").to_numpy(), "vc": frame["vc"].astype("Int64").to_numpy()})
+        groups = d.groupby(fired + (np.arange(len(d)) + n) // self.size)
+        g = groups.agg(first_seq=("seq", "first"), last_seq=("seq", "last"), rows=("seq", "size"))
+        g["sum_vc"] = groups["vc"].sum(min_count=1).astype("Int64")
+        if n:  # the window left open by earlier frames
+            head = g.index[0]
+            g.loc[head, "first_seq"], g.loc[head, "rows"] = first, g.loc[head, "rows"] + n
+            if s is not None:
+                g.loc[head, "sum_vc"] = s + (0 if pd.isna(g.loc[head, "sum_vc"]) else g.loc[head, "sum_vc"])
+        tail = g.iloc[-1]
+        if tail["rows"] < self.size:
+            self.acc.update((int(tail["rows"]), int(g.index[-1]), int(tail["first_seq"]), None if pd.isna(tail["sum_vc"]) else int(tail["sum_vc"])))
+        else:
+            self.acc.update((0, int(g.index[-1]) + 1, None, None))
+        full = g[g["rows"] == self.size]
+        if len(full):
+            yield full.drop(columns="rows").reset_index(names="window_no").assign(id=key[0])[["id", "window_no", "first_seq", "last_seq", "sum_vc"]]
+
+
+class SlidingCountWindow(KeyedProcess):
+    """W08 sliding count window: at every ``slide``-th row of a key, the last
+    ``size`` rows (early firings hold fewer)."""
+
+    output = "id long, fire_at long, first_seq long, last_seq long, sum_vc long"
+
+    def __init__(self, size: int, slide: int):
+        self.size = size
+        self.slide = slide
+
+    def open(self, handle):
+        self.rows = handle.getValueState("rows", StructType([StructField("n", LongType())]))
+        self.last = handle.getListState("last", StructType([StructField("seq", LongType()), StructField("vc", LongType())]))
+
+    def process(self, key, frame, timer_values):
+        n = self.rows.get()[0] if self.rows.exists() else 0
+        kept = pd.DataFrame(list(self.last.get()), columns=["seq", "vc"])
+        new = pd.DataFrame({"seq": frame["seq"].to_numpy(), "vc": frame["vc"].astype("Int64").to_numpy()})
+        d = pd.concat([kept.astype({"vc": "Int64"}), new], ignore_index=True)
+        total, before = n + len(new), n - len(kept)  # ``before``: rows that ``d`` no longer holds
+        fires = np.arange((n // self.slide + 1) * self.slide, total + 1, self.slide)
         out = []
-        for seq, v in zip(frame["seq"].tolist(), frame["vc"].tolist()):
-            if n == 0:
-                first = int(seq)
-            n += 1
-            s += int(v)
-            if n == self.size:
-                out.append((key[0], fired, first, int(seq), s))
-                fired, n, s, first = fired + 1, 0, 0, None
-        self.acc.update((n, fired, first, s))
+        for e in fires.tolist():  # one for ``slide`` rows
+            w = d.iloc[max(0, e - self.size - before) : e - before]
+            s = w["vc"].sum(min_count=1)
+            out.append((key[0], e, int(w["seq"].iloc[0]), int(w["seq"].iloc[-1]), s))
+        tail = d.iloc[-self.size :]
+        self.rows.update((total,))
+        self.last.put([(int(a), None if pd.isna(b) else int(b)) for a, b in zip(tail["seq"], tail["vc"])])
         if out:
-            yield pd.DataFrame(out, columns=["id", "window_no", "first_seq", "last_seq", "sum_vc"])
+            yield pd.DataFrame(out, columns=["id", "fire_at", "first_seq", "last_seq", "sum_vc"]).astype({"sum_vc": "Int64"})
 
 
 class TtlValue(KeyedProcess):
@@ -231,15 +289,17 @@ class TtlValue(KeyedProcess):
         self.value = handle.getValueState("v", StructType([StructField("vc", IntegerType())]), self.ttl_ms)
 
     def process(self, key, frame, timer_values):
-        out = []
-        for seq, v in zip(frame["seq"].tolist(), frame["vc"].tolist()):
-            old = self.value.get()[0] if self.value.exists() else None
-            if old is not None:
-                self.value.update((old,))  # read refreshes the TTL
-            out.append((int(seq), key[0], int(v), old))
-            if v > self.keep_if_above:
-                self.value.update((int(v),))
-        yield pd.DataFrame(out, columns=["seq", "id", "vc", "old_value"]).astype({"old_value": "Int32"})
+        # the rows of a batch come at one processing time: one read, one write
+        old = self.value.get()[0] if self.value.exists() else None
+        vc = frame["vc"].astype("Int64")
+        kept = vc.where((vc > self.keep_if_above).fillna(False)).ffill()
+        if old is not None:
+            kept = kept.fillna(old)
+        if not pd.isna(kept.iloc[-1]):  # a read refreshes the TTL, too
+            self.value.update((int(kept.iloc[-1]),))
+        before = kept.shift(1)
+        before.iloc[0] = pd.NA if old is None else old
+        yield pd.DataFrame({"seq": frame["seq"].astype("int64"), "id": key[0], "vc": vc.astype("Int32"), "old_value": before.astype("Int32")})
 
 
 class EventTimers(KeyedProcess):
@@ -264,7 +324,9 @@ class EventTimers(KeyedProcess):
 
 class InactivityTimer(KeyedProcess):
     """ST10/ST11 processing- or event-time inactivity alert: every row deletes
-    the pending timer and registers a new one ``limit`` later."""
+    the pending timer and registers a new one ``limit`` later.  A gap over the
+    limit between rows that come together alerts at once; a row out of order
+    never moves the timer back."""
 
     output = "id long, timer_ms long"
 
@@ -276,16 +338,22 @@ class InactivityTimer(KeyedProcess):
         self.pending = handle.getValueState("pending", StructType([StructField("t", LongType())]))
 
     def process(self, key, frame, timer_values):
-        if self.pending.exists():
-            self.handle.deleteTimer(self.pending.get()[0])
         if self.time_col in frame:
-            base = int(frame[self.time_col].max())
+            times = np.sort(frame[self.time_col].dropna().to_numpy(dtype="int64"))
         else:
-            base = timer_values.getCurrentProcessingTimeInMs()
-        t = base + self.limit_ms
+            times = np.array([timer_values.getCurrentProcessingTimeInMs()])
+        if not len(times):
+            return
+        if self.pending.exists():
+            armed = self.pending.get()[0]
+            self.handle.deleteTimer(armed)
+            times = np.concatenate([[armed - self.limit_ms], times[times > armed - self.limit_ms]])
+        missed = times[:-1][np.diff(times) > self.limit_ms] + self.limit_ms
+        t = int(times[-1]) + self.limit_ms
         self.handle.registerTimer(t)
         self.pending.update((t,))
-        return iter(())
+        if len(missed):
+            yield pd.DataFrame({"id": key[0], "timer_ms": missed})
 
     def on_timer(self, key, timer_values, expiry_ms):
         self.pending.clear()
@@ -306,20 +374,23 @@ class KeyedRule(KeyedProcess):
         self.thr = handle.getValueState("thr", StructType([StructField("v", IntegerType())]))
 
     def handleInputRows(self, key, rows, timerValues):
-        frames = [f for f in rows if len(f)]
-        if not frames:
-            return
-        frame = pd.concat(frames, ignore_index=True).sort_values(["arr_us", "kind", "seq"], kind="stable")
-        thr = self.thr.get()[0] if self.thr.exists() else self.default
-        out = []
-        for seq, kind, v in zip(frame["seq"].tolist(), frame["kind"].tolist(), frame["vc"].tolist()):
-            if kind == 0:
-                thr = int(v)
-            elif v > thr:
-                out.append((int(seq), key[0], int(v), thr))
-        self.thr.update((thr,))
-        if out:
-            yield pd.DataFrame(out, columns=["seq", "id", "vc", "threshold"])
+        order = ["arr_us", "kind", "seq"]
+        frames = (f for f in rows if len(f))
+        if not self.presorted:
+            whole = list(frames)  # one micro-batch of the key, bounded by the trigger
+            frames = [pd.concat(whole, ignore_index=True)] if whole else []
+        thr, seen = self.thr.get()[0] if self.thr.exists() else self.default, False
+        for frame in frames:
+            frame, seen = frame.sort_values(order, kind="stable").reset_index(drop=True), True
+            vc, config = frame["vc"].astype("Int64"), frame["kind"] == 0
+            # a config without a value leaves the default
+            rule = vc.fillna(self.default).where(config).ffill().fillna(thr)
+            thr = int(rule.iloc[-1])
+            alert = (~config & (vc > rule).fillna(False)).to_numpy(bool)
+            if alert.any():
+                yield pd.DataFrame({"seq": frame["seq"][alert].astype("int64"), "id": key[0], "vc": vc[alert].astype("int32"), "threshold": rule[alert].astype("int32")})
+        if seen:
+            self.thr.update((thr,))
 
 
 def apply_processor(
@@ -335,16 +406,25 @@ def apply_processor(
     and are processed batch by batch -- a hot key is streamed through its
     state, never gathered into one frame.
     """
+    import sluice
+
     spark = df.sparkSession
     ship_package(spark)
     spark.streams.active  # registers the state store coordinator (needed in batch mode too)
+    processor = copy.copy(processor)  # the caller's may serve a stream next
     if order and not df.isStreaming:
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartition(n, key).sortWithinPartitions(key, order)
         processor.presorted = order
-    return df.groupBy(key).transformWithStateInPandas(
-        statefulProcessor=processor,
-        outputStructType=processor.output,
-        outputMode=output_mode,
-        timeMode=time_mode,
-    )
+    # The state worker beside the driver gets no shipped files: the processor
+    # travels with its code.
+    cloudpickle.register_pickle_by_value(sluice)
+    try:
+        return df.groupBy(key).transformWithStateInPandas(
+            statefulProcessor=processor,
+            outputStructType=processor.output,
+            outputMode=output_mode,
+            timeMode=time_mode,
+        )
+    finally:
+        cloudpickle.unregister_pickle_by_value(sluice)

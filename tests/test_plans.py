@@ -2,16 +2,20 @@
 the parquet scan, and the Python-free queries stay in whole-stage codegen."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF001
+from sluice import model
+from sluice.operators.rolling import running_aggregate
+from sluice.plans import load_all
 
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(load_all()))
 def test_no_pairwise_join(spark, name):
     plan = _plan(E.queries()[name](spark, SF001))
     assert "CartesianProduct" not in plan
@@ -51,7 +55,9 @@ def test_rolling_prefix_join_reuses_partitioning(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        text = _plan(E.queries()["a03_keyed_sum_rolling"](spark, SF001))
+        d = model.sensor_view(spark, SF001).select("seq", "id", "vc")
+        # every key above 5 rows is cut
+        text = _plan(running_aggregate(d, ["id"], "seq", [("s", "sum", F.col("vc"))], 5))
     finally:
         for k, v in saved.items():
             spark.conf.set(k, v)
@@ -62,3 +68,17 @@ def test_rolling_prefix_join_reuses_partitioning(spark):
     # the join's left child: the lines marked ':' under the join
     left = [l for l in lines[j + 1:] if len(l) > indent and l[indent] == ":"]
     assert sum("Exchange" in l for l in left) == 1
+
+
+@pytest.mark.parametrize(
+    "name,exchanges",
+    [("w05_win_session_event", 1), ("st06_state_ttl", 1), ("st02_state_list_top3", 1), ("st04_state_reducing_sum", 1)],
+)
+def test_whole_keys_need_one_shuffle_and_one_scan(spark, name, exchanges):
+    text = _plan(E.queries()[name](spark, SF001))
+    assert text.count("Exchange hashpartitioning") == exchanges
+    assert text.count("Scan parquet") == 1 and "Join" not in text and "MapInArrow" not in text
+
+
+def test_constant_first_filter_reaches_the_scan(spark):
+    assert "EqualTo(user_id" in _plan(E.queries()["p06_filter_lambda"](spark, SF001))

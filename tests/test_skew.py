@@ -12,7 +12,7 @@ from conftest import rows
 from sluice.functions.time import epoch_ms, from_epoch_seconds
 from sluice.operators import aggregate as A
 from sluice.operators import joins, late, stateful
-from sluice.operators.rolling import keyed_neighbour, running_aggregate
+from sluice.operators.rolling import find_cut, keyed_neighbour, running_aggregate, with_blocks
 from sluice.operators.udf import custom_aggregate
 from sluice.operators.windows import session_numbers
 from sluice.sources import from_collection
@@ -64,14 +64,14 @@ def test_session_numbers(hot):
     prev = F.lag("t_us").over(w)
     flags = hot.withColumn("f", F.when(prev.isNull() | (F.col("t_us") - prev >= gap), 1).otherwise(0))
     want = flags.select("seq", F.sum("f").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"))
-    got = session_numbers(hot, ["id"], "t_us", gap, ["seq"], 3600 * 1_000_000)
+    got = session_numbers(hot, ["id"], "t_us", gap, ["seq"], 60)
     assert rows(got, "seq", "_sess") == rows(want)
 
 
 def test_rolling_top_k(hot):
     w = Window.partitionBy("id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     want = hot.select("seq", F.slice(F.sort_array(F.collect_list("vc").over(w), False), 1, 3).alias("top"))
-    got = stateful.rolling_top_k(hot, "id", "seq", "vc", 3, block_width=64)
+    got = stateful.rolling_top_k(hot, "id", "seq", "vc", 3, rows_per_block=64)
     assert rows(got, "seq", "top") == rows(want)
 
 
@@ -91,7 +91,7 @@ def test_custom_aggregate_merge(hot):
 def test_latest_rule_asof(hot):
     cfg = hot.filter(F.col("seq") % 5 == 0)
     data = hot.filter(F.col("seq") % 5 != 0)
-    got = joins.latest_rule(data.select("seq", "id", "vc", "arrival"), cfg.select("seq", "id", "vc", "arrival"), "arrival", "vc", block_us=600 * 1_000_000)
+    got = joins.latest_rule(data.select("seq", "id", "vc", "arrival"), cfg.select("seq", "id", "vc", "arrival"), "arrival", "vc", rows_per_block=150)
     # brute force: latest config (by arrival, then seq) with arrival <= the row's
     c = [(r["arr"], r["seq"], r["vc"]) for r in cfg.collect()]
     want = []
@@ -129,9 +129,9 @@ def test_null_keys_keep_their_prefix(hot):
     for key in ("k", "ks"):
         w = Window.partitionBy(key).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
         want = d.select("seq", F.sum("vc").over(w).alias("s"))
-        got = running_aggregate(d, [key], "seq", [("s", "sum", F.col("vc"))], block_width=50)
+        got = running_aggregate(d, [key], "seq", [("s", "sum", F.col("vc"))], rows_per_block=50)
         assert rows(got, "seq", "s") == rows(want)
-    got = stateful.rolling_top_k(d, "k", "seq", "vc", 3, block_width=50)
+    got = stateful.rolling_top_k(d, "k", "seq", "vc", 3, rows_per_block=50)
     w = Window.partitionBy("k").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     want = d.select("seq", F.slice(F.sort_array(F.collect_list("vc").over(w), False), 1, 3).alias("top"))
     assert rows(got, "seq", "top") == rows(want)
@@ -153,18 +153,43 @@ def test_processor_streams_a_hot_key_in_frames(spark, hot):
     assert got_rows == rows(want)
 
 
-def test_auto_block_width_bounds_rows(spark):
-    from sluice.operators.rolling import auto_block_width
+def _blocks(df, keys, order, tiebreak, rows_per_block):
+    d, part, is_cut = with_blocks(df, keys, "blk", order, tiebreak, rows_per_block)
+    assert is_cut
+    sizes = d.filter("blk > 0").groupBy(*part).count()
+    return sizes.agg(F.max("count"), F.count(F.lit(1))).first()
 
-    d = spark.range(10_000).withColumnRenamed("id", "o")
-    # about rows_per_block rows per block when that gives enough blocks
-    assert auto_block_width(d, "o", rows_per_block=1000, min_blocks=4) == 1000
-    # at least min_blocks blocks on small inputs
-    w = auto_block_width(d, "o", rows_per_block=1 << 21, min_blocks=32)
-    assert w == -(-10_000 // 32)
-    blocks = d.select(F.floor(F.col("o") / w).alias("b")).groupBy("b").count()
-    assert blocks.count() == 32 and blocks.agg(F.max("count")).first()[0] <= w
-    assert auto_block_width(d.filter("o < 0"), "o") == 1  # empty input
+
+@pytest.fixture(scope="module")
+def uneven(spark):
+    """10,000 rows: a third at one instant, one stray row at 0, sparse ids,
+    40% in one key."""
+    d = spark.range(10_000).withColumnRenamed("id", "n")
+    t = F.when(F.col("n") == 0, 0).when(F.col("n") % 3 == 0, 1_000_000_000_000).otherwise(F.col("n") * 1_000_003 + 999_000_000_000)
+    key = F.when(F.col("n") % 5 < 2, F.lit(None)).otherwise(F.col("n") % 97)
+    return d.select(t.alias("t"), (F.col("n") * (1 << 24)).alias("seq"), key.cast("long").alias("k"), (F.col("n") % 13 - 6).alias("v")).cache()
+
+
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_blocks_follow_the_data(uneven, keys):
+    target = 500
+    total = 10_000 if not keys else 4_000
+    for order, tie in (("t", ["seq"]), ("seq", [])):
+        most, n = _blocks(uneven, keys, order, tie, target)
+        assert most <= 2 * target, (order, most)
+        assert n <= 4 * total // target, (order, n)
+    w = Window.partitionBy(*keys).orderBy("t", "seq").rowsBetween(Window.unboundedPreceding, 0)
+    want = uneven.select("seq", F.sum("v").over(w).alias("s"))
+    got = running_aggregate(uneven, keys, "t", [("s", "sum", F.col("v"))], target, ["seq"])
+    assert rows(got, "seq", "s") == rows(want)
+
+
+def test_whole_keys_take_the_plain_window(uneven):
+    assert find_cut(uneven, ["k"], "t", ["seq"]) is None
+    got = running_aggregate(uneven, ["k"], "t", [("s", "sum", F.col("v"))], tiebreak=["seq"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert find_cut(uneven.filter("seq < 0"), [], "t") is None
 
 
 @pytest.mark.parametrize("size,slide", [("60 minutes", "1 minute"), ("10 minutes", "4 minutes"), ("7 minutes", "7 minutes")])

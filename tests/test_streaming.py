@@ -15,7 +15,7 @@ from sluice.plans import load_all
 from sluice.sources.text import text_lines, tokenize
 from sluice.streaming import ops
 from sluice.streaming import processors as PR
-from sluice.streaming.replay import read_replay, run_to_end, to_event_time, write_replay
+from replay import read_replay, run_to_end, to_event_time, write_replay
 
 DELAY = "5 hours"  # above the largest arrival disorder (4 h): nothing is dropped
 def aggs():

@@ -17,7 +17,7 @@ from sluice.sinks import bucketed_lines, write_bucketed_text_stream
 from sluice.sources import parse_sensor_csv, read_text_stream
 from sluice.streaming import ops
 from sluice.streaming import processors as PR
-from sluice.streaming.replay import read_replay, run_to_end, to_event_time, write_replay
+from replay import read_replay, run_to_end, to_event_time, write_replay
 
 DELAY = "5 hours"
 
