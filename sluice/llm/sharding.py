@@ -22,6 +22,7 @@ columns are left out.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -103,10 +104,9 @@ def curve_index(df: DataFrame, dims: Sequence[str] = DIMENSIONS, bits: int = BIT
     edges = df.agg(*[F.percentile_approx(numbers[d], share, ACCURACY).alias(d) for d in dims]).first()
     levels = []
     for d in dims:
-        cuts = sorted(set(edges[d] or []))
         level = F.lit(0)
-        for c in cuts:
-            level = level + F.coalesce(numbers[d] > c, F.lit(False)).cast("int")
+        for c, n in sorted(Counter(edges[d] or []).items()):  # a frequent value passes several levels at once
+            level = level + F.when(numbers[d] > c, n).otherwise(0)
         levels.append(level)
     placed = df.select("*", *[lv.alias(f"_level{i}") for i, lv in enumerate(levels)])
     return placed.select(*df.columns, hilbert_index([F.col(f"_level{i}") for i in range(len(dims))], bits).alias("curve"))
