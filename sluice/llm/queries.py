@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, embeddings, langid, lines, packing, secrets, sequence_files, sharding, simhash, sketches
+from sluice.llm import bpe, embeddings, langid, lines, oracles, packing, secrets, sequence_files, sharding, simhash, sketches
 from sluice.llm.common import documents, materialize
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -51,7 +51,7 @@ def simhash_components(spark, sf_dir):
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-@query("op4_secret_links")
+@query("op4_secret_links", oracles.secret_links())
 def secret_links(spark, sf_dir):
     return secrets.span_digests(documents(spark, sf_dir))
 
