@@ -5,7 +5,7 @@ A line is a *repeat* if an equal line stands earlier in the corpus, and a
 *near repeat* if a line within ``EDITS`` edits first stands earlier than it
 does.  Repeats go; the first of its kind stays.  Earlier is by document id,
 then text checksum, then line number.  Blank lines are no repeats, and lines
-under ``LEAST`` characters have no near ones.
+under ``LEAST`` bytes have no near ones.
 
 Equal lines are folded first (map-side combined), so a line that a third of
 all documents hold is one class.  For the near ones each class's line is cut
@@ -20,7 +20,8 @@ met another.
 
 Defined results: null text has no lines and stays null; a null id comes before
 all others; rows equal in id and text get equal results; an empty table gives
-no rows; ``dedup`` keeps all columns.  A text is cut at ``\\n``.
+no rows; ``dedup`` keeps all columns.  A text is cut at ``\\n``.  Lengths and
+edits are of UTF-8 bytes, so a changed two-byte letter may count as two.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ LEAST = 30
 BROADCAST_CLASSES = 2_000_000
 
 # Letters whose counts two lines are compared by.
-LETTERS = "etaoinsrhldcumpg"
+LETTERS = "etaoinsrhldc"
 _PLACE = ["doc_id", "text_hash"]
 _CLASS = ["line_hash", "length"]
 
@@ -47,7 +48,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, line_no, line, line_hash, length`` of the lines
     that are not blank."""
     keyed = docs.filter(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return keyed.filter(~F.col("line").rlike(r"^\s*$")).withColumns({"line_hash": F.xxhash64("line"), "length": F.length("line")})
+    return keyed.filter(~F.col("line").rlike(r"^\s*$")).withColumns({"line_hash": F.xxhash64("line"), "length": F.octet_length("line")})
 
 
 def _segment(length: str, i: int, edits: int) -> tuple[str, str]:
@@ -74,35 +75,33 @@ def _hashes(edits: int) -> Column:
     cut = []
     for less, i, shift in [(0, i, 0) for i in range(edits + 1)] + _probes(edits):
         start, size = _segment(f"length - {less}", i, edits)
-        cut.append(F.expr(f"hash(substring(line, {start} + {shift}, {size}))"))
+        cut.append(F.expr(f"hash(substring(cast(line as binary), {start} + {shift}, {size}))"))
     return F.array(*cut)
 
 
 def _letter_counts() -> list[Column]:
-    """Counts of eight letters a long, a byte each (modulo 256)."""
+    """Counts of the letters, six to a long, ten bits each (modulo 1024)."""
     size = F.octet_length("line")
-    count = [(size - F.octet_length(F.replace(F.col("line"), F.lit(c)))).bitwiseAND(255).cast("long") for c in LETTERS]
-    return [reduce(lambda a, b: a * 256 + b, count[k + 1 : k + 8], F.pmod(count[k], F.lit(128))) for k in (0, 8)]
+    count = [(size - F.octet_length(F.replace(F.col("line"), F.lit(c)))).bitwiseAND(1023).cast("long") for c in LETTERS]
+    return [reduce(lambda a, b: a * 1024 + b, count[k : k + 6]) for k in range(0, len(count), 6)]
 
 
 def _unlike(a: Column, b: Column) -> Column:
     """By how much two packed counts differ in all."""
     total = F.lit(0).cast("long")
-    for k in range(8):
-        mod = 256 if k < 7 else 128
-        d = F.shiftright(a, 8 * k).bitwiseAND(mod - 1) - F.shiftright(b, 8 * k).bitwiseAND(mod - 1)
-        d = F.abs(d)
-        total = total + F.least(d, F.lit(mod) - d)
+    for k in range(6):
+        d = F.abs(F.shiftright(a, 10 * k).bitwiseAND(1023) - F.shiftright(b, 10 * k).bitwiseAND(1023))
+        total = total + F.least(d, 1024 - d)
     return total
 
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:
     """Whether two texts, ``a`` no shorter than ``b`` and by at most ``edits``
-    code points longer, are at most ``edits`` edits apart: Hyyro's banded
+    bytes longer, are at most ``edits`` edits apart: Hyyro's banded
     bit-vector recurrence, one word of ``2 * edits + 1`` diagonals."""
     width = 2 * edits + 1
     full, top = (1 << width) - 1, 1 << (2 * edits)
-    points = lambda text: F.transform(F.split(text, ""), F.ascii)
+    points = lambda text: F.transform(F.split(F.decode(text.cast("binary"), "ISO-8859-1"), ""), F.ascii)
 
     def step(acc: Column, at: Column, long: Column, short: Column) -> Column:
         c = F.get(short, at)
@@ -139,11 +138,11 @@ def _classes(docs: DataFrame, edits: int, least: int) -> DataFrame:
     """One row a distinct line: where it first stands, how often, and what the
     near join needs of it (null for short lines)."""
     fit = F.col("length") >= least
-    c0, c1 = _letter_counts()
+    first_six, last_six = _letter_counts()
     rows = _lines(docs).select(
         *_CLASS,
         F.struct(*_PLACE, "line_no").alias("place"),
-        F.when(fit, F.struct(_hashes(edits).alias("hashes"), c0.alias("c0"), c1.alias("c1"))).alias("near"),
+        F.when(fit, F.struct(_hashes(edits).alias("hashes"), first_six.alias("c0"), last_six.alias("c1"))).alias("near"),
     )
     return materialize(rows.groupBy(*_CLASS).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("near").alias("near")), "line-classes")
 
