@@ -12,8 +12,9 @@ import json
 import re
 from functools import lru_cache
 
-#: Matches remembered per process; when full, the memory starts afresh.
-REMEMBERED = 400_000
+#: Matches remembered per process; when full, the memory starts afresh and
+#: takes back what it meets again.
+REMEMBERED = 320_000
 
 # The split pattern of byte-level BPE files of this family.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -22,34 +23,51 @@ _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 _NUMBERS = "0-9²³¹¼-¾"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in files of this family: printable
+    Latin-1 stands for itself, the rest follow from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
 class Ids(dict):
     """match -> little-endian uint32 ids, filled by the library on demand."""
 
     def __init__(self, path: str, end_id: int | None):
         super().__init__()
         import regex
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
 
         with open(path) as f:
             kind = json.load(f)
         if kind["pre_tokenizer"] is None or kind["pre_tokenizer"]["type"] != "ByteLevel" or kind.get("normalizer"):
             raise ValueError(f"{path} is no plain byte-level BPE")
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
-        # One match is one unit: the library need not split it again.
-        self._tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        tokenizer = Tokenizer.from_file(path)
+        self._model = tokenizer.model
+        self._model._resize_cache(0)  # this memory stands in for the library's
+        self._letters = _byte_letters()
+        size = max(kind["model"]["vocab"].values()) + 1
+        self._four = [i.to_bytes(4, "little") for i in range(size)]
         self._any = regex.compile(SPLIT).findall
         narrow = SPLIT.replace(r"[^\s\p{L}\p{N}]", rf"[^\s{_LETTERS}{_NUMBERS}]")
+        narrow = narrow.replace("'s|'t|'re|'ve|'m|'ll|'d", "'(?:s|t|re|ve|m|ll|d)")
         self._narrow = re.compile(narrow.replace(r"\p{L}", f"[{_LETTERS}]").replace(r"\p{N}", f"[{_NUMBERS}]")).findall
         # `re` also counts U+001C-U+001F as white space; `regex` takes those texts.
         self._beyond = re.compile("[ɐ-\U0010ffff\x1c-\x1f]").search
+        self._before: dict[str, bytes] = {}  # what was remembered before the last fresh start
         self._end = b"" if end_id is None else end_id.to_bytes(4, "little")
 
     def __missing__(self, match: str) -> bytes:
-        import array
-
-        ids = array.array("I", self._tokenizer.encode(match, add_special_tokens=False).ids).tobytes()
+        ids = self._before.get(match)
+        if ids is None:
+            if match.isascii() and match.isprintable():  # of these bytes only the blank has another letter
+                letters = match.replace(" ", self._letters[32])
+            else:
+                letters = match.encode().decode("latin-1").translate(self._letters)
+            ids = b"".join([self._four[t.id] for t in self._model.tokenize(letters)])
         if len(self) >= REMEMBERED:
+            self._before = self.copy()
             self.clear()
         self[match] = ids
         return ids
