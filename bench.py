@@ -28,6 +28,12 @@ HEADLINE = [
     "t05_late_side_output_late",
     "st04_state_reducing_sum",
     "st04_state_reducing_sum_tws",
+    "a02_word_count_stream",
+    "j03_join_interval_late_joined",
+    "j07_broadcast_rule",
+    "st06_state_ttl",
+    "st09_timer_event_time",
+    "w13_win_process",
 ]
 
 

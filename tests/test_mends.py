@@ -146,6 +146,12 @@ def test_unheard_input_holds_the_clock_until_idle(spark):
     assert [r["wm_before_us"] for r in got.orderBy("seq").collect()] == [None, None, None, 3599_000_000, 3700_000_000]
 
 
+def test_an_hours_delay_makes_fewer_rows_late(spark):
+    a = model.arrivals_view(spark, SF001)
+    n = {d: late.split_late(a, "et", "arrival", d)[1].count() for d in (P.WATERMARK_DELAY_S, P.WATERMARK_DELAY_STRESS_S)}
+    assert (n[P.WATERMARK_DELAY_S] >= n[P.WATERMARK_DELAY_STRESS_S]) == (P.WATERMARK_DELAY_S <= P.WATERMARK_DELAY_STRESS_S)
+
+
 def test_lost_state_is_an_error(spark, tmp_dir):
     assert ops.previous_state(spark, os.path.join(tmp_dir, "none"), 0) is None
     with pytest.raises(RuntimeError):

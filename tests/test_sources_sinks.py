@@ -33,6 +33,15 @@ def test_kafka_round_trip(spark):
     assert rows(back) == rows(want)
 
 
+def test_kafka_options():
+    from sluice.sinks.kafka import kafka_sink_options
+    from sluice.sources.kafka import kafka_source_options
+
+    assert kafka_source_options("h:1", "ws", "g") == {"kafka.bootstrap.servers": "h:1", "subscribe": "ws", "startingOffsets": "latest", "kafka.group.id": "g"}
+    assert "kafka.group.id" not in kafka_source_options("h:1", "ws")
+    assert kafka_sink_options("h:1", "/ck") == {"kafka.bootstrap.servers": "h:1", "checkpointLocation": "/ck"}
+
+
 def test_strict_parse_fails(spark):
     df = from_collection(spark, [("6.55",)], "line string")
     assert parse_int_line(df).collect()[0]["n"] is None
