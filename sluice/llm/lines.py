@@ -103,15 +103,14 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     full, top = (1 << width) - 1, 1 << (2 * edits)
     points = lambda text: F.transform(F.split(F.decode(text.cast("binary"), "ISO-8859-1"), ""), F.ascii)
 
+    bind = lambda value, f: F.element_at(F.transform(F.array(value), f), 1)  # noqa: E731  f's argument is computed once
+
     def step(acc: Column, at: Column, long: Column, short: Column) -> Column:
+        vp, vn, dist, mask = acc["vp"], acc["vn"], acc["dist"], acc["mask"]
         c = F.get(short, at)
         meets = reduce(lambda x, y: x.bitwiseOR(y), [F.when(F.get(long, at + (k - edits)) == c, 1 << k).otherwise(0) for k in range(width)])
-        vp, vn, dist, mask = acc["vp"], acc["vn"], acc["dist"], acc["mask"]
-        nested = F.transform(F.array(F.struct(meets.alias("x"))), lambda s: s["x"])
-        x = F.element_at(nested, 1)
-        bind = lambda value, f: F.element_at(F.transform(F.array(value), f), 1)  # noqa: E731  f's argument is computed once
 
-        def with_d0(d0: Column) -> Column:
+        def moved_on(d0: Column) -> Column:
             hp = vn.bitwiseOR(F.lit(full) - d0.bitwiseOR(vp))
             hn = d0.bitwiseAND(vp)
             before_end = at < F.size(long) - edits
@@ -125,8 +124,8 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
                 F.when(before_end, mask).otherwise(F.shiftright(mask, 1)).alias("mask"),
             )
 
-        d0 = bind(x, lambda m: (m.bitwiseAND(vp) + vp).bitwiseAND(full).bitwiseXOR(vp).bitwiseOR(m).bitwiseOR(vn))
-        return bind(d0, with_d0)
+        d0 = bind(meets, lambda m: (m.bitwiseAND(vp) + vp).bitwiseAND(full).bitwiseXOR(vp).bitwiseOR(m).bitwiseOR(vn))
+        return bind(d0, moved_on)
 
     start = F.struct(F.lit(full - (1 << edits) + 1).alias("vp"), F.lit(0).alias("vn"), F.lit(edits).alias("dist"), F.lit(top >> 1).alias("mask"))
     both = F.struct(points(a).alias("long"), points(b).alias("short"))
