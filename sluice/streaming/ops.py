@@ -227,3 +227,66 @@ def rule_per_batch(state_path: str, out_path: str, kind_col: str, config_kind, v
         state_writer(last, batch_id)
 
     return run
+
+
+def interval_join_late_per_batch(
+    path: str,
+    side: str,
+    key: str,
+    et: str,
+    arrival: str,
+    lower_s: int,
+    upper_s: int,
+    delay_s: int,
+    lcols: Sequence[str],
+    rcols: Sequence[str],
+):
+    """J03 stream: interval join with late sides as a ``foreachBatch``
+    function over one stream of both inputs (``side`` is ``l`` or ``r``).
+
+    Results go to ``joined``, ``late_left`` and ``late_right`` under ``path``.
+    The clock of both inputs goes on from the maxima that earlier batches left
+    (one state row a batch); rows on time are kept under ``rows`` and joined
+    with the rows of later batches that can still reach them.  Everything is
+    written per batch id, so a replayed batch replaces its results.
+    """
+    from sluice.functions.time import epoch_us, from_epoch_us
+    from sluice.operators.joins import interval_join
+    from sluice.operators.late import combined_watermark, late_by_clock
+
+    writers = {n: IdempotentBatchWriter(f"{path}/{n}") for n in ("rows", "state", "joined", "late_left", "late_right")}
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        state = previous_state(spark, f"{path}/state", batch_id)
+        rows = batch.withColumn("_seed", F.lit(False))
+        if state is not None:  # each input's maximum so far, ahead of all arrivals
+            seeds = state.select("side", "max_et").filter("max_et is not null")
+            first = batch.agg(F.min(epoch_us(arrival))).first()[0] or 0
+            seeds = seeds.select(F.col("side").alias(side), from_epoch_us("max_et").cast(batch.schema[et].dataType).alias(et))
+            seeds = seeds.withColumn(arrival, from_epoch_us(F.lit(first - 1)).cast(batch.schema[arrival].dataType)).withColumn("_seed", F.lit(True))
+            rows = rows.unionByName(seeds, allowMissingColumns=True)
+        d = combined_watermark(rows, side, ["l", "r"], et, arrival, delay_s, name="_clock")
+        d = d.withColumn("_late", late_by_clock(d, et, "_clock")).filter("not _seed").drop("_seed", "_clock").persist()
+        try:
+            for s, name in (("l", "late_left"), ("r", "late_right")):
+                writers[name](d.filter((F.col(side) == s) & F.col("_late")).drop("_late"), batch_id)
+            new = d.filter("not _late").drop("_late")
+            writers["rows"](new, batch_id)
+            low, high = new.agg(F.min(epoch_us(et)), F.max(epoch_us(et))).first()
+            reach = max(abs(lower_s), abs(upper_s)) * 1_000_000
+            old = spark.read.schema(new.schema.add("batch_id", "long")).parquet(f"{path}/rows").filter(F.col("batch_id") < batch_id).drop("batch_id")
+            if low is not None:
+                old = old.filter(epoch_us(et).between(low - reach, high + reach))
+            of = lambda f, s: f.filter(F.col(side) == s)
+            args = (key, et, lower_s, upper_s, lcols, rcols)
+            met = interval_join(of(new, "l"), of(new.unionByName(old), "r"), *args).unionByName(interval_join(of(old, "l"), of(new, "r"), *args))
+            writers["joined"](met, batch_id)
+            tops = d.groupBy(F.col(side).alias("side")).agg(F.max(epoch_us(et)).alias("max_et"))
+            tops = tops if state is None else tops.unionByName(state.select("side", "max_et"))
+            both = spark.createDataFrame([("l", None), ("r", None)], "side string, max_et long")  # a row for each input in every batch
+            writers["state"](tops.unionByName(both).groupBy("side").agg(F.max("max_et").alias("max_et")), batch_id)
+        finally:
+            d.unpersist()
+
+    return run

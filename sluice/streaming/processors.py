@@ -322,6 +322,22 @@ class EventTimers(KeyedProcess):
         )
 
 
+class ClockReader(KeyedProcess):
+    """T09 time progress: each row with the processing time and the watermark
+    that its function reads (null where the time mode has no such clock)."""
+
+    output = "seq long, id long, processing_ms long, watermark_ms long"
+
+    def __init__(self, time_mode: str):
+        self.time_mode = time_mode
+
+    def process(self, key, frame, timer_values):
+        now = timer_values.getCurrentProcessingTimeInMs() if self.time_mode == "ProcessingTime" else None
+        mark = timer_values.getCurrentWatermarkInMs() if self.time_mode == "EventTime" else None
+        out = pd.DataFrame({"seq": frame["seq"].astype("int64"), "id": key[0], "processing_ms": now, "watermark_ms": mark})
+        yield out.astype({"processing_ms": "Int64", "watermark_ms": "Int64"})
+
+
 class InactivityTimer(KeyedProcess):
     """ST10/ST11 processing- or event-time inactivity alert: every row deletes
     the pending timer and registers a new one ``limit`` later.  A gap over the

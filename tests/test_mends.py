@@ -178,6 +178,48 @@ def test_interval_join_late_gives_three_whole_frames(spark):
     assert gone and not gone & used
 
 
+def test_interval_join_late_stream_equals_table(spark, tmp_path):
+    a = model.arrivals_view(spark, SF001).filter("event_type in ('click', 'purchase')")
+    a = a.select("seq", "id", "ts", "vc", "et", "arrival", F.when(F.col("event_type") == "click", "l").otherwise("r").alias("side"))
+    data = write_replay(a, ["arrival", "seq"], str(tmp_path / "in"), 5)
+    out = str(tmp_path / "out")
+    run = ops.interval_join_late_per_batch(out, "side", "id", "et", "arrival", -3600, 3600, 600, ["seq"], ["seq"])
+    run_to_end(read_replay(spark, data, a.schema), "append", str(tmp_path / "ck"), foreach_batch=run)
+    want = joins.interval_join_late(a.filter("side = 'l'"), a.filter("side = 'r'"), "id", "et", "arrival", -3600, 3600, 600, ["seq"], ["seq"])
+    for name, w, cols in zip(("joined", "late_left", "late_right"), want, (("id", "l_seq", "r_seq"), ("seq", "id", "vc"), ("seq", "id", "vc"))):
+        assert rows(spark.read.parquet(f"{out}/{name}"), *cols) == rows(w, *cols)
+        assert w.count()
+
+
+@pytest.mark.parametrize("mode", ["EventTime", "ProcessingTime"])
+def test_clocks_that_a_function_reads(spark, tmp_path, mode):
+    d = spark.createDataFrame([(i, i % 3, 1000 + i * 100) for i in range(30)], "seq long, id long, s long").withColumn("et", from_epoch_seconds("s").cast("timestamp"))
+    s = read_replay(spark, write_replay(d, ["seq"], str(tmp_path / "in"), 3), d.schema).withWatermark("et", "10 seconds")
+    began = time.time() * 1000
+    run_to_end(PR.apply_processor(s, "id", PR.ClockReader(mode), mode), "append", str(tmp_path / "ck"), query_name=f"clock_{mode}")
+    got = spark.table(f"clock_{mode}").orderBy("seq").collect()
+    assert len(got) == 30
+    if mode == "EventTime":  # the batch before's latest row, less the delay
+        assert [r["watermark_ms"] for r in got] == [0] * 10 + [(1900 - 10) * 1000] * 10 + [(2900 - 10) * 1000] * 10
+    else:
+        assert all(began <= r["processing_ms"] <= time.time() * 1000 for r in got)
+
+
+@pytest.mark.parametrize("name", ["equals", "event_time", "parsed", "keyed", "labelled"])
+def test_one_transform_runs_as_table_and_as_stream(spark, nulls, tmp_dir, name):
+    src, data = nulls
+    transform = {
+        "equals": lambda d: basic.filter_equals(d, "id", P.SENSOR_1),
+        "event_time": lambda d: late.assign_event_time(d.withColumn("ts", F.col("seq")), "ts", "t"),
+        "parsed": lambda d: parse_sensor_csv(d.select("seq", T.csv_line("id", "seq", F.coalesce("vc", F.lit(0))).alias("line")))[0],
+        "keyed": lambda d: d.groupBy("id").agg(F.sum("vc").alias("s"), F.min_by("vc", "seq").alias("f")),
+        "labelled": lambda d: joins.union_all(d.filter("vc > 10"), d.filter("vc <= 10")),
+    }[name]
+    mode = "complete" if name == "keyed" else "append"
+    run_to_end(transform(read_replay(spark, data, src.schema)), mode, os.path.join(tmp_dir, "ck"), query_name=f"c01_{name}")
+    assert rows(spark.table(f"c01_{name}")) == rows(transform(src))
+
+
 def test_connected_join_stream_equals_table(spark, tmp_path, tmp_dir):
     o = model.table(spark, SF001, "orders").select("o_custkey", "o_orderkey")
     c = model.table(spark, SF001, "customer").select("c_custkey", "c_name")
