@@ -48,7 +48,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     """``doc_id, text_hash, line_no, line, line_hash, length`` of the lines
     that are not blank."""
     keyed = docs.filter(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return keyed.filter(~F.col("line").rlike(r"^\s*$")).withColumns({"line_hash": F.xxhash64("line"), "length": F.octet_length("line")})
+    return keyed.filter(F.col("line").rlike(r"\S")).withColumns({"line_hash": F.xxhash64("line"), "length": F.octet_length("line")})
 
 
 def _segment(length: str, i: int, edits: int) -> tuple[str, str]:
@@ -133,23 +133,23 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     return F.element_at(F.transform(F.array(both), fold), 1) <= edits
 
 
-def _classes(docs: DataFrame, edits: int, least: int) -> DataFrame:
+def _classes(docs: DataFrame, edits: int) -> DataFrame:
     """One row a distinct line: where it first stands, how often, and what the
-    near join needs of it (null for short lines)."""
-    fit = F.col("length") >= least
+    near join needs of it.  That is computed of short lines, too: behind a
+    condition, Spark would not share the parts of the expressions."""
     first_six, last_six = _letter_counts()
     rows = _lines(docs).select(
         *_CLASS,
         F.struct(*_PLACE, "line_no").alias("place"),
-        F.when(fit, F.struct(_hashes(edits).alias("hashes"), first_six.alias("c0"), last_six.alias("c1"))).alias("near"),
+        F.struct(_hashes(edits).alias("hashes"), first_six.alias("c0"), last_six.alias("c1")).alias("near"),
     )
     return materialize(rows.groupBy(*_CLASS).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("near").alias("near")), "line-classes")
 
 
-def _met(classes: DataFrame, edits: int) -> DataFrame:
+def _met(classes: DataFrame, edits: int, least: int) -> DataFrame:
     """Pairs of classes, the longer first, that share a segment and agree in
     letter counts."""
-    base = classes.filter(F.col("near").isNotNull()).select(*_CLASS, "near.*")
+    base = classes.filter(F.col("length") >= least).select(*_CLASS, "near.*")
     key = lambda less, i, h: f"shiftleft(cast((length - {less}) * {edits + 1} + {i} as bigint), 32) + (cast({h} as bigint) & 4294967295)"
     own = ", ".join(key(0, i, f"hashes[{i}]") for i in range(edits + 1))
     sought = ", ".join(key(less, i, f"hashes[{edits + 1 + k}]") for k, (less, i, _) in enumerate(_probes(edits)))
@@ -161,9 +161,9 @@ def _met(classes: DataFrame, edits: int) -> DataFrame:
     return materialize(pairs.select(*_CLASS, "s_line_hash", "s_length").distinct(), "line-pairs")
 
 
-def near_lines(docs: DataFrame, classes: DataFrame, edits: int = EDITS) -> DataFrame:
+def near_lines(docs: DataFrame, classes: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """Verified pairs ``line_hash, length, s_line_hash, s_length``."""
-    pairs = _met(classes, edits)
+    pairs = _met(classes, edits, least)
     ends = pairs.select(*_CLASS).unionByName(pairs.select(F.col("s_line_hash").alias("line_hash"), F.col("s_length").alias("length"))).distinct()
     ends = materialize(ends, "line-ends")
     sought = F.broadcast(ends) if ends.count() <= BROADCAST_CLASSES else ends
@@ -176,8 +176,8 @@ def near_lines(docs: DataFrame, classes: DataFrame, edits: int = EDITS) -> DataF
 def repeats(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     """The documents with repeats: ``doc_id, text_hash, exact, near``, arrays
     of line numbers from 0."""
-    classes = _classes(docs, edits, least)
-    links = materialize(near_lines(docs, classes, edits), "line-links")
+    classes = _classes(docs, edits)
+    links = materialize(near_lines(docs, classes, edits, least), "line-links")
     swapped = links.select(F.col("s_line_hash").alias("line_hash"), F.col("s_length").alias("length"), F.col("line_hash").alias("s_line_hash"), F.col("length").alias("s_length"))
     other = classes.select(F.col("line_hash").alias("s_line_hash"), F.col("length").alias("s_length"), F.col("first").alias("s_first"))
     earliest = links.unionByName(swapped).join(other, ["s_line_hash", "s_length"]).groupBy(*_CLASS).agg(F.min("s_first").alias("s_first"))
@@ -217,4 +217,4 @@ def dedup(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
     changed = both.withColumn("text", F.when(gone, left).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.when(gone, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return changed.filter(~gone | ~F.col("text").rlike(r"^\s*$")).select(*docs.columns)
+    return changed.filter(~gone | F.col("text").rlike(r"\S")).select(*docs.columns)
