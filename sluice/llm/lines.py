@@ -79,19 +79,19 @@ def _hashes(edits: int) -> Column:
     return F.array(*cut)
 
 
-def _letter_counts() -> list[Column]:
-    """Counts of the letters, six to a long, ten bits each (modulo 1024)."""
+def _letter_counts() -> Column:
+    """Counts of the twelve letters, five bits each (modulo 32)."""
     size = F.octet_length("line")
-    count = [(size - F.octet_length(F.replace(F.col("line"), F.lit(c)))).bitwiseAND(1023).cast("long") for c in LETTERS]
-    return [reduce(lambda a, b: a * 1024 + b, count[k : k + 6]) for k in range(0, len(count), 6)]
+    count = [(size - F.octet_length(F.replace(F.col("line"), F.lit(c)))).bitwiseAND(31).cast("long") for c in LETTERS]
+    return reduce(lambda a, b: a * 32 + b, count)
 
 
 def _unlike(a: Column, b: Column) -> Column:
-    """By how much two packed counts differ in all."""
+    """By how much two packed counts differ in all, at least."""
     total = F.lit(0).cast("long")
-    for k in range(6):
-        d = F.abs(F.shiftright(a, 10 * k).bitwiseAND(1023) - F.shiftright(b, 10 * k).bitwiseAND(1023))
-        total = total + F.least(d, 1024 - d)
+    for k in range(len(LETTERS)):
+        d = F.abs(F.shiftright(a, 5 * k).bitwiseAND(31) - F.shiftright(b, 5 * k).bitwiseAND(31))
+        total = total + F.least(d, 32 - d)
     return total
 
 
@@ -137,11 +137,10 @@ def _classes(docs: DataFrame, edits: int) -> DataFrame:
     """One row a distinct line: where it first stands, how often, and what the
     near join needs of it.  That is computed of short lines, too: behind a
     condition, Spark would not share the parts of the expressions."""
-    first_six, last_six = _letter_counts()
     rows = _lines(docs).select(
         *_CLASS,
         F.struct(*_PLACE, "line_no").alias("place"),
-        F.struct(_hashes(edits).alias("hashes"), first_six.alias("c0"), last_six.alias("c1")).alias("near"),
+        F.struct(_hashes(edits).alias("hashes"), _letter_counts().alias("letters")).alias("near"),
     )
     return materialize(rows.groupBy(*_CLASS).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("near").alias("near")), "line-classes")
 
@@ -153,10 +152,10 @@ def _met(classes: DataFrame, edits: int, least: int) -> DataFrame:
     key = lambda less, i, h: f"shiftleft(cast((length - {less}) * {edits + 1} + {i} as bigint), 32) + (cast({h} as bigint) & 4294967295)"
     own = ", ".join(key(0, i, f"hashes[{i}]") for i in range(edits + 1))
     sought = ", ".join(key(less, i, f"hashes[{edits + 1 + k}]") for k, (less, i, _) in enumerate(_probes(edits)))
-    short = base.select(F.expr(f"explode(array({own}))").alias("key"), *[F.col(c).alias(f"s_{c}") for c in (*_CLASS, "c0", "c1")])
-    long = base.select(F.expr(f"explode(array({sought}))").alias("key"), *_CLASS, "c0", "c1")
+    short = base.select(F.expr(f"explode(array({own}))").alias("key"), *[F.col(c).alias(f"s_{c}") for c in (*_CLASS, "letters")])
+    long = base.select(F.expr(f"explode(array({sought}))").alias("key"), *_CLASS, "letters")
     ordered = (F.col("length") > F.col("s_length")) | (F.col("line_hash") > F.col("s_line_hash"))
-    alike = _unlike(F.col("c0"), F.col("s_c0")) + _unlike(F.col("c1"), F.col("s_c1")) <= 2 * edits
+    alike = _unlike(F.col("letters"), F.col("s_letters")) <= 2 * edits
     pairs = long.join(short, (long["key"] == short["key"]) & ordered & alike)
     return materialize(pairs.select(*_CLASS, "s_line_hash", "s_length").distinct(), "line-pairs")
 
