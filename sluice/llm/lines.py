@@ -20,8 +20,10 @@ met another.
 
 Defined results: null text has no lines and stays null; a null id comes before
 all others; rows equal in id and text get equal results; an empty table gives
-no rows; ``dedup`` keeps all columns.  A text is cut at ``\\n``.  Lengths and
-edits are of UTF-8 bytes, so a changed two-byte letter may count as two.
+no rows; ``dedup`` keeps all columns.  A text is cut at ``\\n``.  ``unit`` says
+what edits and lengths count: ``characters`` (code points, as the queries and
+the pipeline do) or ``bytes`` of UTF-8, where one changed letter beyond ASCII
+may count as up to four.  ``LEAST`` is of bytes with either.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ from sluice.llm.common import materialize, null_safe
 
 EDITS = 2
 LEAST = 30
+#: Bytes of a fixed-width text that one of the unit takes.
+UNITS = {"bytes": 1, "characters": 4}
 #: Classes whose texts are sought by broadcast; beyond it, by a shuffled join.
 BROADCAST_CLASSES = 2_000_000
 
@@ -44,11 +48,12 @@ _PLACE = ["doc_id", "text_hash"]
 _CLASS = ["line_hash", "length"]
 
 
-def _lines(docs: DataFrame) -> DataFrame:
+def _lines(docs: DataFrame, unit: str) -> DataFrame:
     """``doc_id, text_hash, line_no, line, line_hash, length`` of the lines
     that are not blank."""
+    length = {"bytes": F.octet_length, "characters": F.length}[unit]
     keyed = docs.filter(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return keyed.filter(F.col("line").rlike(r"\S")).withColumns({"line_hash": F.xxhash64("line"), "length": F.octet_length("line")})
+    return keyed.filter(F.col("line").rlike(r"\S")).withColumns({"line_hash": F.xxhash64("line"), "length": length("line")})
 
 
 def _segment(length: str, i: int, edits: int) -> tuple[str, str]:
@@ -70,12 +75,14 @@ def _probes(edits: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def _hashes(edits: int) -> Column:
-    """Hashes of a line's own segments, then of its substrings to look up."""
-    cut = []
+def _hashes(edits: int, unit: str) -> Column:
+    """Hashes of a line's own segments, then of its substrings to look up: cut
+    from a text of fixed width, where a place is found without a scan."""
+    cut, width = [], UNITS[unit]
+    wide = {"bytes": "cast(line as binary)", "characters": "encode(line, 'UTF-32')"}[unit]
     for less, i, shift in [(0, i, 0) for i in range(edits + 1)] + _probes(edits):
         start, size = _segment(f"length - {less}", i, edits)
-        cut.append(F.expr(f"hash(substring(cast(line as binary), {start} + {shift}, {size}))"))
+        cut.append(F.expr(f"hash(substring({wide}, {width} * ({start} + {shift} - 1) + 1, {width} * {size}))"))
     return F.array(*cut)
 
 
@@ -95,13 +102,14 @@ def _unlike(a: Column, b: Column) -> Column:
     return total
 
 
-def within_edits(a: Column, b: Column, edits: int) -> Column:
+def within_edits(a: Column, b: Column, edits: int, unit: str = "bytes") -> Column:
     """Whether two texts, ``a`` no shorter than ``b`` and by at most ``edits``
-    bytes longer, are at most ``edits`` edits apart: Hyyro's banded
+    of the unit longer, are at most ``edits`` edits apart: Hyyro's banded
     bit-vector recurrence, one word of ``2 * edits + 1`` diagonals."""
     width = 2 * edits + 1
     full, top = (1 << width) - 1, 1 << (2 * edits)
-    points = lambda text: F.transform(F.split(F.decode(text.cast("binary"), "ISO-8859-1"), ""), F.ascii)
+    single = {"bytes": lambda text: F.decode(text.cast("binary"), "ISO-8859-1"), "characters": lambda text: text}[unit]
+    points = lambda text: F.transform(F.split(single(text), ""), F.ascii)
 
     bind = lambda value, f: F.element_at(F.transform(F.array(value), f), 1)  # noqa: E731  f's argument is computed once
 
@@ -133,14 +141,14 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     return F.element_at(F.transform(F.array(both), fold), 1) <= edits
 
 
-def _classes(docs: DataFrame, edits: int) -> DataFrame:
+def _classes(docs: DataFrame, edits: int, unit: str) -> DataFrame:
     """One row a distinct line: where it first stands, how often, and what the
     near join needs of it.  That is computed of short lines, too: behind a
     condition, Spark would not share the parts of the expressions."""
-    rows = _lines(docs).select(
+    rows = _lines(docs, unit).select(
         *_CLASS,
         F.struct(*_PLACE, "line_no").alias("place"),
-        F.struct(_hashes(edits).alias("hashes"), _letter_counts().alias("letters")).alias("near"),
+        F.struct(_hashes(edits, unit).alias("hashes"), _letter_counts().alias("letters"), F.octet_length("line").alias("bytes")).alias("near"),
     )
     return materialize(rows.groupBy(*_CLASS).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("near").alias("near")), "line-classes")
 
@@ -148,7 +156,7 @@ def _classes(docs: DataFrame, edits: int) -> DataFrame:
 def _met(classes: DataFrame, edits: int, least: int) -> DataFrame:
     """Pairs of classes, the longer first, that share a segment and agree in
     letter counts."""
-    base = classes.filter(F.col("length") >= least).select(*_CLASS, "near.*")
+    base = classes.filter(F.col("near.bytes") >= least).select(*_CLASS, "near.hashes", "near.letters")
     key = lambda less, i, h: f"shiftleft(cast((length - {less}) * {edits + 1} + {i} as bigint), 32) + (cast({h} as bigint) & 4294967295)"
     own = ", ".join(key(0, i, f"hashes[{i}]") for i in range(edits + 1))
     sought = ", ".join(key(less, i, f"hashes[{edits + 1 + k}]") for k, (less, i, _) in enumerate(_probes(edits)))
@@ -160,29 +168,29 @@ def _met(classes: DataFrame, edits: int, least: int) -> DataFrame:
     return materialize(pairs.select(*_CLASS, "s_line_hash", "s_length").distinct(), "line-pairs")
 
 
-def near_lines(docs: DataFrame, classes: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
+def near_lines(docs: DataFrame, classes: DataFrame, edits: int = EDITS, least: int = LEAST, unit: str = "bytes") -> DataFrame:
     """Verified pairs ``line_hash, length, s_line_hash, s_length``."""
     pairs = _met(classes, edits, least)
     ends = pairs.select(*_CLASS).unionByName(pairs.select(F.col("s_line_hash").alias("line_hash"), F.col("s_length").alias("length"))).distinct()
     ends = materialize(ends, "line-ends")
     sought = F.broadcast(ends) if ends.count() <= BROADCAST_CLASSES else ends
-    found = _lines(docs).select(*_CLASS, "line").join(sought, _CLASS, "left_semi")
+    found = _lines(docs, unit).select(*_CLASS, "line").join(sought, _CLASS, "left_semi")
     texts = materialize(found.groupBy(*_CLASS).agg(F.min("line").alias("line")), "line-texts")
     both = pairs.join(texts, _CLASS).join(texts.select(*[F.col(c).alias(f"s_{c}") for c in (*_CLASS, "line")]), ["s_line_hash", "s_length"])
-    return both.filter(within_edits(F.col("line"), F.col("s_line"), edits)).select(*_CLASS, "s_line_hash", "s_length")
+    return both.filter(within_edits(F.col("line"), F.col("s_line"), edits, unit)).select(*_CLASS, "s_line_hash", "s_length")
 
 
-def repeats(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
+def repeats(docs: DataFrame, edits: int = EDITS, least: int = LEAST, unit: str = "bytes") -> DataFrame:
     """The documents with repeats: ``doc_id, text_hash, exact, near``, arrays
     of line numbers from 0."""
-    classes = _classes(docs, edits)
-    links = materialize(near_lines(docs, classes, edits, least), "line-links")
+    classes = _classes(docs, edits, unit)
+    links = materialize(near_lines(docs, classes, edits, least, unit), "line-links")
     swapped = links.select(F.col("s_line_hash").alias("line_hash"), F.col("s_length").alias("length"), F.col("line_hash").alias("s_line_hash"), F.col("length").alias("s_length"))
     other = classes.select(F.col("line_hash").alias("s_line_hash"), F.col("length").alias("s_length"), F.col("first").alias("s_first"))
     earliest = links.unionByName(swapped).join(other, ["s_line_hash", "s_length"]).groupBy(*_CLASS).agg(F.min("s_first").alias("s_first"))
     marked = classes.join(earliest, _CLASS, "left").select(*_CLASS, "first", "n", F.coalesce(_before("s_first", "first"), F.lit(False)).alias("late"))
     marked = materialize(marked.filter("n > 1 or late"), "line-marks")
-    here = _lines(docs).select(*_PLACE, "line_no", *_CLASS).join(marked, _CLASS)
+    here = _lines(docs, unit).select(*_PLACE, "line_no", *_CLASS).join(marked, _CLASS)
     repeat = ~F.struct(*_PLACE, "line_no").eqNullSafe(F.col("first"))
     gone = here.filter(repeat | F.col("late")).dropDuplicates([*_PLACE, "line_no"])
     listed = lambda keep: F.array_sort(F.collect_list(F.when(keep, F.col("line_no"))))
@@ -195,22 +203,22 @@ def _before(a: str, b: str) -> Column:
     return F.col(a).isNotNull() & low.eqNullSafe(F.col(a)) & ~F.col(a).eqNullSafe(F.col(b))
 
 
-def line_digests(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
+def line_digests(docs: DataFrame, edits: int = EDITS, least: int = LEAST, unit: str = "bytes") -> DataFrame:
     """``doc_id, n_lines, n_exact, n_near, removed`` for each row; ``removed``
     lists the numbers of the lines that go."""
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
     rows = rows.withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
-    both = null_safe(rows, repeats(docs, edits, least), _PLACE)
+    both = null_safe(rows, repeats(docs, edits, least, unit), _PLACE)
     size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
     all_gone = F.array_join(F.array_sort(F.concat("exact", "near")).cast("array<string>"), ",")
     return both.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), size(F.coalesce("exact", F.array().cast("array<int>"))).alias("n_exact"), size(F.coalesce("near", F.array().cast("array<int>"))).alias("n_near"), F.coalesce(all_gone, F.lit("")).alias("removed"))
 
 
-def dedup(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
+def dedup(docs: DataFrame, edits: int = EDITS, least: int = LEAST, unit: str = "bytes") -> DataFrame:
     """``docs`` without the lines that go, ``n_chars`` counted anew where there
     is one; rows that have no line left but blank ones go, if one went."""
     keyed = docs.withColumn("text_hash", F.xxhash64("text"))
-    both = null_safe(keyed, repeats(docs, edits, least), _PLACE)
+    both = null_safe(keyed, repeats(docs, edits, least, unit), _PLACE)
     gone = F.col("exact").isNotNull()
     left = F.array_join(F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains(F.concat("exact", "near"), i)), "\n")
     changed = both.withColumn("text", F.when(gone, left).otherwise(F.col("text")))

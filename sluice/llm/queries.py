@@ -76,7 +76,7 @@ def language(spark, sf_dir):
 
 @query("op7_line_dedup")
 def line_dedup(spark, sf_dir):
-    return lines.line_digests(documents(spark, sf_dir))
+    return lines.line_digests(documents(spark, sf_dir), unit="characters")
 
 
 @query("op2_rp_forest")
