@@ -45,13 +45,14 @@ def cuts(n_tokens: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, n_tokens, capacity)]
 
 
-def document_pieces(df: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: int = CAPACITY) -> DataFrame:
-    """``doc_id, piece, start, length, ids`` (little-endian uint32 bytes)."""
+def document_pieces(df: DataFrame, tokenizer_path: str, end_id: int = END_ID, capacity: int = CAPACITY, added: bool = False) -> DataFrame:
+    """``doc_id, piece, start, length, ids`` (little-endian uint32 bytes);
+    ``added`` as in ``subwords``."""
     fields = ["doc_id", "piece", "start", "length", "ids"]
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 
     def run(batches):
-        ids = ids_of(tokenizer_path, end_id)
+        ids = ids_of(tokenizer_path, end_id, added)
         for b in batches:
             rows, held = [], 0
             for k, t in text_rows(b, "doc_id", "text"):

@@ -33,7 +33,7 @@ def byte_bpe(spark, sf_dir):
 def best_fit_packing(spark, sf_dir):
     import public_tokenizers
 
-    pieces = packing.document_pieces(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    pieces = packing.document_pieces(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), added=True)
     digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return packing.pack(digests)
 
@@ -42,7 +42,7 @@ def best_fit_packing(spark, sf_dir):
 def token_sequence_files(spark, sf_dir):
     import public_tokenizers
 
-    return sequence_files.read(sequence_files.write(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json")))
+    return sequence_files.read(sequence_files.write(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), added=True))
 
 
 @query("op9_simhash")

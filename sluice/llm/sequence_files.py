@@ -108,9 +108,10 @@ def _write_file(rows: Iterator[tuple], uri: str, schema: pa.Schema) -> tuple[int
     return n_docs, n_tokens, n_sequences
 
 
-def write(df: DataFrame, tokenizer_path: str, end_id: int = END_ID, length: int = SEQUENCE, path: str | None = None) -> DataFrame:
+def write(df: DataFrame, tokenizer_path: str, end_id: int = END_ID, length: int = SEQUENCE, path: str | None = None, added: bool = False) -> DataFrame:
     """Write the data set; its manifest ``file_no, path, n_docs, n_tokens,
-    n_sequences, start`` (``start``: tokens of all files before)."""
+    n_sequences, start`` (``start``: tokens of all files before); ``added`` as in
+    ``subwords``."""
     path = path or fresh_path(df.sparkSession, "sequences")
     path = path if "://" in path else f"file://{path}" if path.startswith("/") else path
 
@@ -119,7 +120,7 @@ def write(df: DataFrame, tokenizer_path: str, end_id: int = END_ID, length: int
         from tokenizers import Tokenizer
 
         wide = Tokenizer.from_file(tokenizer_path).get_vocab_size() > 1 << 16
-        schema, ids = file_schema(length, wide), ids_of(tokenizer_path, end_id)
+        schema, ids = file_schema(length, wide), ids_of(tokenizer_path, end_id, added)
         rows = ((k, ids.encode(t)) for b in batches for k, t in text_rows(b, "doc_id", "text"))
         first = next(rows, None)
         if first is None:

@@ -4,6 +4,11 @@ A byte-level BPE encodes every match of its split pattern on its own, so the
 ids of a text are those of its matches in a row.  Invented or natural prose
 repeats most of its words: the library encodes each distinct match once per
 process (bounded memory), and a text is a join of the remembered ids.
+
+With ``added`` the text is cut at the file's added tokens first and these give
+their own ids, as ``Tokenizer.encode`` of a plain tokenizer does (the queries
+and the pipeline); without it they are text like any other, as with its
+``encode_special_tokens``.
 """
 
 from __future__ import annotations
@@ -34,7 +39,7 @@ def _byte_letters() -> dict[int, str]:
 class Ids(dict):
     """match -> little-endian uint32 ids, filled by the library on demand."""
 
-    def __init__(self, path: str, end_id: int | None):
+    def __init__(self, path: str, end_id: int | None, added: bool = False):
         super().__init__()
         import regex
         from tokenizers import Tokenizer
@@ -43,6 +48,9 @@ class Ids(dict):
             kind = json.load(f)
         if kind["pre_tokenizer"] is None or kind["pre_tokenizer"]["type"] != "ByteLevel" or kind.get("normalizer"):
             raise ValueError(f"{path} is no plain byte-level BPE")
+        tokens = {t["content"]: t for t in kind.get("added_tokens", [])} if added else {}
+        if any(t[k] for t in tokens.values() for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError(f"{path} has added tokens that depend on what is beside them")
         tokenizer = Tokenizer.from_file(path)
         self._model = tokenizer.model
         self._model._resize_cache(0)  # this memory stands in for the library's
@@ -57,6 +65,9 @@ class Ids(dict):
         self._beyond = re.compile("[ɐ-\U0010ffff\x1c-\x1f]").search
         self._before: dict[str, bytes] = {}  # what was remembered before the last fresh start
         self._end = b"" if end_id is None else end_id.to_bytes(4, "little")
+        self._added = {c: t["id"].to_bytes(4, "little") for c, t in tokens.items()}
+        # The first token that begins, the longest of those that begin there.
+        self._cut = re.compile("(" + "|".join(map(re.escape, sorted(tokens, key=len, reverse=True))) + ")").split
 
     def __missing__(self, match: str) -> bytes:
         ids = self._before.get(match)
@@ -76,13 +87,19 @@ class Ids(dict):
         """All ids of ``text`` (null: empty) and the end id."""
         if not text:
             return self._end
+        if any(c in text for c in self._added):
+            # Every second piece is an added token.
+            return b"".join([self._added[p] if i % 2 else self._ids(p) for i, p in enumerate(self._cut(text))]) + self._end
+        return self._ids(text) + self._end
+
+    def _ids(self, text: str) -> bytes:
         find = self._any if self._beyond(text) else self._narrow
-        return b"".join(map(self.__getitem__, find(text))) + self._end
+        return b"".join(map(self.__getitem__, find(text)))
 
 
 @lru_cache(maxsize=4)
-def ids_of(path: str, end_id: int | None) -> Ids:
+def ids_of(path: str, end_id: int | None, added: bool = False) -> Ids:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task a core
-    return Ids(path, end_id)
+    return Ids(path, end_id, added)
