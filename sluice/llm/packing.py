@@ -11,8 +11,9 @@ tokens; ``pack`` puts pieces into as few sequences as it can.
    those with much room (what rounding up leaves).  The handed-over sequences
    are dealt anew as whole sequences, so documents of many parts meet, and
    best-fit decreasing runs again; a part keeps its old sequences unless the
-   new ones are fewer.  This goes on, over ever fewer pieces, until they fit
-   one part or a round gains nothing.
+   new ones are fewer.  This goes on until they fit one part, or a round
+   neither gains a sequence nor leaves fewer pieces to hand over.  How many
+   parts end without a certificate is logged.
 
 Defined results: null or empty text is the end id alone; repeated rows are
 packed each; ties in length go by the order of the written table; an empty
@@ -21,6 +22,8 @@ table gives no rows; other columns are left out.
 
 from __future__ import annotations
 
+import itertools
+import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,10 +37,11 @@ from sluice.llm.subwords import ids_of
 CAPACITY = 2048
 END_ID = 0
 PART_ROWS = 16_384
-MAX_ROUNDS = 6
 #: A certified part hands over sequences with at least this share of room.
 MUCH_ROOM = 16
 
+_log = logging.getLogger(__name__)
+
 
 def cuts(n_tokens: int, capacity: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces: all of full length but the first."""
@@ -141,12 +145,13 @@ def _pack_part(part: pa.Table, capacity: int, round_no: int) -> pa.Table:
         first[bins[offsets == 0]] = part["item"].to_numpy()[offsets == 0]
         ids, gained = first[bins], True
     handed = (room > 0) if not certified else (room * MUCH_ROOM >= capacity)
-    part = part.drop_columns(["sequence_id", "offset", "handed", "gained"])
+    part = part.drop_columns(["sequence_id", "offset", "handed", "gained", "open_parts"])
     return (
         part.append_column("sequence_id", pa.array(ids, pa.int64()))
         .append_column("offset", pa.array(offsets, pa.int64()))
         .append_column("handed", pa.array(handed[bins]))
         .append_column("gained", pa.array(np.full(len(ids), gained)))
+        .append_column("open_parts", pa.array((np.arange(len(ids)) == 0) & (not certified)))
     )
 
 
@@ -182,18 +187,19 @@ def _round(items: DataFrame, unit: str, rows: int, part_rows: int, capacity: int
     return materialize(map_batches(dealt, run, schema), "packed")
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, part_rows: int = PART_ROWS, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, part_rows: int = PART_ROWS) -> DataFrame:
     """``pieces`` (any columns and ``length``, 1 to ``capacity``) with
     ``sequence_id`` and ``offset`` added."""
     columns = pieces.columns
     items = materialize(pieces.withColumn("item", F.monotonically_increasing_id()), "pieces")
-    state = items.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(True).alias("handed"), F.lit(True).alias("gained"))
+    state = items.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(True).alias("handed"), F.lit(True).alias("gained"), F.lit(True).alias("open_parts"))
     rows, unit, done = items.count(), "item", []
-    for round_no in range(max_rounds):
+    for round_no in itertools.count():
         state = _round(state, unit, rows, part_rows, capacity, round_no)
-        single, unit = rows <= part_rows, "sequence_id"
-        rows, gained = state.agg(F.count_if("handed"), F.max("gained")).first()
-        if single or not rows or not gained or round_no + 1 == max_rounds:
+        single, before, unit = rows <= part_rows, rows, "sequence_id"
+        rows, gained, open_parts = state.agg(F.count_if("handed"), F.max("gained"), F.count_if("open_parts")).first()
+        if single or not rows or not (gained or rows < before):
+            _log.info("packed in %d rounds, %d parts without a certificate", round_no + 1, open_parts)
             done.append(state)
             break
         done.append(state.filter(~F.col("handed")))
