@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, embeddings, langid, lines, oracles, packing, secrets, sequence_files, sharding, simhash, sketches
+from sluice.llm import bpe, embeddings, langid, lines, oracles, packing, secrets, sequence_files, sharding, simhash, sketches, urls
 from sluice.llm.common import documents, materialize
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -82,3 +82,10 @@ def line_dedup(spark, sf_dir):
 @query("op2_rp_forest")
 def rp_forest(spark, sf_dir):
     return embeddings.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op12_url_filter")
+def url_filter(spark, sf_dir):
+    model = materialize(urls.train(urls.labelled_urls(spark)), "url-model")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return urls.judge(pages, model).select("page_id", "host", "path", "rule", "verdict", "score")
