@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from sluice.functions.time import epoch_us, floor_div
 from sluice.operators.late import combined_watermark, late_by_clock
 from sluice.operators.rolling import ROWS_PER_BLOCK, running_aggregate
+from sluice.session import written
 
 
 def window_join(
@@ -104,11 +105,12 @@ def interval_join_late(
 
     A row is late if its event time is behind the clock of both inputs (the
     smaller watermark) at its arrival; late rows leave on their side's frame,
-    whole, and do not join.  Both inputs run through one ordered scan.
+    whole, and do not join.  Both inputs run through one ordered scan, whose
+    result is written once for the three frames.
     """
     tagged = left.withColumn("_side", F.lit("l")).unionByName(right.withColumn("_side", F.lit("r")), allowMissingColumns=True)
     d = combined_watermark(tagged, "_side", ["l", "r"], et, arrival, delay_s, name="_clock", tiebreak=tiebreak)
-    d = d.withColumn("_late", late_by_clock(d, et, "_clock"))
+    d = written(d.withColumn("_late", late_by_clock(d, et, "_clock")), "sides")
     sides = {s: d.filter(F.col("_side") == s) for s in "lr"}
     on_time = [sides[s].filter(~F.col("_late")) for s in "lr"]
     joined = interval_join(*on_time, key, et, lower_s, upper_s, lcols, rcols)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.time import duration_us, epoch_us, from_epoch_seconds
-from sluice.operators.rolling import ROWS_PER_BLOCK, find_cut, running_aggregate
+from sluice.operators.rolling import ROWS_PER_BLOCK, running_aggregate, with_blocks
 
 
 def assign_event_time(df: DataFrame, seconds_col: str = "ts", name: str = "et") -> DataFrame:
@@ -95,13 +95,14 @@ def combined_watermark(
     known list of inputs.
     """
     d = df.withColumn("_arr_us", epoch_us(arrival)).withColumn("_et_us", epoch_us(et))
-    cut = find_cut(d, [], "_arr_us", list(tiebreak), rows_per_block)
+    d, _, is_cut = with_blocks(d, [], "_cut", "_arr_us", list(tiebreak), rows_per_block)
+    block = "_cut" if is_cut else None
     specs = [("_began", "min", F.col("_arr_us"))]
     for i, s in enumerate(sources):
         mine = F.col(source) == F.lit(s)
         specs.append((f"_mx{i}", "max", F.when(mine, F.col("_et_us"))))
         specs.append((f"_la{i}", "max", F.when(mine, F.col("_arr_us"))))
-    d = running_aggregate(d, [], "_arr_us", specs, rows_per_block, list(tiebreak), exclusive=True, cut=cut)
+    d = running_aggregate(d, [], "_arr_us", specs, rows_per_block, list(tiebreak), exclusive=True, block=block)
     delay = F.lit(delay_s * 1_000_000)
     if idle_s is None:
         wms = [F.col(f"_mx{i}") - delay for i in range(len(sources))]
@@ -123,9 +124,9 @@ def combined_watermark(
         cand = F.least(*active) if len(active) > 1 else active[0]
         d = d.withColumn("_cand", F.when(~held, cand))
         # monotone: never behind an earlier value of the combined clock
-        d = running_aggregate(d, [], "_arr_us", [(name, "max", F.col("_cand"))], rows_per_block, list(tiebreak), cut=cut)
+        d = running_aggregate(d, [], "_arr_us", [(name, "max", F.col("_cand"))], rows_per_block, list(tiebreak), block=block)
         out = d.drop("_cand")
-    drop = [c for c in out.columns if c.startswith("_mx") or c.startswith("_la")] + ["_arr_us", "_et_us", "_began"]
+    drop = [c for c in out.columns if c.startswith("_mx") or c.startswith("_la")] + ["_arr_us", "_et_us", "_began", "_cut"]
     return out.drop(*drop)
 
 

@@ -8,17 +8,22 @@ one task.
 
 Keys with at most ``rows_per_block`` rows run as that plain window: one
 shuffle.  The rows of larger keys (or, without a key, of the whole table) are
-cut into *blocks* of about ``rows_per_block`` rows, at quantiles of the
-ordering column over those rows; where one value of it holds more than a block,
-at quantiles of the tiebreak within it (:func:`find_cut`).  So blocks follow
-the data: a stray value, a burst, or sparse numbers change neither their size
-nor their number.  Then:
+cut into *blocks* by a range exchange over (key, order, tiebreak), which Spark
+balances from a sample of the rows themselves: a stray value, a burst, or
+sparse numbers change neither the blocks' size nor their number.  The rows are
+written once with the number of their block, so a retried task sees the same
+blocks.  Then:
 
-1. local running aggregate inside ``(key, block)``           (the same shuffle)
+1. local running aggregate inside ``(key, block)``
 2. one total per ``(key, block)`` of the cut keys             (map-side combined)
 3. exclusive prefix of the totals over the blocks of a key    (small: blocks)
 4. join the prefix back on ``(key, block)`` and combine.
 
+The driver takes two numbers, the count of large keys and of their rows.  The
+plan holds no list: the large keys are a table, the block is a column.  There
+are at most ``MAX_BLOCKS`` blocks, which bounds the prefix step; beyond
+``MAX_BLOCKS * rows_per_block`` rows the blocks grow.
+
 Only decomposable aggregates (sum, count, min, max - including ``max`` over a
 struct, which gives "last value by order") are offered.  The result is exact.
 
@@ -30,7 +35,6 @@ reuses that partitioning and only the small prefix side is shuffled again.
 
 from __future__ import annotations
 
-import bisect
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -38,9 +42,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.session import written
+
 #: Rows of a block: what one task scans in order, however the rows lie.
 ROWS_PER_BLOCK = 1 << 18
-_LOWEST = -(1 << 63)
+#: Blocks of one scan: the partitions of its range exchange.
+MAX_BLOCKS = 10_000
+#: Large keys up to which their table may be broadcast (a key and its flag).
+BROADCAST_KEYS = 65_536
 
 _AGG = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -75,70 +84,28 @@ def null_free_keys(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[
 
 @dataclass
 class Cut:
-    """Where the rows of large keys are cut: places ``(order, tiebreak)`` in
-    ascending order, and the hashes of the large keys (``None``: all rows)."""
-
-    places: list[tuple[int, int]]
-    hot: list[int] | None
-
-    def block(self, key: Sequence[str], order: str, tiebreak: Sequence[str]) -> Column:
-        """0 for rows of keys that are whole, else 1 + the places passed,
-        found by bisection."""
-        at = F.col(order).cast("long")
-        tie = F.coalesce(F.col(tiebreak[0]).cast("long"), F.lit(_LOWEST)) if tiebreak else F.lit(_LOWEST)
-        firsts = F.array(*[F.lit(o).cast("long") for o, _ in self.places])
-        seconds = F.array(*[F.lit(t).cast("long") for _, t in self.places])
-        n = len(self.places)
-        steps = F.array(*[F.lit(1 << b) for b in range(n.bit_length() - 1, -1, -1)])
-
-        def further(seen: Column, step: Column) -> Column:
-            i = seen + step - 1
-            o = F.get(firsts, i)
-            passed = (o < at) | (o == at) & (F.get(seconds, i) <= tie)
-            return seen + F.when((i < n) & passed, step).otherwise(0)
-
-        number = F.aggregate(steps, F.lit(1) - 1, further) + 1
-        number = F.when(at.isNull(), 1).otherwise(number)
-        if self.hot is None:
-            return number
-        return F.when(F.xxhash64(*key).isin(self.hot), number).otherwise(0)
+    """What is cut: the table of the large keys with the number of its rows
+    (``None``: all rows of the frame), and into how many blocks."""
 
-
-def _quantiles(df: DataFrame, column: Column, blocks: int) -> list[int]:
-    share = [i / blocks for i in range(1, blocks)]
-    return df.agg(F.percentile_approx(column, share, max(10_000, 20 * blocks))).first()[0] or []
+    keys: DataFrame | None
+    n_keys: int
+    blocks: int
 
 
 def find_cut(
     df: DataFrame, keys: Sequence[str], order: str, tiebreak: Sequence[str] = (), rows_per_block: int = ROWS_PER_BLOCK
 ) -> Cut | None:
-    """The cut of ``df``'s large keys, or none if no key is large.
-
-    One count per key decides (map-side combined; only large keys come to the
-    driver, at most rows / ``rows_per_block`` of them).  If there are any, a
-    second pass over their rows finds the quantiles.  The cut is literals of
-    the plan, so a retried task cuts the same blocks.
-    """
+    """The cut of ``df``'s large keys, or none if no key is large: one count
+    per key decides (map-side combined), of which the driver takes two sums."""
     d, key = null_free_keys(df, keys)
-    if key:
-        large = d.groupBy(F.xxhash64(*key).alias("h")).count().filter(F.col("count") > rows_per_block).collect()
-        hot, total = [r["h"] for r in large], sum(r["count"] for r in large)
-        d = d.filter(F.xxhash64(*key).isin(hot))
-    else:
-        hot, total = None, d.count()
-    if total <= rows_per_block:
+    if not key:
+        total = d.count()
+        return Cut(None, 0, min(MAX_BLOCKS, -(-total // rows_per_block))) if total > rows_per_block else None
+    large = d.groupBy(*key).count().filter(F.col("count") > rows_per_block)
+    n, total = large.agg(F.count(F.lit(1)), F.sum("count")).first()
+    if not n:
         return None
-    blocks = -(-total // rows_per_block)
-    values = _quantiles(d, F.col(order).cast("long"), blocks)
-    places = [(v, _LOWEST) for v in sorted(set(values))]
-    repeats = {v: values.count(v) for v in set(values) if values.count(v) > 1}
-    if repeats and tiebreak:  # values that fill more than a block
-        share = [i / (max(repeats.values()) + 2) for i in range(1, max(repeats.values()) + 2)]
-        within = d.filter(F.col(order).cast("long").isin(list(repeats))).groupBy(F.col(order).cast("long").alias("o"))
-        for r in within.agg(F.percentile_approx(F.col(tiebreak[0]).cast("long"), share, 10_000).alias("t")).collect():
-            for t in set(r["t"] or []):
-                bisect.insort(places, (r["o"], t))
-    return Cut(places, hot)
+    return Cut(written(large.select(*key), "large-keys"), n, min(MAX_BLOCKS, -(-total // rows_per_block)))
 
 
 def with_blocks(
@@ -149,20 +116,38 @@ def with_blocks(
     tiebreak: Sequence[str] = (),
     rows_per_block: int = ROWS_PER_BLOCK,
     cut: Cut | None | str = "find",
-    cut_keys: Sequence[str] | None = None,
 ) -> tuple[DataFrame, list[str], bool]:
     """The block column where large keys are cut: the frame, the partition
     columns (null-free keys first, block last), whether cut.  Uncut, the
     partition columns are the keys, so what follows on the key needs no
-    further shuffle.  ``cut`` hands over a cut found before, for the leading
-    keys ``cut_keys``."""
+    further shuffle.  Cut, the frame is a written table, in which rows of keys
+    that are whole have block 0."""
     if cut == "find":
         cut = find_cut(df, keys, order, tiebreak, rows_per_block)
     if cut is None:
         return df, list(keys), False
     d, key = null_free_keys(df, keys)
-    _, of_cut = null_free_keys(df, keys if cut_keys is None else cut_keys)
-    return d.withColumn(blk, cut.block(of_cut, order, tiebreak)), [*key, blk], True
+    rest, large = None, d
+    if cut.keys is not None:
+        of = F.broadcast(cut.keys) if cut.n_keys <= BROADCAST_KEYS else cut.keys
+        rest, large = d.join(of, key, "left_anti"), d.join(of, key, "left_semi")
+    ranged = large.repartitionByRange(cut.blocks, *key, order, *tiebreak).withColumn(blk, F.spark_partition_id() + 1)
+    if rest is not None:
+        ranged = rest.withColumn(blk, F.lit(0)).unionByName(ranged)
+    return written(ranged, "blocks"), [*key, blk], True
+
+
+def blocks_of(df: DataFrame, keys: Sequence[str], order: str, tiebreak: Sequence[str], rows_per_block: int, block: str | None) -> tuple[DataFrame, list[str], str | None]:
+    """As :func:`with_blocks`; ``block`` names the column of a frame that is
+    cut already (for its keys or the first of them), none says that it has no
+    large key."""
+    if block == "find":
+        d, part, is_cut = with_blocks(df, keys, "_sl_blk", order, tiebreak, rows_per_block)
+        return d, part, "_sl_blk" if is_cut else None
+    if block is None:
+        return df, list(keys), None
+    d, key = null_free_keys(df, keys)
+    return d, [*key, block], block
 
 
 def _combine(kind: str, prefix: Column, local: Column) -> Column:
@@ -193,17 +178,16 @@ def running_aggregate(
     rows_per_block: int = ROWS_PER_BLOCK,
     tiebreak: Sequence[str] = (),
     exclusive: bool = False,
-    cut: Cut | None | str = "find",
-    cut_keys: Sequence[str] | None = None,
+    block: str | None = "find",
 ) -> DataFrame:
     """Add one running aggregate column per ``(name, kind, expr)`` spec.
 
-    ``order`` must be a numeric column, unique within a key together with
-    ``tiebreak``; the frame is "all earlier rows of the key and this row"
-    (``exclusive=True``: earlier rows only).
+    ``order`` must be unique within a key together with ``tiebreak``; the frame
+    is "all earlier rows of the key and this row" (``exclusive=True``: earlier
+    rows only).  ``block`` is the block column of a frame from
+    :func:`with_blocks`, for several scans of one cut.
     """
-    blk = "_sl_blk"
-    d, part, is_cut = with_blocks(df, keys, blk, order, tiebreak, rows_per_block, cut, cut_keys)
+    d, part, blk = blocks_of(df, keys, order, tiebreak, rows_per_block, block)
     ordering = [F.col(order)] + [F.col(c) for c in tiebreak]
     w_local = (
         Window.partitionBy(*part)
@@ -214,7 +198,7 @@ def running_aggregate(
         "*", *[_AGG[k](e).over(w_local).alias(f"_sl_l_{n}") for n, k, e in specs]
     )
     out_cols = [c for c in df.columns]
-    if not is_cut:
+    if blk is None:
         # an exclusive count has no rows before the first: 0
         return local.select(*out_cols, *[F.col(f"_sl_l_{n}").alias(n) for n, _, _ in specs])
     totals = d.filter(F.col(blk) > 0).groupBy(*part).agg(*[_AGG[k](e).alias(f"_sl_t_{n}") for n, k, e in specs])
@@ -253,12 +237,11 @@ def keyed_neighbour(
     :func:`running_aggregate`: the first (last) row of each block looks the
     neighbour up in the block totals of the key.
     """
-    blk = "_sl_blk"
-    d, part, is_cut = with_blocks(df, keys, blk, order, tiebreak, rows_per_block)
+    d, part, blk = blocks_of(df, keys, order, tiebreak, rows_per_block, "find")
     asc = direction < 0
     o = [F.col(c).asc() if asc else F.col(c).desc() for c in [order, *tiebreak]]
     w_local = Window.partitionBy(*part).orderBy(*o)
-    if not is_cut:
+    if blk is None:
         return d.select(*df.columns, F.lag(value, 1, default).over(w_local).alias(name))
     local = d.select(
         "*",

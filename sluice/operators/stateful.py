@@ -17,9 +17,9 @@ from sluice.functions.time import epoch_us, floor_div
 from sluice.operators.windows import session_numbers
 from sluice.operators.rolling import (
     ROWS_PER_BLOCK,
-    find_cut,
     keyed_neighbour,
     running_aggregate,
+    with_blocks,
 )
 
 
@@ -76,16 +76,17 @@ def ttl_value(
     d = df.withColumn("_t", epoch_us(arrival))
     # islands = gap sessions with gap = TTL; both scans share one cut, and
     # where no key is cut, one shuffle
-    cut = find_cut(d, [key], "_t", tiebreak, rows_per_block)
-    d = session_numbers(d, [key], "_t", ttl, tiebreak, name="_island", cut=cut)
+    d, _, is_cut = with_blocks(d, [key], "_cut", "_t", tiebreak, rows_per_block)
+    block = "_cut" if is_cut else None
+    d = session_numbers(d, [key], "_t", ttl, tiebreak, name="_island", block=block)
     stored = F.when(
         F.col(value) > keep_if_above,
         F.struct(F.col("_t").alias("t"), *[F.col(c).alias(f"k{i}") for i, c in enumerate(tiebreak)], F.col(value).alias("v")),
     )
     d = running_aggregate(
-        d, [key, "_island"], "_t", [("_last", "max", stored)], tiebreak=list(tiebreak), exclusive=True, cut=cut, cut_keys=[key]
+        d, [key, "_island"], "_t", [("_last", "max", stored)], tiebreak=list(tiebreak), exclusive=True, block=block
     )
-    return d.withColumn("old_value", F.col("_last.v")).drop("_t", "_island", "_last")
+    return d.select(*df.columns, F.col("_last.v").alias("old_value"))
 
 
 def inactivity_alerts(
@@ -169,10 +170,10 @@ def rolling_top_k(df: DataFrame, key: str, order: str, value: str, k: int, rows_
     is the input of the second, and so on.  All of them scan the same order,
     so whole keys need one shuffle and one sort.
     """
-    cut = find_cut(df, [key], order, (), rows_per_block)
     d = df.select(key, order, F.col(value).alias("_x"))
+    d, _, is_cut = with_blocks(d, [key], "_cut", order, (), rows_per_block)
     for i in range(k):
-        d = running_aggregate(d, [key], order, [(f"_p{i}", "max", F.col("_x"))], exclusive=True, cut=cut)
+        d = running_aggregate(d, [key], order, [(f"_p{i}", "max", F.col("_x"))], exclusive=True, block="_cut" if is_cut else None)
         both = F.col("_x").isNotNull() & F.col(f"_p{i}").isNotNull()
         d = d.withColumn(f"_top{i}", F.greatest(f"_p{i}", "_x")).withColumn("_x", F.when(both, F.least(f"_p{i}", "_x")))
     return d.select(key, order, F.array_compact(F.array(*[f"_top{i}" for i in range(k)])).alias("top"))

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.time import duration_us, epoch_ms, epoch_us, floor_div, shift_seconds
-from sluice.operators.rolling import ROWS_PER_BLOCK, Cut, null_free_keys, running_aggregate, with_blocks
+from sluice.operators.rolling import ROWS_PER_BLOCK, blocks_of, null_free_keys, running_aggregate
 
 
 def with_window(df: DataFrame, et: str, size: str, slide: str | None = None) -> DataFrame:
@@ -117,7 +117,7 @@ def session_numbers(
     tiebreak: Sequence[str] = (),
     rows_per_block: int = ROWS_PER_BLOCK,
     name: str = "_sess",
-    cut: Cut | None | str = "find",
+    block: str | None = "find",
 ) -> DataFrame:
     """Number the gap sessions of each key.
 
@@ -128,14 +128,13 @@ def session_numbers(
     blocks adds the break at a block's first row (gap to the previous block's
     last row) and the breaks of all earlier blocks.
     """
-    blk = "_sl_blk"
-    d, part, is_cut = with_blocks(df, keys, blk, t_us, tiebreak, rows_per_block, cut)
+    d, part, blk = blocks_of(df, keys, t_us, tiebreak, rows_per_block, block)
     order = [F.col(t_us)] + [F.col(c) for c in tiebreak]
     w = Window.partitionBy(*part).orderBy(*order)
     prev = F.lag(t_us).over(w)
     d = d.withColumn("_brk", F.when(prev.isNotNull() & (F.col(t_us) - prev >= gap_us), 1).otherwise(0))
     d = d.withColumn("_lsess", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    if not is_cut:
+    if blk is None:
         return d.select(*df.columns, (F.col("_lsess") + 1).alias(name))
     tot = d.groupBy(*part).agg(
         F.min(t_us).alias("_first"), F.max(t_us).alias("_last"), F.sum("_brk").alias("_brks")
