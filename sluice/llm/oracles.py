@@ -37,3 +37,22 @@ g AS (SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k
   coalesce({show} FILTER (rank < {n}), '') AS base, {show} AS spans FROM r GROUP BY doc_id)
 SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)}, sha256(coalesce(base, '')) AS base_sha256,
   coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (doc_id)"""
+
+
+def hard_negatives() -> str:
+    """Operator 11: every anchor against every row, ranked."""
+    return """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+  [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND
+  len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+r AS (SELECT row_number() OVER (ORDER BY vec_id) AS i, * FROM v),
+s AS (SELECT a.i AS a, a.vec_id AS anchor_id, b.i AS b, b.vec_id AS vec_id, a.label = b.label AS same,
+  CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score FROM r a JOIN r b ON a.i <> b.i AND len(a.x) = len(b.x)
+  WHERE a.vec_id % 100 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, b) <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score,
+  s.score AS negative_score, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.vec_id, s.b) AS rank
+  FROM p JOIN s ON p.a = s.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 5"""

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, embeddings, langid, lines, oracles, packing, secrets, sequence_files, sharding, simhash, sketches, urls
+from sluice.llm import bpe, embeddings, hard_negatives, langid, lines, oracles, packing, secrets, sequence_files, sharding, simhash, sketches, urls
 from sluice.llm.common import documents, materialize
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -89,3 +89,11 @@ def url_filter(spark, sf_dir):
     model = materialize(urls.train(urls.labelled_urls(spark)), "url-model")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     return urls.judge(pages, model).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query("op11_hard_negatives", oracles.hard_negatives())
+def mined_negatives(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.whole_vectors(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+    return hard_negatives.mine(rows)
