@@ -151,7 +151,8 @@ def train(labelled: DataFrame, epochs: int = EPOCHS, rate: float = RATE, decay:
     every = labelled.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("g")).join(having, "g", "left")
     none = F.array().cast("array<struct<u:int,v:double>>")
     inverted = every.agg(F.transform(F.array_sort(F.collect_list(F.struct("g", F.coalesce("having", none).alias("having")))), lambda b: b["having"]).alias("inverted"))
-    both = table.withColumn("one", F.lit(1)).join(inverted.withColumn("one", F.lit(1)), "one")
+    # the two single rows side by side
+    both = table.unionByName(inverted, allowMissingColumns=True).agg(*[F.first(c, ignorenulls=True).alias(c) for c in ("urls", "inverted")])
     n = F.greatest(F.size("urls"), F.lit(1))
 
     def epoch(model: Column, _: Column) -> Column:
