@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import bpe, embeddings, hard_negatives, langid, lines, oracles, packing, secrets, sequence_files, sharding, simhash, sketches, urls
+from sluice.llm import bpe, embeddings, hard_negatives, langid, lines, oracles, packing, prefix_trie, secrets, sequence_files, sharding, simhash, sketches, urls
 from sluice.llm.common import documents, materialize
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -97,3 +97,8 @@ def mined_negatives(spark, sf_dir):
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = hard_negatives.whole_vectors(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
     return hard_negatives.mine(rows)
+
+
+@query("op13_prefix_trie")
+def conversation_trie(spark, sf_dir):
+    return prefix_trie.nodes(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
