@@ -56,3 +56,31 @@ n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.sc
   FROM p JOIN s ON p.a = s.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
 SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score
 FROM n WHERE rank <= 5"""
+
+
+def prefix_trie() -> str:
+    """Operator 13: the rebuilt turns as lists, nodes as equal lists, subtrees
+    by comparing every two nodes; CRC-32 bit by bit."""
+    bit = "CASE WHEN {0} % 2 = 1 THEN xor({0} // 2, 3988292384) ELSE {0} // 2 END"
+    return f"""
+WITH RECURSIVE c AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+r AS (SELECT conv_id, 0 AS i, 4294967295::BIGINT AS v FROM c UNION ALL
+  SELECT conv_id, i + 1, {bit.format("x")} FROM (SELECT conv_id, i,
+  CASE WHEN i % 8 = 0 THEN xor(v, ascii(CAST(conv_id AS VARCHAR)[i // 8 + 1])::BIGINT) ELSE v END AS x
+  FROM r WHERE i < 8 * length(CAST(conv_id AS VARCHAR)))),
+h AS (SELECT conv_id, xor(v, 4294967295) % 9 AS h FROM r WHERE i = 8 * length(CAST(conv_id AS VARCHAR))),
+o AS (SELECT conv_id, list({{'r': coalesce(role, ''), 'x': coalesce(text, '')}}
+  ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS t FROM conversations GROUP BY conv_id),
+b AS (SELECT o.conv_id, list_concat(coalesce(list_slice(a.t, 1, h), []), list_slice(o.t, h + 1, len(o.t))) AS t
+  FROM o JOIN h USING (conv_id) LEFT JOIN o a ON a.conv_id = o.conv_id - o.conv_id % 5),
+p AS (SELECT conv_id, d, list_slice(t, 1, d) AS p, d = len(t) AS ends FROM (SELECT *, unnest(range(0, len(t) + 1)) AS d FROM b)),
+n AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+  coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ends FROM p GROUP BY p, d),
+k AS (SELECT n.*, a.conv_id AS parent_conv_id, coalesce((n.n_convs - 1) * strlen(list_extract(n.p, n.d).x), 0) AS saved,
+  (SELECT count(*) FROM n m WHERE m.d = n.d + 1 AND list_slice(m.p, 1, n.d) = n.p) AS n_children
+  FROM n LEFT JOIN n a ON a.d = n.d - 1 AND a.p = list_slice(n.p, 1, n.d - 1) AND n.d > 0)
+SELECT k.conv_id, k.d AS depth, k.parent_conv_id, k.n_convs, k.n_children,
+  CAST(count(*) FILTER (m.n_children = 0) AS BIGINT) AS n_leaves, CAST(sum(m.saved) AS BIGINT) AS saved_tokens,
+  sha256(k.ends) AS ends_sha256
+FROM k JOIN k m ON m.d >= k.d AND list_slice(m.p, 1, k.d) = k.p
+GROUP BY k.conv_id, k.d, k.parent_conv_id, k.n_convs, k.n_children, k.ends"""

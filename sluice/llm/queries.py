@@ -99,6 +99,6 @@ def mined_negatives(spark, sf_dir):
     return hard_negatives.mine(rows)
 
 
-@query("op13_prefix_trie")
+@query("op13_prefix_trie", oracles.prefix_trie())
 def conversation_trie(spark, sf_dir):
     return prefix_trie.nodes(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
