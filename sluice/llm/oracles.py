@@ -29,10 +29,10 @@ s AS (SELECT doc_id, kind, rank, found[i] AS match, length(vals[i]) AS n, least,
 l AS (SELECT doc_id, kind, rank, match, s, s + size AS e FROM s WHERE n >= least),
 f AS (SELECT * FROM l WHERE rank < {n} OR (kind <> 'opaque' OR regexp_matches(match, '[0-9]') AND
   regexp_matches(match, '[A-Za-z]')) AND NOT EXISTS (SELECT 1 FROM l b WHERE b.doc_id = l.doc_id AND b.rank < {n}
-  AND b.s < l.e AND l.s < b.e)),
+  AND b.s <= l.s AND b.e >= l.e)),
 r AS (SELECT * FROM f WHERE rank < {n} UNION ALL SELECT * FROM f w WHERE rank >= {n} AND EXISTS (SELECT 1 FROM f p
   WHERE p.doc_id = w.doc_id AND ({pairs}) AND (p.s >= w.e AND p.s <= w.e + {SCOPE} OR
-  w.s >= p.e AND w.s <= p.e + {SCOPE}))),
+  w.s >= p.e AND w.s <= p.e + {SCOPE} OR p.rank < {n} AND p.s < w.e AND w.s < p.e))),
 g AS (SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in BASE)},
   coalesce({show} FILTER (rank < {n}), '') AS base, {show} AS spans FROM r GROUP BY doc_id)
 SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in BASE)}, sha256(coalesce(base, '')) AS base_sha256,

@@ -9,9 +9,11 @@ client, an opaque value, an address - are too common to report alone.  They
 are reported only if a complementary part stands within ``SCOPE`` code points
 in the same document, found by an interval join on (document, bucket of the
 position): a name needs a secret, an opaque value needs an access identifier
-or a name, an address needs an access identifier or an assigned secret.  Each
-part is in one bucket and looked up in two, so a document with many parts is
-compared only locally.
+or a name, an address needs an access identifier or an assigned secret.  A weak
+span that a base span covers whole is none; one that merely holds or touches a
+base span stays, and that span counts as a part.  The later of two spans is in
+one bucket, looked up from those that the earlier one reaches, so a document
+with many parts is compared only locally.
 
 Defined results: null text is the empty text (no spans); a null id is a
 document like any other; rows equal in id and text get equal results; spans
@@ -81,20 +83,22 @@ def _positions(cuts: DataFrame) -> DataFrame:
 
 
 def _candidates(spans: DataFrame) -> DataFrame:
-    """Weak spans that no base span overlaps; an opaque value has letters and
-    digits."""
+    """Base spans, and weak spans that no base span covers whole; an opaque
+    value has letters and digits.  One running maximum in order of the starts:
+    time grows with the number of spans of a document, not with its square."""
     base = F.col("rank") < len(BASE)
     order = Window.partitionBy(*_DOC).orderBy("start", "rank")
     before = F.max(F.when(base, F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    behind = F.min(F.when(base, F.col("start"))).over(order.rowsBetween(1, Window.unboundedFollowing))
-    clear = (F.coalesce(before, F.lit(0)) <= F.col("start")) & (F.coalesce(behind, F.col("end")) >= F.col("end"))
+    covered = F.coalesce(before, F.lit(-1)) >= F.col("end")
     mixed = (F.col("kind") != "opaque") | F.col("match").rlike("[0-9]") & F.col("match").rlike("[A-Za-z]")
-    return spans.withColumn("free", clear).filter(base | F.col("free") & mixed).drop("free", "match")
+    return spans.withColumn("covered", covered).filter(base | ~F.col("covered") & mixed).drop("covered", "match")
 
 
 def _links(spans: DataFrame, scope: int) -> DataFrame:
-    """Weak spans with each complementary part in scope: the later part's
-    start is looked up in the bucket of the earlier part's end and the next."""
+    """Weak spans with each complementary part in scope.  A part stands clear
+    of the weak span, or is a base span that overlaps it: the later of the two
+    starts within the earlier one or at most ``scope`` behind it, and is looked
+    up in the buckets that the earlier one reaches."""
     wanted = F.lit(False)
     for weak, partners in PARTNERS.items():
         wanted = wanted | (F.col("kind") == weak) & F.col("p_kind").isin(*partners)
@@ -102,11 +106,13 @@ def _links(spans: DataFrame, scope: int) -> DataFrame:
     part = spans.select(*[F.col(c).alias(f"p_{c}") for c in spans.columns])
 
     def joined(early: str, late: str) -> DataFrame:
-        e = F.expr(f"explode(array({early}end div {scope}, {early}end div {scope} + 1))").alias("bucket")
+        e = F.expr(f"explode(sequence({early}start div {scope}, {early}end div {scope} + 1))").alias("bucket")
         l = F.expr(f"{late}start div {scope}").alias("bucket_of")  # noqa: E741
         w = weak.select("*", e if early == "" else l)
         p = part.select("*", l if early == "" else e)
-        near = (F.col(f"{late}start") >= F.col(f"{early}end")) & (F.col(f"{late}start") <= F.col(f"{early}end") + scope)
+        clear = F.col(f"{late}start") >= F.col(f"{early}end")
+        follows = F.col(f"{late}start") >= F.col(f"{early}start") if early == "" else F.col(f"{late}start") > F.col(f"{early}start")
+        near = follows & (F.col(f"{late}start") <= F.col(f"{early}end") + scope) & (clear | (F.col("p_rank") < len(BASE)))
         same = F.col("doc_id").eqNullSafe(F.col("p_doc_id")) & (F.col("text_hash") == F.col("p_text_hash"))
         return w.join(p, same & (F.col("bucket") == F.col("bucket_of")) & near & wanted).drop("bucket", "bucket_of", "p_doc_id", "p_text_hash")
 
