@@ -187,11 +187,13 @@ def _round(items: DataFrame, unit: str, rows: int, part_rows: int, capacity: int
     return materialize(map_batches(dealt, run, schema), "packed")
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, part_rows: int = PART_ROWS) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, part_rows: int = PART_ROWS, carry: tuple[str, ...] = ()) -> DataFrame:
     """``pieces`` (any columns and ``length``, 1 to ``capacity``) with
-    ``sequence_id`` and ``offset`` added."""
+    ``sequence_id`` and ``offset`` added.  The columns ``carry`` (token ids,
+    for one) stay out of the rounds and are joined to the result."""
     columns = pieces.columns
-    items = materialize(pieces.withColumn("item", F.monotonically_increasing_id()), "pieces")
+    whole = materialize(pieces.withColumn("item", F.monotonically_increasing_id()), "pieces")
+    items = whole.drop(*carry)
     state = items.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(True).alias("handed"), F.lit(True).alias("gained"), F.lit(True).alias("open_parts"))
     rows, unit, done = items.count(), "item", []
     for round_no in itertools.count():
@@ -207,4 +209,6 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, part_rows: int = PART_ROWS
     result = done[0]
     for d in done[1:]:
         result = result.unionByName(d)
+    if carry:
+        result = result.join(whole.select("item", *carry), "item")
     return result.select(*columns, "sequence_id", "offset")

@@ -5,8 +5,8 @@ format).  Documents are in ascending id order within a file and from file to
 file; their ids, each closed by the end id, are cut into sequences of equal
 length.  Every record batch but a file's last has the same number of
 sequences, so sequence ``i`` of a file is row ``i % ROWS`` of batch
-``i // ROWS``: with a memory-mapped file its ids and masks are views, not
-copies.
+``i // ROWS``: with a memory-mapped file its ids (an array) and its mask (a
+bitmap, as Arrow keeps booleans) are views, not copies.
 
 Columns: ``ids`` fixed_size_list<uint16 or uint32>, ``mask`` (token or
 padding) and ``ends`` (last token of a document) fixed_size_list<bool>,
@@ -23,6 +23,7 @@ are left out.  The ``uint16`` form is taken when the vocabulary allows it.
 
 from __future__ import annotations
 
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -68,11 +69,9 @@ def _file_batch(ids: np.ndarray, ends: np.ndarray, docs: list, schema: pa.Schema
 
 def _write_file(rows: Iterator[tuple], uri: str, schema: pa.Schema) -> tuple[int, int, int]:
     """Write ``(doc_id, uint32 id bytes)`` rows; documents, tokens, sequences."""
-    from pyarrow import fs
-
     length = schema.field("ids").type.list_size
     dtype = schema.field("ids").type.value_type.to_pandas_dtype()
-    system, path = fs.FileSystem.from_uri(uri)
+    system, path = _located(uri)
     system.create_dir(path.rpartition("/")[0], recursive=True)
     full = length * ROWS
     held, held_ends, held_docs, size = [], [], [], 0  # held_docs: (doc, tokens before its end in what is held)
@@ -138,19 +137,33 @@ def write(df: DataFrame, tokenizer_path: str, end_id: int = END_ID, length: int
     return manifest.withColumn("start", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
+def _located(uri: str):
+    """The Arrow file system of ``uri`` and the path in it.  Spark's names for
+    object stores are read as Arrow's (``s3a``, ``s3n``: ``s3``)."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
+
+
 def open_file(uri: str) -> pa.RecordBatchFileReader:
     """A reader whose batches are views where the file system can be mapped."""
     from pyarrow import fs
 
-    system, path = fs.FileSystem.from_uri(uri)
+    system, path = _located(uri)
     return pa.ipc.open_file(pa.memory_map(path) if isinstance(system, fs.LocalFileSystem) else system.open_input_file(path))
 
 
-def sequence(reader: pa.RecordBatchFileReader, i: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask of sequence ``i`` of a file (random access)."""
+def sequence_views(reader: pa.RecordBatchFileReader, i: int) -> tuple[np.ndarray, pa.BooleanArray]:
+    """Ids and mask of sequence ``i`` of a file (random access), both views of
+    the file's bytes."""
     batch, row = reader.get_batch(i // ROWS), i % ROWS
-    ids, mask = batch.column("ids")[row].values, batch.column("mask")[row].values
-    return ids.to_numpy(), mask.to_numpy(zero_copy_only=False)
+    return batch.column("ids")[row].values.to_numpy(), batch.column("mask")[row].values
+
+
+def sequence(reader: pa.RecordBatchFileReader, i: int) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`sequence_views`, with the mask's bits unpacked into an array."""
+    ids, mask = sequence_views(reader, i)
+    return ids, mask.to_numpy(zero_copy_only=False)
 
 
 def read_documents(reader: pa.RecordBatchFileReader) -> Iterator[tuple]:

@@ -3,7 +3,13 @@
 A byte-level BPE encodes every match of its split pattern on its own, so the
 ids of a text are those of its matches in a row.  Invented or natural prose
 repeats most of its words: the library encodes each distinct match once per
-process (bounded memory), and a text is a join of the remembered ids.
+process, and a text is a join of the remembered ids.  The memory is bounded in
+bytes, and long matches are not remembered.
+
+Texts whose characters all lie below U+0250 are split here by the pattern, in
+ranges on which it is the library's own; other texts are split by the file's
+pre-tokenizer, whose letters and numbers follow another Unicode version than
+Python's.
 
 With ``added`` the text is cut at the file's added tokens first and these give
 their own ids, as ``Tokenizer.encode`` of a plain tokenizer does (the queries
@@ -17,9 +23,13 @@ import json
 import re
 from functools import lru_cache
 
-#: Matches remembered per process; when full, the memory starts afresh and
-#: takes back what it meets again.
-REMEMBERED = 320_000
+#: Bytes of remembered matches per process and generation; when full, the
+#: memory starts afresh and takes back what it meets again from the last one.
+REMEMBERED = 72 << 20
+#: Bytes of a remembered match besides its text and ids, about.
+ENTRY = 180
+#: Matches longer than this are not remembered.
+LONG = 64
 
 # The split pattern of byte-level BPE files of this family.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -41,12 +51,14 @@ class Ids(dict):
 
     def __init__(self, path: str, end_id: int | None, added: bool = False):
         super().__init__()
-        import regex
         from tokenizers import Tokenizer
 
         with open(path) as f:
             kind = json.load(f)
-        if kind["pre_tokenizer"] is None or kind["pre_tokenizer"]["type"] != "ByteLevel" or kind.get("normalizer"):
+        split, after = kind["pre_tokenizer"] or {}, kind.get("post_processor") or {}
+        plain = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+        plain = plain and after.get("type", "ByteLevel") == "ByteLevel" and kind["model"].get("type", "BPE") == "BPE" and not kind["model"].get("dropout")
+        if not plain or any(kind.get(k) for k in ("normalizer", "truncation", "padding")):
             raise ValueError(f"{path} is no plain byte-level BPE")
         tokens = {t["content"]: t for t in kind.get("added_tokens", [])} if added else {}
         if any(t[k] for t in tokens.values() for k in ("single_word", "lstrip", "rstrip")):
@@ -57,18 +69,22 @@ class Ids(dict):
         self._letters = _byte_letters()
         size = max(kind["model"]["vocab"].values()) + 1
         self._four = [i.to_bytes(4, "little") for i in range(size)]
-        self._any = regex.compile(SPLIT).findall
+        self._pieces = tokenizer.pre_tokenizer.pre_tokenize_str
         narrow = SPLIT.replace(r"[^\s\p{L}\p{N}]", rf"[^\s{_LETTERS}{_NUMBERS}]")
         narrow = narrow.replace("'s|'t|'re|'ve|'m|'ll|'d", "'(?:s|t|re|ve|m|ll|d)")
         self._narrow = re.compile(narrow.replace(r"\p{L}", f"[{_LETTERS}]").replace(r"\p{N}", f"[{_NUMBERS}]")).findall
-        # `re` also counts U+001C-U+001F as white space; `regex` takes those texts.
+        # `re` also counts U+001C-U+001F as white space; the file's own splitter takes those texts.
         self._beyond = re.compile("[ɐ-\U0010ffff\x1c-\x1f]").search
+        self._held = 0
         self._before: dict[str, bytes] = {}  # what was remembered before the last fresh start
         self._end = b"" if end_id is None else end_id.to_bytes(4, "little")
         self._added = {c: t["id"].to_bytes(4, "little") for c, t in tokens.items()}
         # The first token that begins, the longest of those that begin there.
         self._cut = re.compile("(" + "|".join(map(re.escape, sorted(tokens, key=len, reverse=True))) + ")").split
 
+    def _of_letters(self, letters: str) -> bytes:
+        return b"".join([self._four[t.id] for t in self._model.tokenize(letters)])
+
     def __missing__(self, match: str) -> bytes:
         ids = self._before.get(match)
         if ids is None:
@@ -76,11 +92,14 @@ class Ids(dict):
                 letters = match.replace(" ", self._letters[32])
             else:
                 letters = match.encode().decode("latin-1").translate(self._letters)
-            ids = b"".join([self._four[t.id] for t in self._model.tokenize(letters)])
-        if len(self) >= REMEMBERED:
-            self._before = self.copy()
-            self.clear()
-        self[match] = ids
+            ids = self._of_letters(letters)
+        if len(match) <= LONG:
+            self[match] = ids
+            self._held += ENTRY + 2 * len(match) + len(ids)
+            if self._held > REMEMBERED:
+                self._before = self.copy()
+                self.clear()
+                self._held = 0
         return ids
 
     def encode(self, text: str | None) -> bytes:
@@ -93,8 +112,10 @@ class Ids(dict):
         return self._ids(text) + self._end
 
     def _ids(self, text: str) -> bytes:
-        find = self._any if self._beyond(text) else self._narrow
-        return b"".join(map(self.__getitem__, find(text)))
+        if self._beyond(text):
+            # by the place of each piece: the memory's keys are texts
+            return b"".join([self[text[a:z]] for _, (a, z) in self._pieces(text)])
+        return b"".join(map(self.__getitem__, self._narrow(text)))
 
 
 @lru_cache(maxsize=4)

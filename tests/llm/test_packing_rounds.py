@@ -32,3 +32,12 @@ def test_rounds_end_only_when_nothing_is_won(spark, monkeypatch, caplog):
             assert offset == at
             at += n
         assert at <= 100
+
+
+def test_carried_columns_come_with_their_pieces(spark):
+    rnd = random.Random(2)
+    rows = [(i % 7, rnd.randint(1, 100), bytes([i % 251]) * (i % 90)) for i in range(400)]
+    pieces = spark.createDataFrame(rows, "doc_id long, length long, ids binary").repartition(4)
+    got = packing.pack(pieces, 100, 50, carry=("ids",))
+    assert got.columns == ["doc_id", "length", "ids", "sequence_id", "offset"]
+    assert sorted((r["doc_id"], r["length"], bytes(r["ids"])) for r in got.collect()) == sorted(rows)

@@ -95,6 +95,10 @@ def test_sequences_are_views_and_padded(plain, library):
         assert reader.schema.field("ids").type.list_size == 32
         for i in range(f["n_sequences"]):
             ids, mask = sequence_files.sequence(reader, i)
+            seen, bits = sequence_files.sequence_views(reader, i)
+            mapped = [b.address for b in (reader.get_batch(i // sequence_files.ROWS).column(c).values.buffers()[1] for c in ("ids", "mask"))]
+            assert seen.base is not None and bits.buffers()[1].address == mapped[1] and mapped[0] <= seen.ctypes.data < mapped[0] + (1 << 30)
+            assert bits.to_pylist() == mask.tolist()
             assert not ids.flags.owndata and mask.sum() == min(32, left)
             stream += ids[mask].tolist()
             left -= int(mask.sum())
