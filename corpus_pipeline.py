@@ -43,9 +43,10 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents with their place in a sequence (operator 10)."""
+    """Pieces of all documents, their token ids (little-endian, four bytes
+    each) and their place in a sequence (operator 10)."""
     pieces = packing.document_pieces(docs, public_tokenizers.path(TOKENIZER), added=True)
-    return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")), carry=("ids",))
 
 
 STAGES = [
