@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.time import epoch_us, floor_div
 from sluice.operators.late import combined_watermark, late_by_clock
-from sluice.operators.rolling import ROWS_PER_BLOCK, running_aggregate
+from sluice.operators.rolling import BROADCAST_KEYS, ROWS_PER_BLOCK, running_aggregate
 from sluice.session import written
 
 
@@ -35,6 +35,61 @@ def window_join(
     return lw.join(rw, [key, "_win"], "inner")
 
 
+#: Rows of a key on one side up to which it is joined as it is.
+ROWS_PER_PART = 1 << 18
+
+
+def heavy_keys(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str], rows_per_part: int = ROWS_PER_PART) -> tuple[DataFrame, int]:
+    """The keys with more than ``rows_per_part`` rows on either side, and how
+    many: ``k0, ...``, whether the left side is the larger and is split
+    (``by_left``), and into how many ``parts``.  One count a side, combined on
+    the map side; keys that one side lacks are none."""
+    def counted(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keys)]).dropna().groupBy(*names).agg(F.count(F.lit(1)).alias(name))
+
+    names = [f"k{i}" for i in range(len(left_keys))]
+    both = counted(left, left_keys, "l").join(counted(right, right_keys, "r"), names)
+    most = F.greatest("l", "r")
+    heavy = both.filter(most > rows_per_part).select(*names, (F.col("l") >= F.col("r")).alias("by_left"), F.ceil(most / rows_per_part).cast("int").alias("parts"))
+    heavy = written(heavy, "heavy-keys")
+    return heavy, heavy.count()
+
+
+def heavy_join(
+    left: DataFrame,
+    right: DataFrame,
+    left_keys: Sequence[str],
+    right_keys: Sequence[str],
+    lcols: Sequence[str],
+    rcols: Sequence[str],
+    rows_per_part: int = ROWS_PER_PART,
+) -> DataFrame:
+    """Inner equi-join (J01, J04) that does not rest on adaptive execution for
+    a heavy key: its rows on the larger side are dealt into parts by a hash of
+    the row (so that a task that runs again deals alike; equal rows stay
+    together), and each of its rows on the other side is copied to every part.
+    So a task gets about ``rows_per_part`` rows of the larger side of a key.
+    Without heavy keys it is the plain join; null keys join nothing."""
+    lx = left.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(left_keys)], *[F.col(c).alias(f"_l_{c}") for c in lcols])
+    rx = right.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(right_keys)], *[F.col(c).alias(f"_r_{c}") for c in rcols])
+    keys = [f"_k{i}" for i in range(len(left_keys))]
+    out = [F.col(f"_l_{c}").alias(c) for c in lcols] + [F.col(f"_r_{c}").alias(c) for c in rcols]
+    heavy, n = heavy_keys(left, right, left_keys, right_keys, rows_per_part)
+    if not n:
+        return lx.join(rx, keys).select(*out)
+    of = heavy.withColumnsRenamed({f"k{i}": k for i, k in enumerate(keys)})
+    of = F.broadcast(of) if n <= BROADCAST_KEYS else of
+
+    def dealt(df: DataFrame, is_left: bool) -> DataFrame:
+        d = df.join(of, keys, "left")
+        split = F.col("by_left") == F.lit(is_left)
+        parts = F.sequence(F.lit(0), F.col("parts") - 1)
+        own = F.array(F.pmod(F.xxhash64(*df.columns), F.col("parts")).cast("int"))
+        return d.withColumn("_part", F.explode(F.when(F.col("parts").isNull(), F.array(F.lit(0))).when(split, own).otherwise(parts))).drop("by_left", "parts")
+
+    return dealt(lx, True).join(dealt(rx, False), [*keys, "_part"]).select(*out)
+
+
 def interval_join(
     left: DataFrame,
     right: DataFrame,

@@ -39,13 +39,15 @@ def with_watermark_before(
     name: str = "wm_before_us",
     tiebreak: Sequence[str] = ("seq",),
     rows_per_block: int = ROWS_PER_BLOCK,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """T02/T03 batch watermark: ``max(et of earlier arrivals) - delay`` in
     epoch microseconds (null before the first row).  ``delay_s=0`` is the
-    monotonous strategy."""
+    monotonous strategy.  With ``keys`` (a source, a partition of it) each has
+    a clock of its own."""
     d = df.withColumn("_arr_us", epoch_us(arrival)).withColumn("_et_us", epoch_us(et))
     d = running_aggregate(
-        d, [], "_arr_us", [("_max_et", "max", F.col("_et_us"))], rows_per_block, list(tiebreak), exclusive=True
+        d, list(keys), "_arr_us", [("_max_et", "max", F.col("_et_us"))], rows_per_block, list(tiebreak), exclusive=True
     )
     return d.withColumn(name, F.col("_max_et") - F.lit(delay_s * 1_000_000)).drop("_max_et", "_arr_us", "_et_us")
 
@@ -57,11 +59,12 @@ def split_late(
     delay_s: int,
     window: str | None = None,
     tiebreak: Sequence[str] = ("seq",),
+    keys: Sequence[str] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """T05 ``(on_time, late)``.  With ``window`` (tumbling size) a row is late
     when its window had closed at its arrival, else when its own event time is
     behind the watermark."""
-    d = with_watermark_before(df, et, arrival, delay_s, tiebreak=tiebreak)
+    d = with_watermark_before(df, et, arrival, delay_s, tiebreak=tiebreak, keys=keys)
     if window:
         size = duration_us(window)
         t = epoch_us(et)

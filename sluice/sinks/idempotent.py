@@ -12,16 +12,19 @@ from pyspark.sql import functions as F
 
 
 class IdempotentBatchWriter:
-    def __init__(self, path: str, fmt: str = "parquet"):
+    """``by``: columns whose values are folders above the batch's."""
+
+    def __init__(self, path: str, fmt: str = "parquet", by: tuple[str, ...] = ()):
         self.path = path
         self.fmt = fmt
+        self.by = by
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         (
             batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
+            .partitionBy(*self.by, "batch_id")
             .format(self.fmt)
             .save(self.path)
         )

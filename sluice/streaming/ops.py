@@ -229,6 +229,20 @@ def rule_per_batch(state_path: str, out_path: str, kind_col: str, config_kind, v
     return run
 
 
+def drop_buckets_before(spark, path: str, first_kept: int, column: str = "bucket") -> int:
+    """Delete the folders ``<column>=<n>`` under ``path`` with ``n`` below
+    ``first_kept``; how many there were."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = 0
+    for f in system.listStatus(folder) if system.exists(folder) else []:
+        name, _, value = f.getPath().getName().partition("=")
+        if name == column and value.lstrip("-").isdigit() and int(value) < first_kept:
+            system.delete(f.getPath(), True)
+            gone += 1
+    return gone
+
+
 def interval_join_late_per_batch(
     path: str,
     side: str,
@@ -246,22 +260,34 @@ def interval_join_late_per_batch(
 
     Results go to ``joined``, ``late_left`` and ``late_right`` under ``path``.
     The clock of both inputs goes on from the maxima that earlier batches left
-    (one state row a batch); rows on time are kept under ``rows`` and joined
-    with the rows of later batches that can still reach them.  Everything is
-    written per batch id, so a replayed batch replaces its results.
+    (one state row a batch).  Rows on time are kept under ``rows`` in folders
+    of one time bucket each, as wide as the interval reaches; a batch reads
+    only the buckets that its rows reach.  A row on time is never behind the
+    clock, so a bucket that ended more than the interval's reach before the
+    clock meets no later row: its folder is deleted by the first batch that
+    starts with such a clock, when the batch that moved the clock is committed.
+    So the state, and what a batch reads, is what lies between the clock and
+    the latest rows.  Everything is written per batch id, so a replayed batch
+    replaces its results.
     """
-    from sluice.functions.time import epoch_us, from_epoch_us
+    from sluice.functions.time import epoch_us, floor_div, from_epoch_us
     from sluice.operators.joins import interval_join
     from sluice.operators.late import combined_watermark, late_by_clock
 
-    writers = {n: IdempotentBatchWriter(f"{path}/{n}") for n in ("rows", "state", "joined", "late_left", "late_right")}
+    writers = {n: IdempotentBatchWriter(f"{path}/{n}") for n in ("state", "joined", "late_left", "late_right")}
+    keep = IdempotentBatchWriter(f"{path}/rows", by=("bucket",))
+    reach = max(abs(lower_s), abs(upper_s), 1) * 1_000_000
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         state = previous_state(spark, f"{path}/state", batch_id)
+        batch = batch.persist()
         rows = batch.withColumn("_seed", F.lit(False))
         if state is not None:  # each input's maximum so far, ahead of all arrivals
             seeds = state.select("side", "max_et").filter("max_et is not null")
+            n, behind = seeds.agg(F.count(F.lit(1)), F.min("max_et")).first()
+            if n == 2:
+                drop_buckets_before(spark, f"{path}/rows", (behind - delay_s * 1_000_000 - reach) // reach)
             first = batch.agg(F.min(epoch_us(arrival))).first()[0] or 0
             seeds = seeds.select(F.col("side").alias(side), from_epoch_us("max_et").cast(batch.schema[et].dataType).alias(et))
             seeds = seeds.withColumn(arrival, from_epoch_us(F.lit(first - 1)).cast(batch.schema[arrival].dataType)).withColumn("_seed", F.lit(True))
@@ -272,12 +298,12 @@ def interval_join_late_per_batch(
             for s, name in (("l", "late_left"), ("r", "late_right")):
                 writers[name](d.filter((F.col(side) == s) & F.col("_late")).drop("_late"), batch_id)
             new = d.filter("not _late").drop("_late")
-            writers["rows"](new, batch_id)
-            low, high = new.agg(F.min(epoch_us(et)), F.max(epoch_us(et))).first()
-            reach = max(abs(lower_s), abs(upper_s)) * 1_000_000
-            old = spark.read.schema(new.schema.add("batch_id", "long")).parquet(f"{path}/rows").filter(F.col("batch_id") < batch_id).drop("batch_id")
-            if low is not None:
-                old = old.filter(epoch_us(et).between(low - reach, high + reach))
+            bucketed = new.filter(F.col(et).isNotNull()).withColumn("bucket", floor_div(epoch_us(et), reach))
+            keep(bucketed, batch_id)
+            low, high = bucketed.agg(F.min("bucket"), F.max("bucket")).first()
+            old = spark.read.schema(bucketed.schema.add("batch_id", "long")).parquet(f"{path}/rows").filter(F.col("batch_id") < batch_id)
+            near = F.lit(False) if low is None else F.col("bucket").between(low - 1, high + 1)
+            old = old.filter(near).drop("batch_id", "bucket")
             of = lambda f, s: f.filter(F.col(side) == s)
             args = (key, et, lower_s, upper_s, lcols, rcols)
             met = interval_join(of(new, "l"), of(new.unionByName(old), "r"), *args).unionByName(interval_join(of(old, "l"), of(new, "r"), *args))
@@ -288,5 +314,6 @@ def interval_join_late_per_batch(
             writers["state"](tops.unionByName(both).groupBy("side").agg(F.max("max_et").alias("max_et")), batch_id)
         finally:
             d.unpersist()
+            batch.unpersist()
 
     return run

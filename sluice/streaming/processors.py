@@ -30,7 +30,7 @@ from sluice.session import ship_package
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
 
-def _ordered(rows: Iterator[pd.DataFrame], seq: str = "seq") -> pd.DataFrame:
+def _ordered(rows: Iterator[pd.DataFrame], seq: str | list[str] = "seq") -> pd.DataFrame:
     frames = [f for f in rows if len(f)]
     if not frames:
         return pd.DataFrame()
@@ -49,6 +49,9 @@ class KeyedProcess(StatefulProcessor):
     def open(self, handle: StatefulProcessorHandle) -> None:  # pragma: no cover - hook
         pass
 
+    # The columns by which a key's rows of a micro-batch are ordered.
+    order: str | list[str] = "seq"
+
     # Set by ``apply_processor`` on a table whose rows are already in
     # ``(key, seq)`` order: frames are then processed one at a time (memory
     # of one Arrow batch, never the whole key) and their order is checked.
@@ -57,7 +60,7 @@ class KeyedProcess(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         if not self.presorted:
             # a stream: the key's rows of one micro-batch, bounded by the trigger
-            frame = _ordered(rows)
+            frame = _ordered(rows, self.order)
             if len(frame):
                 yield from self.process(key, frame, timerValues)
             return
@@ -92,6 +95,10 @@ class RunningSum(KeyedProcess):
     def open(self, handle):
         self.total = handle.getValueState("total", StructType([StructField("v", LongType())]))
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """The key's sum of another query (``v``), to go on from."""
+        self.total.update((int(initialState["v"].iloc[0]),))
+
     def process(self, key, frame, timer_values):
         base = self.total.get()[0] if self.total.exists() else None
         seen = frame["vc"].notna().cummax() | (base is not None)
@@ -376,6 +383,35 @@ class InactivityTimer(KeyedProcess):
         yield pd.DataFrame({"id": [key[0]], "timer_ms": [expiry_ms]})
 
 
+class LateRouter(KeyedProcess):
+    """T05 late rows as a tagged output of one stateful operator: each key (a
+    source, or a partition of it) keeps the maximum of its event times, and its
+    rows leave in arrival order with ``late``, by the clock before each row.
+    Table form: ``late.split_late(..., keys=[key])``.  The key's rows have
+    ``seq``, ``et_us`` and ``arr_us``."""
+
+    order = ["arr_us", "seq"]
+
+    def __init__(self, key: str, delay_s: int, window_s: int | None = None):
+        self.delay, self.window = delay_s * 1_000_000, window_s and window_s * 1_000_000
+        self.output = f"seq long, {key} long, et_us long, arr_us long, late boolean"
+        self.key = key
+
+    def open(self, handle):
+        self.top = handle.getValueState("top", StructType([StructField("et_us", LongType())]))
+
+    def process(self, key, frame, timer_values):
+        low = -(1 << 62)
+        et = frame["et_us"].astype("Int64").fillna(low).astype("int64").to_numpy()
+        tops = np.maximum.accumulate(np.concatenate([[self.top.get()[0] if self.top.exists() else low], et]))
+        if tops[-1] > low:
+            self.top.update((int(tops[-1]),))
+        clock = tops[:-1] - self.delay
+        late = et - et % self.window + self.window <= clock if self.window else et < clock
+        late &= (et > low) & (tops[:-1] > low)
+        yield pd.DataFrame({"seq": frame["seq"].astype("int64"), self.key: key[0], "et_us": frame["et_us"].astype("Int64"), "arr_us": frame["arr_us"].astype("int64"), "late": late})
+
+
 class KeyedRule(KeyedProcess):
     """J08 keyed broadcast rule: config rows (``kind == 0``) set the key's
     threshold (last wins, default 0); data rows above it alert.  Rows are
@@ -410,7 +446,7 @@ class KeyedRule(KeyedProcess):
 
 
 def apply_processor(
-    df, key: str, processor: KeyedProcess, time_mode: str = "None", output_mode: str = "Append", order: str | None = "seq"
+    df, key: str, processor: KeyedProcess, time_mode: str = "None", output_mode: str = "Append", order: str | None = "seq", initial_state=None
 ):
     """``groupBy(key).transformWithStateInPandas(processor)``; works on batch
     frames (one pass) and streams.
@@ -441,6 +477,17 @@ def apply_processor(
             outputStructType=processor.output,
             outputMode=output_mode,
             timeMode=time_mode,
+            initialState=initial_state.groupBy(key) if initial_state is not None else None,
         )
     finally:
         cloudpickle.unregister_pickle_by_value(sluice)
+
+
+def read_state(spark, checkpoint: str, name: str, key: str, batch_id: int | None = None, operator: int = 0):
+    """C02 the state ``name`` of a stopped query as a table: the key and the
+    state's fields, as they were after ``batch_id`` (none: the last batch)."""
+    reader = spark.read.format("statestore").option("stateVarName", name).option("operatorId", operator)
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    d = reader.load(checkpoint)
+    return d.select(d["key"].getField(d.schema["key"].dataType.names[0]).alias(key), "value.*")
