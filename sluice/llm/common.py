@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.session import ship_package
+from sluice.session import ensure_checkpoint_dir, ship_package
 
 # The word rule of the shingle operators.  A word is a maximal
 # run of bytes other than space and 0x09-0x0D; only A-Z change case.
@@ -24,16 +23,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the
-    session.  Only a local session may go without it (tests)."""
-    conf = spark.sparkContext.getConf()
-    named = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
-    named = named or spark.sparkContext.getCheckpointDir()
-    if not named:
-        if not conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        named = tempfile.mkdtemp(prefix="sluice-shared-")
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
+    session.  Only a session in one process may go without it (tests)."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return (named or ensure_checkpoint_dir(spark)).rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

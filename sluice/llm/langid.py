@@ -5,14 +5,18 @@ A text is the mean of the embeddings of its subwords: the byte 2-, 3- and
 buckets.  A linear softmax on the mean gives the language.  Embeddings and
 softmax are trained together by stochastic gradient descent in numpy on a
 bounded sample of labelled documents (``SAMPLE`` documents in all, an equal
-share for each language, chosen by a hash of the id; each counts by its whole
-text).  A tenth of the sample is kept from training: its scores set the
-temperature, and the score under which a prediction is rejected, at which at
-most ``REJECT_SHARE`` of the rightly labelled documents would go.
+share for each language, one document at least, chosen by a hash of the id;
+each counts by its whole text).  A tenth of the sample is kept from training.
+Its texts, and excerpts of them of 1, 2, 4, ... words, set the temperature and
+the bounds under which a prediction is rejected: for each length (a power of two
+of subwords) the log-odds of the rightly labelled texts have a median and a
+hundredth; the bound lies as far below the hundredth as that lies below the
+median.  So the bounds come from the spread of clean texts of that length
+alone, and hardly any clean text falls under them, however short.
 
 Only text and label of documents outside the held-out fold are learned from.
-The learned table is as large as buckets times languages whatever the corpus;
-prediction is one pass without a shuffle.
+The model is as large as buckets times languages or ``WIDTH``, whichever is
+less; prediction is one pass without a shuffle.
 
 Defined results: null text and text without a letter are ``und`` with score 0
 and rejected; documents without an id are held out; without any labelled
@@ -22,24 +26,29 @@ repeated rows are predicted each; other columns are left out by ``predict``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import map_batches, text_rows
+from sluice.llm.common import map_batches, materialize, text_rows
 
 BITS = 14
 WIDTH = 16
 SAMPLE = 2400
-LEAST_SHARE = 8
 EPOCHS = 12
 BATCH = 16
 RATE = 4.0
-REJECT_SHARE = 0.001
-MOST_REJECTED = 0.4
+#: The low quantile of clean log-odds that the bound is set by.
+LOW = 0.01
+#: Clean texts of a length that make a bound of its own.
+ENOUGH = 20
+#: Words of the longest excerpts, as a power of two.
+EXCERPTS = 7
+#: Languages up to which their sizes may be broadcast.
+BROADCAST_LANGUAGES = 65_536
 UNKNOWN = "und"
 FOLDS = 5
 BLOCK = 1 << 18
@@ -63,12 +72,14 @@ def subword_counts(text: str, bits: int = BITS) -> np.ndarray:
     """How often each bucket's subwords occur in the whole text."""
     raw = _KEEP[np.frombuffer(b" " + text.lower().encode() + b" ", np.uint8)]
     counts = np.zeros(1 << bits, np.int64)
-    for at in range(0, max(1, len(raw) - 3), BLOCK):
+    for at in range(0, max(1, len(raw) - 1), BLOCK):
         a = raw[at : at + BLOCK + 3].astype(np.uint32)
         space = a == 32
         value = a
         for n, factor in _GRAMS.items():
             m = min(len(a) - n + 1, BLOCK)  # windows that begin in this block
+            if m < 1:
+                break
             value = value[: len(a) - n + 1] | a[n - 1 :] << np.uint32(8 * (n - 1))
             inside = ~space[1:m + 1] if n > 2 else ~(space[:m] | space[1 : m + 1])
             if n == 4:
@@ -78,28 +89,58 @@ def subword_counts(text: str, bits: int = BITS) -> np.ndarray:
     return counts
 
 
+def excerpts(text: str) -> list[str]:
+    """Two runs of 1, 2, 4, ... words out of a longer text."""
+    words, out = text.split(), []
+    for k in range(EXCERPTS + 1):
+        n = 1 << k
+        if len(words) > n:
+            out += [" ".join(words[at : at + n]) for at in ((len(words) - n) // 3, 2 * (len(words) - n) // 3)]
+    return out
+
+
+def _level(total: int) -> int:
+    return max(0, int(total).bit_length() - 1)
+
+
+def _log_odds(p: np.ndarray) -> np.ndarray:
+    best = np.clip(p.max(axis=-1).astype(np.float64), 1e-12, 1 - 1e-12)
+    return np.log(best) - np.log1p(-best)
+
+
 @dataclass
 class Model:
-    """Languages by name, the score table (embeddings times softmax weights),
-    bias, temperature and the score under which predictions are rejected."""
+    """Languages by name, weights of the buckets (scores of the languages where
+    these are few, else embeddings with ``out``), bias, temperature, and for
+    each length the log-odds under which predictions are rejected."""
 
     languages: list[str]
     table: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
-    threshold: float = 0.0
+    threshold: dict[int, float] = field(default_factory=dict)
+    out: np.ndarray | None = None
 
-    def logits(self, text: str) -> np.ndarray:
-        counts = subword_counts(text)
-        return counts.astype(np.float32) @ self.table / max(1, counts.sum()) + self.bias
+    def _scores(self, buckets, shares: np.ndarray) -> np.ndarray:
+        mean = shares.astype(np.float32) @ self.table[buckets]
+        return (mean if self.out is None else mean @ self.out) + self.bias
+
+    def bound(self, total: int) -> float:
+        """The bound for a text of ``total`` subwords: of its length, or of the
+        next shorter one that has one; shorter texts have none."""
+        known = [k for k in self.threshold if k <= _level(total)]
+        return self.threshold[max(known)] if known else -np.inf
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score and whether it is rejected."""
         if not self.languages or not has_letter(text):
             return UNKNOWN, 0.0, True
-        p = _softmax(self.logits(text)[None] / self.temperature)[0]
+        counts = subword_counts(text)
+        total = int(counts.sum())
+        logits = self._scores(slice(None), counts / max(1, total))
+        p = _softmax(logits[None].astype(np.float64) / self.temperature)[0]
         best = int(p.argmax())
-        return self.languages[best], float(p[best]), bool(p[best] < self.threshold)
+        return self.languages[best], float(p[best]), bool(len(p) > 1 and _log_odds(p) < self.bound(total))
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -130,16 +171,19 @@ def train(rows: list[tuple[str, bool, np.ndarray, np.ndarray]], seed: int = 0) -
             for (_, buckets, share), g in zip(batch, back):
                 emb[buckets] -= rate * share[:, None] * g  # buckets of a text are distinct
             step += 1
-    model = Model(languages, emb @ out, bias)
-    kept = [(label[r[0]], r[3].astype(np.float32) / r[3].sum() @ model.table[r[2].astype(np.int64)] + bias) for r in rows if r[1] and r[0] in label and len(r[2])]
+    model = Model(languages, emb @ out, bias) if len(languages) <= WIDTH else Model(languages, emb, bias, out=out)
+    kept = [(label[r[0]], int(r[3].sum()), model._scores(r[2].astype(np.int64), r[3] / r[3].sum())) for r in rows if r[1] and r[0] in label and len(r[2])]
     if kept and len(languages) > 1:
-        y, z = np.array([k[0] for k in kept]), np.stack([k[1] for k in kept])
+        y, levels, z = np.array([k[0] for k in kept]), np.array([_level(k[1]) for k in kept]), np.stack([k[2] for k in kept]).astype(np.float64)
         loss = lambda t: -np.log(_softmax(z / t)[np.arange(len(y)), y] + 1e-9).mean()
         model.temperature = float(min(np.geomspace(0.05, 20, 61), key=loss))
         p = _softmax(z / model.temperature)
-        right = p.max(axis=1)[p.argmax(axis=1) == y]
-        if len(right):
-            model.threshold = float(min(MOST_REJECTED, np.quantile(right, REJECT_SHARE, method="lower")))
+        odds, right = _log_odds(p), p.argmax(axis=1) == y
+        for level in np.unique(levels):
+            clean = odds[right & (levels == level)]
+            if len(clean) >= ENOUGH:
+                low, middle = np.quantile(clean, [LOW, 0.5])
+                model.threshold[int(level)] = float(2 * low - middle)
     return model
 
 
@@ -152,25 +196,25 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model:
     """Train on a bounded sample of the labelled documents outside the
     held-out fold."""
     labelled = docs.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample // LEAST_SHARE)
-    each = {r["lang"]: r["count"] for r in sizes.collect()}  # at most sample // LEAST_SHARE languages
-    if not each:
+    sizes = materialize(labelled.groupBy("lang").count(), "languages")
+    n = sizes.count()
+    if not n:
         return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0, np.float32))
-    want = sample // len(each)
+    want = max(1, sample // n)
     place = F.pmod(F.xxhash64("doc_id", F.lit("language sample")), F.lit(1 << 30))
-    share = F.lit(False)
-    for lang, count in each.items():
-        share = share | (F.col("lang") == lang) & (place < int((1 << 30) * min(1, want / count)))
-    chosen = labelled.filter(share).select("lang", (F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(10)) == 0).alias("kept"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = labelled.select("doc_id", "lang", "text").join(F.broadcast(sizes) if n <= BROADCAST_LANGUAGES else sizes, "lang")
+    share = place < F.lit(1 << 30) * F.least(F.lit(1.0), F.lit(want) / F.col("count"))
+    chosen = rows.filter(share).select("lang", (F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(10)) == 0).alias("kept"), F.coalesce("text", F.lit("")).alias("text"))
 
     def count(batches):
         for b in batches:
             rows = []
             for lang, kept, text in text_rows(b, "lang", "kept", "text"):
-                if has_letter(text):
-                    c = subword_counts(text)
-                    at = np.flatnonzero(c)
-                    rows.append((lang, kept, at.astype(np.uint32).tobytes(), c[at].astype(np.uint32).tobytes()))
+                for part in [text, *excerpts(text)] if kept else [text]:
+                    if has_letter(part):
+                        c = subword_counts(part)
+                        at = np.flatnonzero(c)
+                        rows.append((lang, kept, at.astype(np.uint32).tobytes(), c[at].astype(np.uint32).tobytes()))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), (pa.string(), pa.bool_(), pa.binary(), pa.binary()))], ["lang", "kept", "buckets", "counts"])
 

@@ -20,7 +20,7 @@ def test_stages_are_the_five_in_order():
 
 def test_queries_are_registered():
     names = set(E.queries())
-    assert {n.split("_")[0] for n in REGISTRY} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in REGISTRY} == {f"op{i}" for i in range(1, 14)}
     assert set(REGISTRY) | {"pipeline"} <= names
 
 
@@ -34,7 +34,8 @@ def test_stages_keep_the_columns(spark, which, request, tmp_path):
         docs = spark.read.parquet(out)
         if i < 4:
             assert docs.columns == columns
-    assert docs.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert docs.columns == ["doc_id", "piece", "start", "length", "ids", "ids_crc32", "sequence_id", "offset"]
+    assert docs.filter("crc32(ids) <> ids_crc32 or octet_length(ids) <> 4 * length").count() == 0
     if which == "empty":
         assert docs.count() == 0
     else:
