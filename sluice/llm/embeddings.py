@@ -134,14 +134,16 @@ def _placed(classes: DataFrame, forest: Forest) -> DataFrame:
     return map_batches(classes.select("class_id", "label", "unit"), run, "class_id long, label string, size int, places array<long>, bits binary")
 
 
-def _components(n: int, p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """The smallest row linked to each of n rows, by pairs p, q."""
-    root = np.arange(n)
+def _components(root: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """The smallest row linked to each row, by pairs p, q and what ``root``
+    says of earlier pairs."""
     while True:
         low = np.minimum(root[p], root[q])
         new = root.copy()
         np.minimum.at(new, p, low)
         np.minimum.at(new, q, low)
+        np.minimum.at(new, root[p], low)
+        np.minimum.at(new, root[q], low)
         new = new[new]
         if (new == root).all():
             return root
@@ -154,7 +156,7 @@ def _compare(ids, copies, units, bits, side, place: int, trees: int, within: boo
     share no leaf of an earlier tree and, as both may have spilled over, no
     earlier leaf of this one."""
     first, second = (np.arange(len(ids)),) * 2 if within else (np.flatnonzero(~side), np.flatnonzero(side))
-    n_links, pairs = np.zeros(len(ids), np.int64), []
+    n_links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
     tree, leaf = place >> 32, place & 0xFFFFFFFF
     of_trees = bits.reshape(len(ids), trees, -1)
     lower = np.packbits(np.arange(8 * of_trees.shape[2]) < leaf)
@@ -165,17 +167,15 @@ def _compare(ids, copies, units, bits, side, place: int, trees: int, within: boo
         p, q = rows[p], second[q]
         if within:
             p, q = p[p < q], q[p < q]
+        # united chunk by chunk: pairs are never held
+        root = _components(root, p, q) if len(p) else root
         for k in range(0, len(p), 1 << 17):
             a, b = p[k : k + (1 << 17)], q[k : k + (1 << 17)]
-            pairs.append((a, b))
             new = ~(earlier[a] & earlier[b]).any(axis=1)
             np.add.at(n_links, a[new], copies[b[new]])
             np.add.at(n_links, b[new], copies[a[new]])
-    if not pairs:
-        return None
-    root = _components(len(ids), np.concatenate([a for a, _ in pairs]), np.concatenate([b for _, b in pairs]))
     linked = np.flatnonzero((root != np.arange(len(ids))) | (n_links > 0))
-    return ids[linked], n_links[linked], ids[root[linked]]
+    return (ids[linked], n_links[linked], ids[root[linked]]) if len(linked) else None
 
 
 def _leaf_links(batches, trees: int, cosine: float):

@@ -45,7 +45,9 @@ BROADCAST_CLASSES = 2_000_000
 # Letters whose counts two lines are compared by.
 LETTERS = "etaoinsrhldc"
 _PLACE = ["doc_id", "text_hash"]
-_CLASS = ["line_hash", "length"]
+#: What tells lines apart: 128 bits of two hashes, and the length.
+_CLASS = ["line_hash", "line_hash2", "length"]
+_OTHER = [f"s_{c}" for c in _CLASS]
 
 
 def _lines(docs: DataFrame, unit: str) -> DataFrame:
@@ -53,7 +55,7 @@ def _lines(docs: DataFrame, unit: str) -> DataFrame:
     that are not blank."""
     length = {"bytes": F.octet_length, "characters": F.length}[unit]
     keyed = docs.filter(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return keyed.filter(F.col("line").rlike(r"\S")).withColumns({"line_hash": F.xxhash64("line"), "length": length("line")})
+    return keyed.filter(F.col("line").rlike(r"\S")).withColumns({"line_hash": F.xxhash64("line"), "line_hash2": F.xxhash64(F.lit(7), "line"), "length": length("line")})
 
 
 def _segment(length: str, i: int, edits: int) -> tuple[str, str]:
@@ -162,22 +164,34 @@ def _met(classes: DataFrame, edits: int, least: int) -> DataFrame:
     sought = ", ".join(key(less, i, f"hashes[{edits + 1 + k}]") for k, (less, i, _) in enumerate(_probes(edits)))
     short = base.select(F.expr(f"explode(array({own}))").alias("key"), *[F.col(c).alias(f"s_{c}") for c in (*_CLASS, "letters")])
     long = base.select(F.expr(f"explode(array({sought}))").alias("key"), *_CLASS, "letters")
-    ordered = (F.col("length") > F.col("s_length")) | (F.col("line_hash") > F.col("s_line_hash"))
+    pairs = long.join(short, (long["key"] == short["key"]) & _may_be_near(edits))
+    return materialize(pairs.select(*_CLASS, *_OTHER).distinct(), "line-pairs")
+
+
+def _may_be_near(edits: int) -> Column:
+    """Whether two lines that met are in order, the longer first, and agree in
+    letter counts."""
     alike = _unlike(F.col("letters"), F.col("s_letters")) <= 2 * edits
-    pairs = long.join(short, (long["key"] == short["key"]) & ordered & alike)
-    return materialize(pairs.select(*_CLASS, "s_line_hash", "s_length").distinct(), "line-pairs")
+    same = F.col("line_hash") == F.col("s_line_hash")
+    ordered = (F.col("length") > F.col("s_length")) | (F.col("line_hash") > F.col("s_line_hash")) | same & (F.col("line_hash2") > F.col("s_line_hash2"))
+    return ordered & alike
+
+
+def _texts(classes: DataFrame, docs: DataFrame, unit: str) -> DataFrame:
+    """One line of each of some classes (a written table)."""
+    classes = materialize(classes, "line-ends")
+    sought = F.broadcast(classes) if classes.count() <= BROADCAST_CLASSES else classes
+    found = _lines(docs, unit).select(*_CLASS, "line").join(sought, _CLASS, "left_semi")
+    return found.groupBy(*_CLASS).agg(F.min("line").alias("line"))
 
 
 def near_lines(docs: DataFrame, classes: DataFrame, edits: int = EDITS, least: int = LEAST, unit: str = "bytes") -> DataFrame:
-    """Verified pairs ``line_hash, length, s_line_hash, s_length``."""
+    """Verified pairs of classes, the longer line first."""
     pairs = _met(classes, edits, least)
-    ends = pairs.select(*_CLASS).unionByName(pairs.select(F.col("s_line_hash").alias("line_hash"), F.col("s_length").alias("length"))).distinct()
-    ends = materialize(ends, "line-ends")
-    sought = F.broadcast(ends) if ends.count() <= BROADCAST_CLASSES else ends
-    found = _lines(docs, unit).select(*_CLASS, "line").join(sought, _CLASS, "left_semi")
-    texts = materialize(found.groupBy(*_CLASS).agg(F.min("line").alias("line")), "line-texts")
-    both = pairs.join(texts, _CLASS).join(texts.select(*[F.col(c).alias(f"s_{c}") for c in (*_CLASS, "line")]), ["s_line_hash", "s_length"])
-    return both.filter(within_edits(F.col("line"), F.col("s_line"), edits, unit)).select(*_CLASS, "s_line_hash", "s_length")
+    ends = pairs.select(*_CLASS).unionByName(pairs.select(*[F.col(f"s_{c}").alias(c) for c in _CLASS])).distinct()
+    texts = materialize(_texts(ends, docs, unit), "line-texts")
+    both = pairs.join(texts, _CLASS).join(texts.select(*[F.col(c).alias(f"s_{c}") for c in (*_CLASS, "line")]), _OTHER)
+    return both.filter(within_edits(F.col("line"), F.col("s_line"), edits, unit)).select(*_CLASS, *_OTHER)
 
 
 def repeats(docs: DataFrame, edits: int = EDITS, least: int = LEAST, unit: str = "bytes") -> DataFrame:
@@ -185,9 +199,9 @@ def repeats(docs: DataFrame, edits: int = EDITS, least: int = LEAST, unit: str =
     of line numbers from 0."""
     classes = _classes(docs, edits, unit)
     links = materialize(near_lines(docs, classes, edits, least, unit), "line-links")
-    swapped = links.select(F.col("s_line_hash").alias("line_hash"), F.col("s_length").alias("length"), F.col("line_hash").alias("s_line_hash"), F.col("length").alias("s_length"))
-    other = classes.select(F.col("line_hash").alias("s_line_hash"), F.col("length").alias("s_length"), F.col("first").alias("s_first"))
-    earliest = links.unionByName(swapped).join(other, ["s_line_hash", "s_length"]).groupBy(*_CLASS).agg(F.min("s_first").alias("s_first"))
+    swapped = links.select(*[F.col(s).alias(c) for c, s in zip(_CLASS, _OTHER)], *[F.col(c).alias(s) for c, s in zip(_CLASS, _OTHER)])
+    other = classes.select(*[F.col(c).alias(s) for c, s in zip(_CLASS, _OTHER)], F.col("first").alias("s_first"))
+    earliest = links.unionByName(swapped).join(other, _OTHER).groupBy(*_CLASS).agg(F.min("s_first").alias("s_first"))
     marked = classes.join(earliest, _CLASS, "left").select(*_CLASS, "first", "n", F.coalesce(_before("s_first", "first"), F.lit(False)).alias("late"))
     marked = materialize(marked.filter("n > 1 or late"), "line-marks")
     here = _lines(docs, unit).select(*_PLACE, "line_no", *_CLASS).join(marked, _CLASS)
