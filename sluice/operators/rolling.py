@@ -150,7 +150,8 @@ def blocks_of(df: DataFrame, keys: Sequence[str], order: str, tiebreak: Sequence
     return d, [*key, block], block
 
 
-def _combine(kind: str, prefix: Column, local: Column) -> Column:
+def combined(kind: str, prefix: Column, local: Column) -> Column:
+    """The running value that goes on from ``prefix`` (null: nothing yet)."""
     if kind == "count":
         return F.coalesce(prefix, F.lit(0)) + local
     if kind == "sum":
@@ -216,7 +217,7 @@ def running_aggregate(
     joined = local.join(prefix, part, "left")
     return joined.select(
         *out_cols,
-        *[_combine(k, F.col(f"_sl_p_{n}"), F.col(f"_sl_l_{n}")).alias(n) for n, k, _ in specs],
+        *[combined(k, F.col(f"_sl_p_{n}"), F.col(f"_sl_l_{n}")).alias(n) for n, k, _ in specs],
     )
 
 

@@ -317,3 +317,45 @@ def interval_join_late_per_batch(
             batch.unpersist()
 
     return run
+
+
+def running_aggregate_per_batch(path: str, state_path: str, keys: Sequence[str], order: str, specs, tiebreak: Sequence[str] = (), rows_per_block: int | None = None):
+    """A03 ST03 ST04 ST05 stream: one running value per row as a
+    ``foreachBatch`` function, for streams with a hot key.
+
+    A keyed stateful operator runs a key's rows of a micro-batch in one task.
+    Here they are cut into blocks as on tables (``rolling.running_aggregate``),
+    so a key that holds most rows of a batch uses all tasks, and the value goes
+    on from the key's total after the batch before.  ``specs`` are ``(name,
+    kind, expr)``, nullable keys count.  The totals, a row a key, are written
+    anew with each batch id: what a batch costs besides its rows grows with the
+    number of keys, so with very many keys and small batches the keyed
+    processors are the better form.  Rows of a later batch come later in
+    ``order``.
+    """
+    from sluice.operators.rolling import _AGG, ROWS_PER_BLOCK, combined, null_free_keys, running_aggregate
+
+    out_writer, state_writer = IdempotentBatchWriter(path), IdempotentBatchWriter(state_path)
+    again = {"count": F.sum}  # a count of counts is a sum
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            local = running_aggregate(batch, keys, order, specs, rows_per_block or ROWS_PER_BLOCK, tiebreak)
+            totals = batch.groupBy(*keys).agg(*[_AGG[k](e).alias(n) for n, k, e in specs])
+            state = previous_state(batch.sparkSession, state_path, batch_id)
+            if state is not None:
+                before = state.filter("NOT mark").drop("mark")
+                totals = totals.unionByName(before.select(*totals.columns)).groupBy(*keys).agg(*[again.get(k, _AGG.get(k))(n).alias(n) for n, k, _ in specs])
+                rows, part = null_free_keys(local, keys)
+                known, _ = null_free_keys(before.select(*[F.col(c).cast(batch.schema[c].dataType).alias(c) for c in keys], *[F.col(n).alias(f"_b_{n}") for n, _, _ in specs]), keys)
+                known = known.select(*part, *[f"_b_{n}" for n, _, _ in specs])
+                joined = rows.join(known, part, "left")
+                local = joined.select(*batch.columns, *[combined(k, F.col(f"_b_{n}"), F.col(n)).alias(n) for n, k, _ in specs])
+            out_writer(local, batch_id)
+            mark = batch.sparkSession.range(1).select(F.lit(True).alias("mark"))  # a state row in every batch
+            state_writer(totals.withColumn("mark", F.lit(False)).unionByName(mark, allowMissingColumns=True), batch_id)
+        finally:
+            batch.unpersist()
+
+    return run

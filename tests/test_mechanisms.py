@@ -241,3 +241,23 @@ def test_state_is_read_back_and_seeds_another_query(spark, tmp_path):
     assert rows(first, "id", "v") == rows(src.filter(F.col("seq") < half).groupBy("id").agg(F.sum("vc").alias("v")))
     second = totals(src.filter(F.col("seq") >= half), "st_second", first, 5)
     assert rows(second, "id", "v") == want
+
+
+def test_a_hot_key_of_a_stream_is_cut(spark, tmp_path):
+    """40 % of the rows have one key, a null one."""
+    rnd = random.Random(9)
+    data = [(i, None if rnd.random() < 0.4 else rnd.randint(0, 30), rnd.choice([None, *range(-20, 50)])) for i in range(1200)]
+    src = spark.createDataFrame(data, "seq long, id long, vc long").coalesce(1).cache()
+    specs = [("s", "sum", F.col("vc")), ("n", "count", F.col("vc")), ("top", "max", F.col("vc"))]
+    out = str(tmp_path / "out")
+    run = ops.running_aggregate_per_batch(out, str(tmp_path / "state"), ["id"], "seq", specs, rows_per_block=50)
+    for n, (a, z) in enumerate([(0, 500), (500, 501), (600, 600), (501, 1200)]):
+        batch = src.filter((F.col("seq") >= a) & (F.col("seq") < z))
+        run(batch, n)
+        if n == 1:
+            run(batch, n)
+    w = Window.partitionBy("id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    want = src.select("seq", F.sum("vc").over(w).alias("s"), F.count("vc").over(w).alias("n"), F.max("vc").over(w).alias("top"))
+    key = lambda r: r[0]
+    got = spark.read.parquet(out).select("seq", "s", "n", "top").collect()
+    assert sorted(map(tuple, got), key=key) == sorted(map(tuple, want.collect()), key=key)
