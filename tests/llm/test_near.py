@@ -177,8 +177,8 @@ def vectors(seed=0, groups=12, size=8, dim=16):
     return rows + [(None, rows[1][1], 1), (700, [1e-30] * dim, 5), (701, [1e30] * dim, 5)]
 
 
-@pytest.mark.parametrize("leaf,block", [(4, 4096), (4, 3), (10_000, 4096)])
-def test_forest_links_equal_brute_force(spark, leaf, block):
+@pytest.mark.parametrize("leaf,block,stage", [(4, 4096, 10), (4, 3, 10), (10_000, 4096, 10), (4, 4096, 2), (2, 3, 1)])
+def test_forest_links_equal_brute_force(spark, leaf, block, stage):
     rows = vectors()
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").selectExpr("*", "1 as key", "2 as unit", "3 as class_id").repartition(4)
     ok = [v is not None and len(v) > 0 and None not in v and np.isfinite(v).all() and any(v) and k is not None and y is not None for k, v, y in rows]
@@ -195,7 +195,7 @@ def test_forest_links_equal_brute_force(spark, leaf, block):
         if k is not None:
             least[r] = min(least.get(r, k), k)
     want = sorted((str(k), int(n), str(least.get(r)), k is None or least[r] == k) for (k, _, _), n, r in zip(rows, degree, root))
-    got = embeddings.near_duplicates(df, leaf=leaf, block=block).collect()
+    got = embeddings.near_duplicates(df, leaf=leaf, block=block, stage=stage).collect()
     assert sorted((str(r["vec_id"]), r["n_links"], str(r["component_id"]), r["kept"]) for r in got) == want
 
 
