@@ -8,7 +8,8 @@ is ever joined to what follows), so the pieces have exactly the matches of the
 whole text.  ``decode`` joins the raw bytes of the ranks.
 
 Defined results: null text is the empty text (no ids); a null id stays null;
-repeated rows are encoded again; columns other than id and text are left out.
+repeated rows are encoded again; an empty table gives no rows; columns other
+than id and text are left out.
 """
 
 from __future__ import annotations

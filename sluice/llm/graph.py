@@ -12,7 +12,8 @@ MAX_ROUNDS = 60
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``(node, component)`` for every node of ``links``; the component is its
-    smallest node.  Nodes without links are not in the result.
+    smallest node.  Nodes without links are not in the result, nor are links
+    with a null end or between a node and itself; an empty table gives no rows.
 
     Each round hooks every node's present root to the smallest root among its
     neighbours and then halves the paths, so the rounds grow with the

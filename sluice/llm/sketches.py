@@ -35,6 +35,8 @@ from sluice.llm.common import map_batches, text_rows
 from sluice.session import ship_package
 
 K = 128
+#: Groups that a task holds while it merges sketches (1 KB each).
+HELD = 16_384
 SHINGLE = 5
 #: Bytes of text hashed at a time.
 BLOCK = 1 << 20
@@ -169,26 +171,48 @@ def sketch_documents(df: DataFrame, k: int = K, size: int = SHINGLE) -> DataFram
     return map_batches(df.select("doc_id", "text"), run, "doc_id long, fingerprint string, n_distinct double")
 
 
-def merge_sketches(df: DataFrame, by: list[str], column: str = "fingerprint", k: int = K) -> DataFrame:
+def merge_sketches(df: DataFrame, by: list[str], column: str = "fingerprint", k: int = K, most: int = HELD) -> DataFrame:
     """One sketch a group of ``by`` (string columns).  Each task merges what
-    it has before the shuffle and what it gets after, so a hot group sends at
-    most k hashes a task."""
+    it has before the shuffle, holding ``most`` groups, and streams the
+    groups in order after it, so a hot group sends few sketches a task and
+    memory does not grow with the number of groups."""
 
-    def run(batches):
+    def rows_of(groups):
+        cols = [pa.array([g[i] for g, _ in groups], pa.string()) for i in range(len(by))]
+        return pa.RecordBatch.from_arrays([*cols, pa.array([to_text(v) for _, v in groups])], [*by, column])
+
+    def before(batches):
         held: dict[tuple, np.ndarray] = {}
         for b in batches:
             for *key, s in text_rows(b, *by, column):
-                old = held.get(tuple(key), np.zeros(0, np.uint64))
-                held[tuple(key)] = np.union1d(old, from_text(s))[:k]
+                held[tuple(key)] = np.union1d(held.get(tuple(key), _NONE), from_text(s))[:k]
+                if len(held) >= most:
+                    yield rows_of(list(held.items()))
+                    held = {}
         if held:
-            cols = [pa.array([g[i] for g in held], pa.string()) for i in range(len(by))]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array([to_text(v) for v in held.values()])], [*by, column])
+            yield rows_of(list(held.items()))
+
+    def after(batches):
+        # sorted by group: one is held
+        group, hashes = None, _NONE
+        for b in batches:
+            done = []
+            for *key, s in text_rows(b, *by, column):
+                if group is not None and key != group:
+                    done.append((group, hashes))
+                    hashes = _NONE
+                group, hashes = key, np.union1d(hashes, from_text(s))[:k]
+            if done:
+                yield rows_of(done)
+        if group is not None:
+            yield rows_of([(group, hashes)])
 
     schema = ", ".join(f"`{c}` string" for c in [*by, column])
-    part = map_batches(df.select(*by, column), run, schema)
-    return map_batches(part.repartition(*by), run, schema)
+    part = map_batches(df.select(*by, column), before, schema)
+    return map_batches(part.repartition(*by).sortWithinPartitions(*by), after, schema)
 
 
+_NONE = np.zeros(0, np.uint64)
 _FIRST = -(1 << 63)  # stands for a null id: before all others
 
 
@@ -200,7 +224,8 @@ def _followed(df: DataFrame) -> DataFrame:
     the only things that pass the driver, one a task."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.coalesce("doc_id", F.lit(_FIRST)).alias("place"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    cuts = docs.agg(F.percentile_approx("place", [i / n for i in range(1, n)], max(10_000, 10 * n))).first()[0] if n > 1 else None
+    levels = np.arange(1, n) / n
+    cuts = docs.agg(F.percentile_approx("place", F.lit(levels), max(10_000, 10 * n))).first()[0] if n > 1 else None
     edges = np.array(sorted(set(cuts or [])), np.int64)
 
     @F.pandas_udf("int")
@@ -212,11 +237,18 @@ def _followed(df: DataFrame) -> DataFrame:
     firsts = sorted(docs.select("place").withColumn("task", task_of("place")).groupBy("task").agg(F.min("place")).collect())
     if not firsts:
         return placed.select("task", F.lit(False).alias("guard"), "doc_id", "text")
-    before = {place: firsts[i - 1][0] for i, (_, place) in enumerate(firsts)}
-    previous = F.create_map(*[F.lit(x) for p, t in before.items() for x in (p, t)])
+    starts = np.array([place for _, place in firsts], np.int64)
+    previous = np.roll(np.array([task for task, _ in firsts], np.int32), 1)
+
+    @F.pandas_udf("int")
+    def followed_task(place: pd.Series) -> pd.Series:
+        at = np.minimum(np.searchsorted(starts, place.to_numpy()), len(starts) - 1)
+        return pd.Series(np.where(starts[at] == place.to_numpy(), previous[at], -1).astype(np.int32))
+
+    placed = placed.withColumn("follows", followed_task("place"))
     own = F.struct(F.col("task").alias("task"), F.lit(False).alias("guard"))
-    twice = F.array(own, F.struct(previous[F.col("place")].alias("task"), F.lit(True).alias("guard")))
-    dealt = placed.withColumn("to", F.explode(F.when(F.col("place").isin(list(before)), twice).otherwise(F.array(own))))
+    twice = F.array(own, F.struct(F.col("follows").alias("task"), F.lit(True).alias("guard")))
+    dealt = placed.withColumn("to", F.explode(F.when(F.col("follows") >= 0, twice).otherwise(F.array(own))))
     dealt = dealt.select("to.task", "to.guard", "place", "doc_id", "text")
     return dealt.repartitionById(len(edges) + 1, "task").sortWithinPartitions("task", "guard", "place", "text").drop("place")
 

@@ -69,16 +69,35 @@ def test_sketches_merge_and_count():
     assert len(sketches.sketch(long_word, block=100)) == 1
 
 
-def test_merged_groups(odd):
+@pytest.mark.parametrize("groups,most", [(2, sketches.HELD), (7, 2)])
+def test_merged_groups(odd, groups, most):
     rows = sketches.sketch_documents(odd)
-    got = {r["g"]: r["fingerprint"] for r in sketches.merge_sketches(rows.selectExpr("cast(doc_id % 2 as string) as g", "fingerprint"), ["g"]).collect()}
+    found = sketches.merge_sketches(rows.selectExpr(f"cast(doc_id % {groups} as string) as g", "fingerprint"), ["g"], most=most).collect()
+    got = {r["g"]: r["fingerprint"] for r in found}
+    assert len(got) == len(found)
     want = {}
     for r in rows.collect():
-        g = None if r["doc_id"] is None else str(int(np.fmod(r["doc_id"], 2)))
+        g = None if r["doc_id"] is None else str(int(np.fmod(r["doc_id"], groups)))
         want[g] = np.union1d(want.get(g, np.zeros(0, np.uint64)), sketches.from_text(r["fingerprint"]))[: sketches.K]
     assert got == {k: sketches.to_text(v) for k, v in want.items()}
 
 
+def test_plan_does_not_grow_with_the_tasks(spark):
+    df = spark.range(5000).selectExpr("id as doc_id", "concat('text ', id) as text")
+    old, sizes, found = spark.conf.get("spark.sql.shuffle.partitions"), [], []
+    try:
+        for n in (8, 200):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            d = sketches._followed(df)
+            sizes.append(len(d._jdf.queryExecution().optimizedPlan().toString()))
+            rows = d.collect()
+            assert sum(r["guard"] for r in rows) == len({r["task"] for r in rows})
+            assert sorted(r["doc_id"] for r in rows if not r["guard"]) == list(range(5000))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert sizes[1] < 1.2 * sizes[0], sizes
+
+
 # ---------------------------------------------------------------- simhash
 
 
