@@ -47,7 +47,8 @@ LETTERS = "etaoinsrhldc"
 _PLACE = ["doc_id", "text_hash"]
 #: What tells lines apart: 128 bits of two hashes, and the length.
 _CLASS = ["line_hash", "line_hash2", "length"]
-_OTHER = [f"s_{c}" for c in _CLASS]
+#: The letter counts take the bits below it; above stands how much shorter.
+_COUNTED = 5 * len(LETTERS)
 
 
 def _lines(docs: DataFrame, unit: str) -> DataFrame:
@@ -144,54 +145,62 @@ def within_edits(a: Column, b: Column, edits: int, unit: str = "bytes") -> Colum
 
 
 def _classes(docs: DataFrame, edits: int, unit: str) -> DataFrame:
-    """One row a distinct line: where it first stands, how often, and what the
-    near join needs of it.  That is computed of short lines, too: behind a
-    condition, Spark would not share the parts of the expressions."""
+    """One row a distinct line: its number, where it first stands, how often,
+    and what the near join needs of it.  That is computed of short lines, too:
+    behind a condition, Spark would not share the parts of the expressions.
+    The number stands for the line wherever lines meet: it is fixed, as the
+    table is written with it."""
     rows = _lines(docs, unit).select(
         *_CLASS,
         F.struct(*_PLACE, "line_no").alias("place"),
         F.struct(_hashes(edits, unit).alias("hashes"), _letter_counts().alias("letters"), F.octet_length("line").alias("bytes")).alias("near"),
     )
-    return materialize(rows.groupBy(*_CLASS).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("near").alias("near")), "line-classes")
+    classes = rows.groupBy(*_CLASS).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"), F.any_value("near").alias("near"))
+    return materialize(classes.withColumn("id", F.monotonically_increasing_id()), "line-classes")
 
 
 def _met(classes: DataFrame, edits: int, least: int) -> DataFrame:
-    """Pairs of classes, the longer first, that share a segment and agree in
-    letter counts."""
-    base = classes.filter(F.col("near.bytes") >= least).select(*_CLASS, "near.hashes", "near.letters")
+    """Pairs of class numbers, ``id`` of the longer line and ``s_id``, that
+    share a segment and agree in letter counts.
+
+    This join shuffles a row for each segment and each substring to look up,
+    so a row holds no more than three words: the key, the class number and the
+    letter counts.  The key tells the shorter line's length; how much longer
+    the other is stands above its letter counts."""
+    base = classes.filter(F.col("near.bytes") >= least).select("id", "length", "near.hashes", "near.letters")
     key = lambda less, i, h: f"shiftleft(cast((length - {less}) * {edits + 1} + {i} as bigint), 32) + (cast({h} as bigint) & 4294967295)"
     own = ", ".join(key(0, i, f"hashes[{i}]") for i in range(edits + 1))
-    sought = ", ".join(key(less, i, f"hashes[{edits + 1 + k}]") for k, (less, i, _) in enumerate(_probes(edits)))
-    short = base.select(F.expr(f"explode(array({own}))").alias("key"), *[F.col(c).alias(f"s_{c}") for c in (*_CLASS, "letters")])
-    long = base.select(F.expr(f"explode(array({sought}))").alias("key"), *_CLASS, "letters")
+    sought = ", ".join(f"struct({key(less, i, f'hashes[{edits + 1 + k}]')} as key, letters | shiftleft({less}L, {_COUNTED}) as letters)" for k, (less, i, _) in enumerate(_probes(edits)))
+    short = base.select(F.expr(f"explode(array({own}))").alias("key"), F.col("id").alias("s_id"), F.col("letters").alias("s_letters"))
+    long = base.select(F.expr(f"inline(array({sought}))"), "id")
     pairs = long.join(short, (long["key"] == short["key"]) & _may_be_near(edits))
-    return materialize(pairs.select(*_CLASS, *_OTHER).distinct(), "line-pairs")
+    return materialize(pairs.select("id", "s_id").distinct(), "line-pairs")
 
 
 def _may_be_near(edits: int) -> Column:
     """Whether two lines that met are in order, the longer first, and agree in
     letter counts."""
     alike = _unlike(F.col("letters"), F.col("s_letters")) <= 2 * edits
-    same = F.col("line_hash") == F.col("s_line_hash")
-    ordered = (F.col("length") > F.col("s_length")) | (F.col("line_hash") > F.col("s_line_hash")) | same & (F.col("line_hash2") > F.col("s_line_hash2"))
-    return ordered & alike
+    longer = F.shiftrightunsigned("letters", _COUNTED) > 0
+    return (longer | (F.col("id") > F.col("s_id"))) & alike
 
 
-def _texts(classes: DataFrame, docs: DataFrame, unit: str) -> DataFrame:
-    """One line of each of some classes (a written table)."""
-    classes = materialize(classes, "line-ends")
-    sought = F.broadcast(classes) if classes.count() <= BROADCAST_CLASSES else classes
-    found = _lines(docs, unit).select(*_CLASS, "line").join(sought, _CLASS, "left_semi")
-    return found.groupBy(*_CLASS).agg(F.min("line").alias("line"))
+def _texts(ids: DataFrame, classes: DataFrame, docs: DataFrame, unit: str) -> DataFrame:
+    """The line of each of some classes, given by their numbers."""
+    ids = materialize(ids, "line-ends")
+    small = F.broadcast if ids.count() <= BROADCAST_CLASSES else lambda df: df
+    sought = classes.select("id", *_CLASS).join(small(ids), "id")
+    found = _lines(docs, unit).select(*_CLASS, "line").join(small(sought), _CLASS)
+    return found.groupBy("id").agg(F.min("line").alias("line"))
 
 
 def near_lines(docs: DataFrame, classes: DataFrame, edits: int = EDITS, least: int = LEAST, unit: str = "bytes") -> DataFrame:
-    """Verified pairs of classes, the longer line first."""
+    """Verified pairs of class numbers, the longer line first."""
     pairs = _met(classes, edits, least)
-    ends = pairs.select(*_CLASS).unionByName(pairs.select(*[F.col(f"s_{c}").alias(c) for c in _CLASS])).distinct()
-    texts = materialize(_texts(ends, docs, unit), "line-texts")
-    both = pairs.join(texts, _CLASS).join(texts.select(*[F.col(c).alias(f"s_{c}") for c in (*_CLASS, "line")]), _OTHER)
-    return both.filter(within_edits(F.col("line"), F.col("s_line"), edits, unit)).select(*_CLASS, *_OTHER)
+    ends = pairs.select("id").unionByName(pairs.select(F.col("s_id").alias("id"))).distinct()
+    texts = materialize(_texts(ends, classes, docs, unit), "line-texts")
+    both = pairs.join(texts, "id").join(texts.select(F.col("id").alias("s_id"), F.col("line").alias("s_line")), "s_id")
+    return both.filter(within_edits(F.col("line"), F.col("s_line"), edits, unit)).select("id", "s_id")
 
 
 def repeats(docs: DataFrame, edits: int = EDITS, least: int = LEAST, unit: str = "bytes") -> DataFrame:
@@ -199,10 +208,10 @@ def repeats(docs: DataFrame, edits: int = EDITS, least: int = LEAST, unit: str =
     of line numbers from 0."""
     classes = _classes(docs, edits, unit)
     links = materialize(near_lines(docs, classes, edits, least, unit), "line-links")
-    swapped = links.select(*[F.col(s).alias(c) for c, s in zip(_CLASS, _OTHER)], *[F.col(c).alias(s) for c, s in zip(_CLASS, _OTHER)])
-    other = classes.select(*[F.col(c).alias(s) for c, s in zip(_CLASS, _OTHER)], F.col("first").alias("s_first"))
-    earliest = links.unionByName(swapped).join(other, _OTHER).groupBy(*_CLASS).agg(F.min("s_first").alias("s_first"))
-    marked = classes.join(earliest, _CLASS, "left").select(*_CLASS, "first", "n", F.coalesce(_before("s_first", "first"), F.lit(False)).alias("late"))
+    swapped = links.select(F.col("s_id").alias("id"), F.col("id").alias("s_id"))
+    other = classes.select(F.col("id").alias("s_id"), F.col("first").alias("s_first"))
+    earliest = links.unionByName(swapped).join(other, "s_id").groupBy("id").agg(F.min("s_first").alias("s_first"))
+    marked = classes.join(earliest, "id", "left").select(*_CLASS, "first", "n", F.coalesce(_before("s_first", "first"), F.lit(False)).alias("late"))
     marked = materialize(marked.filter("n > 1 or late"), "line-marks")
     here = _lines(docs, unit).select(*_PLACE, "line_no", *_CLASS).join(marked, _CLASS)
     repeat = ~F.struct(*_PLACE, "line_no").eqNullSafe(F.col("first"))
