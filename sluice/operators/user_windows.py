@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.operators.rolling import BROADCAST_KEYS, ROWS_PER_BLOCK, null_free_keys
+from sluice.operators.rolling import BROADCAST_KEYS, ROWS_PER_BLOCK, given_keys, null_free_keys
 from sluice.operators.windows import window_bounds, with_window
 from sluice.session import ship_package, written
 
@@ -81,26 +81,10 @@ def window_user_process(
     results = T.StructType.fromDDL(result_schema).fields
     of_window = T.StructType([*(cut.schema[c] for c in by), *results])
     found = first.drop("_block").groupBy(*by).applyInArrow(_each(merge, len(by), [f.name for f in fields], of_window), of_window)
-    back = _given_keys(df, keys, part)
+    back = given_keys(keys, part)
     return found.select(*back, *window_bounds(), *[f.name for f in results])
 
 
-def _given_keys(df: DataFrame, keys: Sequence[str], part: list[str]) -> list:
-    """The keys as they were from their null-free columns."""
-    out, i = [], 0
-    for n, c in enumerate(keys):
-        if part[i] == c:
-            out.append(F.col(c))
-            i += 1
-        elif i + 1 < len(part) and part[i + 1] == f"_sl_n{n}":
-            out.append(F.when(~F.col(part[i + 1]), F.col(part[i])).alias(c))
-            i += 2
-        else:
-            out.append(F.col(part[i])[c].alias(c))
-            i += 1
-    return out
-
-
 # ------------------------------------------------------------ a user's median
 
 

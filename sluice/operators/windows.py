@@ -128,7 +128,7 @@ def session_numbers(
     blocks adds the break at a block's first row (gap to the previous block's
     last row) and the breaks of all earlier blocks.
     """
-    d, part, blk = blocks_of(df, keys, t_us, tiebreak, rows_per_block, block)
+    d, part, blk, _ = blocks_of(df, keys, t_us, tiebreak, rows_per_block, block)
     order = [F.col(t_us)] + [F.col(c) for c in tiebreak]
     w = Window.partitionBy(*part).orderBy(*order)
     prev = F.lag(t_us).over(w)
