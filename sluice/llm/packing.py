@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import map_batches, materialize, text_rows
+from sluice.llm.common import map_batches, materialize
 from sluice.llm.subwords import ids_of
 
 CAPACITY = 2048
@@ -59,8 +59,7 @@ def document_pieces(df: DataFrame, tokenizer_path: str, end_id: int = END_ID, ca
         ids = ids_of(tokenizer_path, end_id, added)
         for b in batches:
             rows, held = [], 0
-            for k, t in text_rows(b, "doc_id", "text"):
-                raw = ids.encode(t)
+            for k, raw in zip(b.column("doc_id").to_pylist(), ids.encode_all(b.column("text"))):
                 rows += [(k, i, s, n, raw[4 * s : 4 * (s + n)]) for i, (s, n) in enumerate(cuts(len(raw) // 4, capacity))]
                 held += len(raw)
                 if held > 1 << 22:

@@ -116,11 +116,10 @@ def write(df: DataFrame, tokenizer_path: str, end_id: int = END_ID, length: int
 
     def run(batches):
         from pyspark import TaskContext
-        from tokenizers import Tokenizer
 
-        wide = Tokenizer.from_file(tokenizer_path).get_vocab_size() > 1 << 16
-        schema, ids = file_schema(length, wide), ids_of(tokenizer_path, end_id, added)
-        rows = ((k, ids.encode(t)) for b in batches for k, t in text_rows(b, "doc_id", "text"))
+        ids = ids_of(tokenizer_path, end_id, added)
+        schema = file_schema(length, ids.size > 1 << 16)
+        rows = (row for b in batches for row in zip(b.column("doc_id").to_pylist(), ids.encode_all(b.column("text"))))
         first = next(rows, None)
         if first is None:
             return
